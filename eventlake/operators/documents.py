@@ -94,16 +94,17 @@ def rebuild_documents(state: DataFrame, changes: DataFrame) -> DataFrame:
 def replace_documents(
     documents: DataFrame,
     rebuilt: DataFrame,
-    changes: DataFrame,
+    clients: DataFrame,
     co_partition: str | None = None,
 ) -> DataFrame:
-    """Verdicts that replace the documents of changed clients and drop those that no longer exist.
+    """Verdicts that replace the documents of the given clients and drop those that no longer exist.
 
     A client whose item moves to another insurer leaves its former document empty;
     that document is deleted. Documents of other clients are kept as they are.
     """
-    touched = affected_clients(changes).withColumn("_touched", F.lit(True))
-    tagged = documents.join(touched, "client_id", "left").select(*documents.columns, "_touched")
+    on = ["client_id"] if co_partition is None else [co_partition, "client_id"]
+    touched = clients.select(*on).withColumn("_touched", F.lit(True))
+    tagged = documents.join(touched, on, "left").select(*documents.columns, "_touched")
     source = rebuilt.withColumn("_touched", F.lit(True)).select(*tagged.columns)
     return U.merge(
         tagged,

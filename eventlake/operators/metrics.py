@@ -50,10 +50,11 @@ def recompute_affected(state: DataFrame, changes: DataFrame) -> DataFrame:
     return daily_metrics(touched)
 
 
-def replace_affected(metrics: DataFrame, recomputed: DataFrame, changes: DataFrame) -> DataFrame:
+def replace_affected(
+    metrics: DataFrame, recomputed: DataFrame, days: DataFrame, co_partition: str | None = None
+) -> DataFrame:
     """Verdicts that put the recomputed groups in and remove groups that vanished from those days."""
-    days = affected_dates(changes).withColumn("_touched", F.lit(True))
-    tagged = metrics.join(F.broadcast(days), "ref_date", "left")
+    tagged = metrics.join(F.broadcast(days.withColumn("_touched", F.lit(True))), "ref_date", "left")
     source = recomputed.withColumn("_touched", F.lit(True)).select(*tagged.columns)
     return U.merge(
         tagged,
@@ -61,6 +62,7 @@ def replace_affected(metrics: DataFrame, recomputed: DataFrame, changes: DataFra
         DIMENSIONS,
         delete_missing=lambda old: old["_touched"],
         unique_source=True,
+        co_partition=co_partition,
     )
 
 
@@ -68,7 +70,7 @@ def replace_affected(metrics: DataFrame, recomputed: DataFrame, changes: DataFra
 
 
 def metric_deltas(changes: DataFrame) -> DataFrame:
-    """Change of each metric group, from the change feed alone.
+    """Signed metric rows: by how much each group moves, from the change feed alone.
 
     The state holds one row per client and type, and type is a metric dimension:
     within a group every row is another client. Rows and distinct clients then move
@@ -76,26 +78,15 @@ def metric_deltas(changes: DataFrame) -> DataFrame:
     the state need not be read again.
     """
     sign = F.when(F.col(U.CHANGE_TYPE).isin(U.INSERT, U.POSTIMAGE), 1).otherwise(-1)
-    return (
-        with_ref_date(changes)
-        .groupBy(*DIMENSIONS)
-        .agg(F.sum(sign).cast("long").alias("delta"))
-        .filter("delta <> 0")
-    )
+    moved = with_ref_date(changes).groupBy(*DIMENSIONS).agg(F.sum(sign).cast("long").alias("total_events"))
+    return moved.filter("total_events <> 0").withColumn("total_clients", F.col("total_events"))
 
 
 def apply_deltas(metrics: DataFrame, deltas: DataFrame, co_partition: str | None = None) -> DataFrame:
-    """Verdicts that add the deltas; groups that reach zero are deleted."""
-    extra = [c for c in metrics.columns if c not in DIMENSIONS + ("total_events", "total_clients")]
-    source = deltas.select(
-        *DIMENSIONS,
-        F.col("delta").alias("total_events"),
-        F.col("delta").alias("total_clients"),
-        *extra,
-    ).select(*metrics.columns)
+    """Verdicts that add signed rows to the metrics; groups that reach zero are deleted."""
     summed = U.merge(
         metrics,
-        source,
+        deltas,
         DIMENSIONS,
         update_set={
             "total_events": lambda s, t: t["total_events"] + s["total_events"],

@@ -275,7 +275,7 @@ def metrics_merge(spark, sf):
     verdicts = X.stored(verdicts, "metrics-merge")
     changes = U.change_rows(verdicts)
     recomputed = M.recompute_affected(U.merged_state(verdicts), changes)
-    replaced = M.replace_affected(M.daily_metrics(before), recomputed, changes)
+    replaced = M.replace_affected(M.daily_metrics(before), recomputed, M.affected_dates(changes))
     return U.merged_state(replaced).drop("_touched")
 
 
@@ -364,7 +364,7 @@ def document_upsert(spark, sf):
     verdicts = X.stored(verdicts, "documents")
     changes = U.change_rows(verdicts)
     rebuilt = D.rebuild_documents(U.merged_state(verdicts), changes)
-    replaced = D.replace_documents(D.client_documents(before), rebuilt, changes)
+    replaced = D.replace_documents(D.client_documents(before), rebuilt, D.affected_clients(changes))
     return flat_documents(U.merged_state(replaced).drop("_touched"))
 
 

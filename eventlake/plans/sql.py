@@ -175,6 +175,11 @@ _MINE = "insurer_id IN (SELECT insurer_id FROM entitlements WHERE member = 'anal
 _ALL_METRICS = "SELECT ref_date, bank_id, insurer_id, consent_type, total_events, total_clients FROM metrics"
 _ALL_DOCUMENTS = "SELECT * FROM documents_by_triple"
 
+_SHIPPED = """
+SELECT o_orderkey, o_orderdate, l_orderkey, l_linenumber, l_partkey, l_shipdate
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 90 DAY"""
+
 ORACLE: dict[str, str] = {
     # intake
     "raw_events": _on_raw('SELECT raw_json, "partition", "offset", ts AS kafka_timestamp FROM raw'),
@@ -437,4 +442,31 @@ FROM events GROUP BY 1""",
     "ttl_retained": _on_raw(
         "SELECT * FROM quarantine WHERE kafka_timestamp >= TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY"
     ),
+    # streaming jobs: the stored results equal those of the batch queries
+    "stream_state": _on_state(f"SELECT {_STATE_OUT} FROM state"),
+    "stream_quarantine": _on_raw("SELECT * FROM quarantine"),
+    "stream_change_feed": _on_feeds(
+        f"SELECT _change_type, {_STATE_OUT}, CAST(1 AS BIGINT) AS _commit_version FROM changes"
+    ),
+    "stream_metrics": _on_state(_ALL_METRICS),
+    "stream_metrics_recomputed": _on_state(_ALL_METRICS),
+    "stream_documents": _on_documents(_ALL_DOCUMENTS),
+    "state_version": _on_feeds(f"SELECT {_STATE_OUT} FROM before"),
+    "state_lookup": _on_documents(_ALL_DOCUMENTS + " WHERE client_id = 'cli-00007'"),
+    "compacted_state": _on_state(f"SELECT {_STATE_OUT} FROM state"),
+    "bronze_ingest": _on_items("SELECT client_id, client_name, tax_id, bank_id FROM master"),
+    "partition_scan": (
+        "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS events FROM events "
+        "WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2"
+    ),
+    "interval_join": _SHIPPED,
+    "stream_interval_join": _SHIPPED,
+    "stream_window_counts": """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type, count(*) AS events
+FROM events
+WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
+      <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 15 MINUTE FROM events)
+GROUP BY 1, 2, 3""",
+    "stream_dedup": "SELECT event_id, ts, user_id FROM events",
 }
