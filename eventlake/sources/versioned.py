@@ -3,10 +3,10 @@
 Open-source Spark cannot MERGE into plain parquet. This helper only lays out the
 files that Spark writes and reads; all row work is DataFrame operations.
 
-    <path>/_table.json                     schema, keys, bucket count
-    <path>/data/v=N/kind=state/bucket=B/   state rows of bucket B as of version N
-    <path>/data/v=N/kind=change/bucket=B/  change rows of version N
-    <path>/commits/N.json                  one line: which version holds each bucket
+    <path>/_table.json                              schema, keys, bucket count
+    <path>/data/_version=N/_kind=state/_bucket=B/   state rows of bucket B as of version N
+    <path>/data/_version=N/_kind=change/_bucket=B/  change rows of version N
+    <path>/commits/N.json                           one line: which version holds each bucket
 
 A key always falls into the same bucket. A merge reads and rewrites only the
 buckets its source touches; the new commit points to the older files of all
@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 from eventlake.operators import upsert as U
 from eventlake.session import sql_conf
 
-BUCKET = "bucket"
+# Names of the layout columns; the leading underscore keeps them apart from table columns.
+BUCKET, KIND, VERSION = "_bucket", "_kind", "_version"
 
 
 class Files:
@@ -170,6 +171,10 @@ class VersionedTable:
     def _commit_path(self, version: int) -> str:
         return f"{self.path}/commits/{version:012d}.json"
 
+    def _folder(self, version: int, kind: str | None = None, bucket: int | None = None) -> str:
+        path = f"{self.path}/data/{VERSION}={version}"
+        return path if kind is None else f"{path}/{KIND}={kind}/{BUCKET}={bucket}"
+
     def already_applied(self, stream: str, batch_id: int) -> bool:
         return self.commit().applied.get(stream, -1) >= batch_id
 
@@ -193,7 +198,7 @@ class VersionedTable:
     def _state(self, commit: Commit, only: Iterable[int] | None = None) -> DataFrame:
         wanted = set(commit.buckets if only is None else only)
         paths = [
-            f"{self.path}/data/v={v}/kind=state/{BUCKET}={b}"
+            self._folder(v, "state", b)
             for b, v in sorted(commit.buckets.items())
             if b in wanted
         ]
@@ -216,16 +221,16 @@ class VersionedTable:
         """Change rows of the committed versions in ``(after, upto]``, with ``_commit_version``."""
         known = [v for v in self.versions() if v > after and (upto is None or v <= upto)]
         paths = [
-            f"{self.path}/data/v={v}/kind=change/{BUCKET}={b}"
+            self._folder(v, "change", b)
             for v in known
             for b in self.commit(v).changed
         ]
         extra = T.StructType(
-            [T.StructField(U.CHANGE_TYPE, T.StringType()), T.StructField("v", T.LongType())]
+            [T.StructField(U.CHANGE_TYPE, T.StringType()), T.StructField(VERSION, T.LongType())]
         )
         rows = self._read(paths, extra)
         return rows.select(
-            U.CHANGE_TYPE, *self.schema.fieldNames(), F.col("v").alias(U.COMMIT_VERSION)
+            U.CHANGE_TYPE, *self.schema.fieldNames(), F.col(VERSION).alias(U.COMMIT_VERSION)
         )
 
     # -- writing ---------------------------------------------------------------
@@ -275,10 +280,18 @@ class VersionedTable:
 
     def _write(self, verdicts: DataFrame, version: int) -> None:
         """State rows and change rows in one pass over the verdicts."""
-        state = F.struct(F.lit("state").alias("kind"), F.lit(None).cast("string").alias("change"), F.col(U.NEW).alias("row"))
+
+        def output(kind: str, change: str | None, column: str) -> Column:
+            return F.struct(
+                F.lit(kind).alias("kind"),
+                F.lit(change).cast("string").alias("change"),
+                F.col(column).alias("row"),
+            )
 
         def change(name: str, column: str) -> Column:
-            return F.struct(F.lit("change").alias("kind"), F.lit(name).alias("change"), F.col(column).alias("row"))
+            return output("change", name, column)
+
+        state = output("state", None, U.NEW)
 
         outputs = (
             F.when(F.col(U.ACTION) == U.INSERT, F.array(state, change(U.INSERT, U.NEW)))
@@ -292,15 +305,15 @@ class VersionedTable:
         rows = verdicts.select(F.explode(outputs).alias("_out")).select(
             *[F.col(f"_out.row.{c}").alias(c) for c in self.schema.fieldNames()],
             F.col("_out.change").alias(U.CHANGE_TYPE),
-            F.col("_out.kind").alias("kind"),
+            F.col("_out.kind").alias(KIND),
             F.col(f"_out.row.{BUCKET}").alias(BUCKET),
         )
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "kind", BUCKET
-        ).parquet(f"{self.path}/data/v={version}")
+            KIND, BUCKET
+        ).parquet(self._folder(version))
 
     def _written(self, version: int, kind: str) -> list[int]:
-        names = self._files.names(f"{self.path}/data/v={version}/kind={kind}")
+        names = self._files.names(f"{self._folder(version)}/{KIND}={kind}")
         return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}="))
 
     def _publish(self, commit: Commit) -> Commit:
@@ -314,13 +327,13 @@ class VersionedTable:
         spread = F.pmod(F.hash(*self.keys), F.lit(files_per_bucket))
         out = rows.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
         (
-            out.withColumn("kind", F.lit("state"))
+            out.withColumn(KIND, F.lit("state"))
             .repartition(BUCKET, spread)
             .sortWithinPartitions(BUCKET, *self.keys)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("kind", BUCKET)
-            .parquet(f"{self.path}/data/v={version}")
+            .partitionBy(KIND, BUCKET)
+            .parquet(self._folder(version))
         )
         buckets = {b: version for b in self._written(version, "state")}
         return self._publish(Commit(version, buckets, dict(last.applied)))

@@ -25,7 +25,7 @@ from eventlake.operators import upsert as U
 from eventlake.session import pin_utc
 from eventlake.sources import files as CSV
 from eventlake.sources.document_sink import DocumentClient, write_documents
-from eventlake.sources.versioned import Files, VersionedTable
+from eventlake.sources.versioned import BUCKET, Files, VersionedTable
 from eventlake.streaming.batches import drain
 
 Connect = Callable[[], DocumentClient]
@@ -220,7 +220,7 @@ def drain_documents(spark: SparkSession, lake: Lake, mirror: Connect | None = No
             return
         touched = documents.buckets_of_keys(changes)
         rows = state.read(upto, only=state.buckets_of_keys(changes))
-        clients = D.affected_clients(changes).withColumn("bucket", documents.bucket_of())
+        clients = D.affected_clients(changes).withColumn(BUCKET, documents.bucket_of())
         done = documents.merge(
             D.rebuild_documents(rows, changes),
             stream="documents",
