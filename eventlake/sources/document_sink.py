@@ -20,6 +20,9 @@ class DocumentClient(Protocol):
     def replace_many(self, documents: list[tuple[dict, dict]]) -> None:
         """Replace or insert each ``(key, document)`` as one bulk call."""
 
+    def delete_many(self, keys: list[dict]) -> None:
+        """Remove the documents with these keys, if present, as one bulk call."""
+
     def close(self) -> None: ...
 
 
@@ -58,22 +61,40 @@ def write_documents(
     Replacing by key is idempotent, so a chunk may be sent again after a failure and
     a lost task may run again.
     """
-    key_names = tuple(keys)
+    names = tuple(keys)
+
+    def replace(client: DocumentClient, rows: list[dict]) -> None:
+        client.replace_many([({name: row[name] for name in names}, row) for row in rows])
+
+    documents.foreachPartition(_sender(connect, replace, chunk_size, attempts, base))
+
+
+def remove_documents(
+    rows: DataFrame,
+    connect: Callable[[], DocumentClient],
+    keys: Sequence[str],
+    chunk_size: int = 500,
+    attempts: int = ATTEMPTS,
+    base: float = WAIT_BASE,
+) -> None:
+    """Remove the document of every given key; keys without a document do no harm."""
+    rows.select(*keys).foreachPartition(
+        _sender(connect, lambda client, found: client.delete_many(found), chunk_size, attempts, base)
+    )
+
 
+def _sender(connect, call, chunk_size: int, attempts: int, base: float) -> Callable[[Iterator[Row]], None]:
     def send(rows: Iterator[Row]) -> None:
         for chunk in _chunks(rows, chunk_size):
-            pairs = []
-            for row in chunk:
-                document = row.asDict(recursive=True)
-                pairs.append(({name: document[name] for name in key_names}, document))
+            found = [row.asDict(recursive=True) for row in chunk]
 
-            def attempt(batch=pairs) -> None:
+            def attempt(batch=found) -> None:
                 client = connect()
                 try:
-                    client.replace_many(batch)
+                    call(client, batch)
                 finally:
                     client.close()
 
             retrying(attempt, attempts, base)
 
-    documents.foreachPartition(send)
+    return send

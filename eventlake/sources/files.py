@@ -10,6 +10,8 @@ the raw line in ``_rescued_data``.
 
 from __future__ import annotations
 
+import csv
+import fnmatch
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -101,7 +103,8 @@ def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...
     first = lines.groupBy("path").agg(F.min_by("value", F.struct("start", "position")).alias("header"))
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in first.collect():
-        names = tuple(name.strip().strip('"') for name in (row["header"] or "").lstrip("﻿").split(","))
+        header = (row["header"] or "").lstrip("\ufeff")
+        names = tuple(name.strip() for name in next(csv.reader([header]), []))
         groups.setdefault(names, []).append(row["path"])
     return groups
 
@@ -231,8 +234,6 @@ def route_by_file(
     spark: SparkSession, landing: str, root: str, checkpoint: str, sources: Iterable[DropSource], max_files: int = 1000
 ) -> None:
     """One stream over the whole folder; every batch is split over the tables by file name."""
-    import fnmatch
-
     kinds = tuple(sources)
 
     def on_batch(files: DataFrame, batch_id: int) -> None:

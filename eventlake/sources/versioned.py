@@ -14,7 +14,8 @@ others. The commit file is renamed into place last. Files of a version without
 a commit are never read, so a job that dies half-way leaves no trace in results.
 
 One writer per table at a time, which a stream's checkpoint already guarantees.
-A replayed micro-batch is recognised by ``(stream, batch_id)`` and skipped.
+Each commit also records how far every feeding stream has come, so progress and
+data change together: a replayed batch is recognised and skipped.
 
 Sizing: choose ``buckets`` so that one bucket is about 1 GB or less of parquet.
 The commit file and the driver hold one small number per bucket, never rows.
@@ -219,12 +220,10 @@ class VersionedTable:
 
     def changes(self, after: int, upto: int | None = None) -> DataFrame:
         """Change rows of the committed versions in ``(after, upto]``, with ``_commit_version``."""
-        known = [v for v in self.versions() if v > after and (upto is None or v <= upto)]
-        paths = [
-            self._folder(v, "change", b)
-            for v in known
-            for b in self.commit(v).changed
-        ]
+        return self.changes_in([v for v in self.versions() if v > after and (upto is None or v <= upto)])
+
+    def changes_in(self, versions: Iterable[int]) -> DataFrame:
+        paths = [self._folder(v, "change", b) for v in sorted(versions) for b in self.commit(v).changed]
         extra = T.StructType(
             [T.StructField(U.CHANGE_TYPE, T.StringType()), T.StructField(VERSION, T.LongType())]
         )
@@ -233,6 +232,21 @@ class VersionedTable:
             U.CHANGE_TYPE, *self.schema.fieldNames(), F.col(VERSION).alias(U.COMMIT_VERSION)
         )
 
+    def current_rows(self, keys: DataFrame) -> DataFrame:
+        """The latest row of each given key that still has one; reads only their buckets."""
+        rows = self.read(only=self.buckets_of_keys(keys))
+        return self._matching(rows, keys, "left_semi")
+
+    def missing_keys(self, keys: DataFrame) -> DataFrame:
+        """The given keys that have no row any more."""
+        rows = self.read(only=self.buckets_of_keys(keys))
+        return self._matching(keys, rows, "left_anti")
+
+    def _matching(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys])
+        on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in self.keys]
+        return left.join(right, on, how)
+
     # -- writing ---------------------------------------------------------------
 
     def merge(
@@ -342,21 +356,19 @@ class VersionedTable:
         """Rewrite small files, sorted by key, so that key filters skip row groups."""
         return self.replace(self.read())
 
-    # -- streaming -------------------------------------------------------------
+    # -- following ---------------------------------------------------------------
 
-    def commit_stream(self, max_commits_per_batch: int | None = None) -> DataFrame:
+    def commit_stream(self, max_commits_per_batch: int) -> DataFrame:
         """Stream of commit files: one row per committed version, each delivered once."""
         reader = self.spark.readStream.schema("version bigint")
-        if max_commits_per_batch:
-            reader = reader.option("maxFilesPerTrigger", max_commits_per_batch)
-        return reader.json(f"{self.path}/commits")
+        return reader.option("maxFilesPerTrigger", max_commits_per_batch).json(f"{self.path}/commits")
 
     def follow(
         self,
         apply: Callable[[DataFrame, int], None],
         checkpoint: str,
-        max_commits_per_batch: int | None = None,
-    ):
+        max_commits_per_batch: int = 100,
+    ) -> None:
         """Drain the change feed: ``apply(change_rows, batch_id)`` per batch of new versions.
 
         The stream carries version numbers; the change rows are read from the files of
@@ -365,16 +377,27 @@ class VersionedTable:
         path = self.path
 
         def on_batch(commits: DataFrame, batch_id: int) -> None:
-            span = commits.agg(F.min("version"), F.max("version")).first()
-            if span[0] is None:
-                return
-            table = VersionedTable.open(commits.sparkSession, path)
-            apply(table.changes(span[0] - 1, span[1]), batch_id)
+            versions = [r["version"] for r in commits.collect()]  # at most max_commits_per_batch
+            if versions:
+                apply(VersionedTable.open(commits.sparkSession, path).changes_in(versions), batch_id)
 
-        return (
+        query = (
             self.commit_stream(max_commits_per_batch)
             .writeStream.foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
         )
+        query.awaitTermination()
+
+    def pending(self, target: VersionedTable, consumer: str, max_versions: int = 100) -> Iterable[tuple[int, int]]:
+        """Version spans ``(after, upto]`` that ``target`` has not taken in yet, oldest first.
+
+        ``target`` records the last version with each of its commits, under the consumer's name.
+        """
+        while True:
+            done = max(0, target.commit().applied.get(consumer, 0))
+            ahead = [v for v in self.versions() if v > done][:max_versions]
+            if not ahead:
+                return
+            yield done, ahead[-1]

@@ -1,12 +1,14 @@
 """The drain-and-stop jobs: master files, events, metrics, documents.
 
-Each job processes what is available and stops. Every stream has its own
-checkpoint below the environment's root; every table remembers the last batch it
-applied, so replaying a batch changes nothing.
+Each job processes what is available and stops. Streams that read files or a
+broker keep a checkpoint of their own below the environment's root. Jobs that
+feed one table from another keep their progress in the target's own commits, so
+data and progress cannot drift apart.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -24,7 +26,7 @@ from eventlake.operators import serving as R
 from eventlake.operators import upsert as U
 from eventlake.session import pin_utc
 from eventlake.sources import files as CSV
-from eventlake.sources.document_sink import DocumentClient, write_documents
+from eventlake.sources.document_sink import DocumentClient, remove_documents, write_documents
 from eventlake.sources.versioned import BUCKET, Files, VersionedTable
 from eventlake.streaming.batches import drain
 
@@ -117,11 +119,14 @@ def drain_events(
     before it meets the master data.
     """
     lake.state(spark)
+    checkpoint = lake.checkpoint(f"silver-{stream}")
     kept = ("client_name", "tax_id") if coalesce_enrichment else ()
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         session = pin_utc(batch.sparkSession)
         state = lake.state(session)
+        # A new checkpoint counts batches from zero again: its id is part of the name.
+        source = f"{stream}:{checkpoint_id(session, checkpoint)}"
         judged = V.classify(V.raw_events(batch), wire, contract).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_quarantine(V.quarantined_events(judged), lake, stream, batch_id, mirror)
@@ -132,7 +137,7 @@ def drain_events(
             try:
                 state.merge(
                     rows,
-                    stream=stream,
+                    stream=source,
                     batch_id=batch_id,
                     guard=U.newer("event_time", tie_break="offset"),
                     prefer_known=kept,
@@ -143,7 +148,12 @@ def drain_events(
         finally:
             judged.unpersist()
 
-    drain(log, on_batch, lake.checkpoint(f"silver-{stream}"))
+    drain(log, on_batch, checkpoint)
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when this checkpoint was made."""
+    return json.loads(Files(spark, checkpoint).read_text(f"{checkpoint}/metadata"))["id"]
 
 
 def write_quarantine(
@@ -168,71 +178,80 @@ def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
 # -- gold ------------------------------------------------------------------------
 
 
-def drain_metrics(
-    spark: SparkSession, lake: Lake, recompute: bool = False, mirror: Connect | None = None
-) -> None:
+def drain_metrics(spark: SparkSession, lake: Lake, recompute: bool = False) -> None:
     """Bring the daily metrics up to date with the state's change feed.
 
     By default the change rows are summed with their sign, which costs as much as
     there were changes. ``recompute`` reads the state again for the affected days.
     """
-    lake.metrics(spark)
+    pin_utc(spark)
+    state, metrics = lake.state(spark), lake.metrics(spark)
+    for after, upto in state.pending(metrics, "state"):
+        changes = state.changes(after, upto)
+        if not recompute:
+            metrics.merge(M.metric_deltas(changes), stream="state", batch_id=upto, verdicts=M.apply_deltas)
+            continue
+        days = M.affected_dates(changes)
+        metrics.merge(
+            M.recompute_affected(state.read(upto), changes),
+            stream="state",
+            batch_id=upto,
+            touched=metrics.buckets_of_keys(days),
+            verdicts=lambda t, s, by, days=days: M.replace_affected(t, s, days, by),
+        )
 
-    def apply(changes: DataFrame, batch_id: int) -> None:
-        session = pin_utc(changes.sparkSession)
-        metrics = lake.metrics(session)
-        if recompute:
-            days = M.affected_dates(changes)
-            upto = changes.agg(F.max(U.COMMIT_VERSION)).first()[0]
-            if upto is None:
-                return
-            rows = M.recompute_affected(lake.state(session).read(upto), changes)
-            done = metrics.merge(
-                rows,
-                stream="metrics",
-                batch_id=batch_id,
-                touched=metrics.buckets_of_keys(days),
-                verdicts=lambda t, s, by: M.replace_affected(t, s, days, by),
-            )
-        else:
-            done = metrics.merge(
-                M.metric_deltas(changes), stream="metrics", batch_id=batch_id, verdicts=M.apply_deltas
-            )
-        if mirror is not None:
-            new = U.new_rows(metrics.changes(done.version - 1, done.version))
-            write_documents(M.mirror(new.select(*S.METRICS.fieldNames())), mirror, S.METRIC_KEY)
-
-    lake.state(spark).follow(apply, lake.checkpoint("gold-metrics")).awaitTermination()
-
-
-def drain_documents(spark: SparkSession, lake: Lake, mirror: Connect | None = None) -> None:
+
+def drain_documents(spark: SparkSession, lake: Lake) -> None:
     """Rebuild the documents of every client named in the change feed.
 
     State and documents are bucketed by client: only the touched buckets of both are read.
     """
-    lake.documents(spark)
-
-    def apply(changes: DataFrame, batch_id: int) -> None:
-        session = pin_utc(changes.sparkSession)
-        state, documents = lake.state(session), lake.documents(session)
-        upto = changes.agg(F.max(U.COMMIT_VERSION)).first()[0]
-        if upto is None:
-            return
-        touched = documents.buckets_of_keys(changes)
-        rows = state.read(upto, only=state.buckets_of_keys(changes))
-        clients = D.affected_clients(changes).withColumn(BUCKET, documents.bucket_of())
-        done = documents.merge(
+    pin_utc(spark)
+    state, documents = lake.state(spark), lake.documents(spark)
+    for after, upto in state.pending(documents, "state"):
+        changes = state.changes(after, upto)
+        clients = D.affected_clients(changes)
+        rows = state.read(upto, only=state.buckets_of_keys(clients))
+        keyed = clients.withColumn(BUCKET, documents.bucket_of())
+        documents.merge(
             D.rebuild_documents(rows, changes),
-            stream="documents",
-            batch_id=batch_id,
-            touched=touched,
-            verdicts=lambda t, s, by: D.replace_documents(t, s, clients.repartition(by), by),
+            stream="state",
+            batch_id=upto,
+            touched=documents.buckets_of_keys(clients),
+            verdicts=lambda t, s, by, keyed=keyed: D.replace_documents(t, s, keyed.repartition(by), by),
         )
-        if mirror is not None:
-            new = U.new_rows(documents.changes(done.version - 1, done.version))
-            write_documents(new.select(*S.DOCUMENTS.fieldNames()), mirror, S.DOCUMENT_KEY)
 
-    lake.state(spark).follow(apply, lake.checkpoint("gold-documents")).awaitTermination()
+
+# -- mirrors -----------------------------------------------------------------------
+
+
+def mirror_table(
+    table: VersionedTable,
+    checkpoint: str,
+    connect: Connect,
+    shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Bring an external document store up to date with a table.
+
+    The change feed says which keys changed; what is sent is their current row, and
+    keys without one are removed. Sending again or in another order ends the same.
+    """
+
+    def apply(changes: DataFrame, batch_id: int) -> None:
+        latest = VersionedTable.open(changes.sparkSession, table.path)
+        keys = changes.select(*table.keys).distinct()
+        write_documents(shape(latest.current_rows(keys)), connect, table.keys)
+        remove_documents(shape(latest.missing_keys(keys)), connect, table.keys)
+
+    table.follow(apply, checkpoint)
+
+
+def mirror_metrics(spark: SparkSession, lake: Lake, connect: Connect) -> None:
+    mirror_table(lake.metrics(spark), lake.checkpoint("mirror-metrics"), connect, M.mirror)
+
+
+def mirror_documents(spark: SparkSession, lake: Lake, connect: Connect) -> None:
+    mirror_table(lake.documents(spark), lake.checkpoint("mirror-documents"), connect)
 
 
 def run_once(spark: SparkSession, lake: Lake, log: DataFrame, **event_options) -> None:

@@ -10,12 +10,19 @@ class FolderClient:
     def __init__(self, folder):
         self.folder = folder
 
+    def _path(self, key):
+        return os.path.join(self.folder, "_".join(str(v) for v in key.values()) + ".json")
+
     def replace_many(self, documents):
         for key, document in documents:
-            name = "_".join(str(v) for v in key.values())
-            with open(os.path.join(self.folder, name + ".json"), "w") as handle:
+            with open(self._path(key), "w") as handle:
                 json.dump(document, handle, default=str)
 
+    def delete_many(self, keys):
+        for key in keys:
+            if os.path.exists(self._path(key)):
+                os.remove(self._path(key))
+
     def close(self):
         pass
 

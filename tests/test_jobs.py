@@ -81,26 +81,46 @@ def test_metrics_follow_late_and_moving_rows(spark, sf, lake, segments):
         assert Q.differences(where.metrics(spark).read(), wanted).isEmpty()
 
 
-def test_mirrors_receive_replaced_rows(spark, sf, lake, segments, tmp_path):
+def test_mirrors_follow_their_tables(spark, sf, lake, segments, tmp_path):
     folders = {name: str(tmp_path / name) for name in ("quarantine", "metrics", "documents")}
     for folder in folders.values():
         os.makedirs(folder)
     connect = {name: (lambda folder=folder: FolderClient(folder)) for name, folder in folders.items()}
-    J.drain_events(
-        spark, lake, stream_log(spark, "parquet", {}, segments),
-        master=lambda s: X.client_master(s, sf), mirror=connect["quarantine"],
-    )
-    J.drain_metrics(spark, lake, mirror=connect["metrics"])
-    J.drain_documents(spark, lake, mirror=connect["documents"])
+    log = stream_log(spark, "parquet", {}, segments)
+    standing = F.col("value").cast("string").contains("ins-001")
+    for name, part in (("standing", standing), ("arriving", ~standing)):
+        J.drain_events(
+            spark, lake, log.filter(part), master=lambda s: X.client_master(s, sf),
+            mirror=connect["quarantine"], stream=name,
+        )
+        J.drain_metrics(spark, lake)
+        J.drain_documents(spark, lake)
+        J.mirror_metrics(spark, lake, connect["metrics"])
+        J.mirror_documents(spark, lake, connect["documents"])
     assert len(documents_in(folders["quarantine"])) == J.read_quarantine(spark, lake).count()
+    # Groups and documents that vanished with the second feed are gone from the store as well.
     metrics = documents_in(folders["metrics"])
-    assert len(metrics) == lake.metrics(spark).read().count()
     assert all(isinstance(m["ref_date"], str) for m in metrics.values())
+    assert sum(m["total_events"] for m in metrics.values()) == lake.state(spark).read().count()
+    assert len(metrics) == lake.metrics(spark).read().count()
     documents = documents_in(folders["documents"])
     assert len(documents) == lake.documents(spark).read().count()
     assert sum(len(d["items"]) for d in documents.values()) == lake.state(spark).read().count()
 
 
+def test_lost_checkpoint_repeats_without_harm(spark, sf, lake, segments, tmp_path):
+    master = lambda s: X.client_master(s, sf)
+    J.drain_events(spark, lake, stream_log(spark, "parquet", {}, segments), master=master)
+    J.drain_metrics(spark, lake)
+    wanted = M.daily_metrics(X.state(spark, sf))
+    os.rename(lake.checkpoint("silver-events"), str(tmp_path / "lost"))
+    J.drain_events(spark, lake, stream_log(spark, "parquet", {}, segments), master=master)
+    J.drain_metrics(spark, lake)
+    assert lake.state(spark).versions() == [1, 2]
+    assert lake.state(spark).changes(1).isEmpty()
+    assert Q.differences(lake.metrics(spark).read(), wanted).isEmpty()
+
+
 def test_environments_share_nothing(lake):
     prod = J.Lake(lake.root, env="prod")
     assert prod.checkpoint("x") != lake.checkpoint("x")

@@ -143,15 +143,35 @@ def test_following_delivers_each_version_once(spark, table, tmp_path):
     merge(table, spark, ("a", 1, "x"))
     merge(table, spark, ("a", 2, "y"))
     checkpoint = str(tmp_path / "cp")
-    table.follow(apply, checkpoint, max_commits_per_batch=1).awaitTermination()
+    table.follow(apply, checkpoint, max_commits_per_batch=1)
     assert seen == [[1], [2]]
-    table.follow(apply, checkpoint).awaitTermination()
+    table.follow(apply, checkpoint)
     assert seen == [[1], [2]]
     merge(table, spark, ("b", 1, "x"))
-    table.follow(apply, checkpoint).awaitTermination()
+    table.follow(apply, checkpoint)
     assert seen == [[1], [2], [3]]
 
 
+def test_pending_spans_follow_the_targets_own_progress(spark, table, tmp_path):
+    target = VersionedTable.create(spark, str(tmp_path / "target"), ROW, ["k"], buckets=2)
+    for n in range(5):
+        merge(table, spark, (f"k{n}", 1, "x"))
+    spans = []
+    for after, upto in table.pending(target, "t", max_versions=2):
+        spans.append((after, upto))
+        target.merge(U.new_rows(table.changes(after, upto)).select(*ROW.fieldNames()), stream="t", batch_id=upto)
+    assert spans == [(0, 2), (2, 4), (4, 5)]
+    assert list(table.pending(target, "t")) == []
+    assert rows_of(target.read()) == rows_of(table.read())
+
+
+def test_current_rows_and_missing_keys(spark, table):
+    merge(table, spark, ("a", 1, "x"), ("b", 1, "x"), (None, 1, "x"))
+    keys = spark.createDataFrame([("a",), (None,), ("z",)], "k string")
+    assert rows_of(table.current_rows(keys)) == [("a", 1, "x"), (None, 1, "x")]
+    assert rows_of(table.missing_keys(keys)) == [("z",)]
+
+
 def test_commit_file_is_small_and_plain(table, spark):
     merge(table, spark, ("a", 1, "x"))
     with open(os.path.join(table.path, "commits", "000000000001.json")) as handle:
