@@ -21,36 +21,44 @@ def newest_master(master: DataFrame, key: str = "client_id") -> DataFrame:
     return latest_per_key(master, [key], [F.desc_nulls_last("_ingested_at"), *rest])
 
 
-def enrich(items: DataFrame, master: DataFrame, columns: Sequence[str] = ("client_name", "tax_id")) -> DataFrame:
+def enrich(
+    items: DataFrame,
+    master: DataFrame,
+    columns: Sequence[str] = ("client_name", "tax_id"),
+    broadcast_below: int | None = None,
+) -> DataFrame:
     """Left join with a keyed master table; unmatched items keep NULLs.
 
-    No broadcast hint: the master grows with the number of clients. Spark
+    No broadcast hint by default: the master grows with the number of clients. Spark
     broadcasts it by itself while it is small; beyond that both sides are shuffled
-    and adaptive execution splits the partition of a hot client, which it can do
-    because nothing between the join and its two shuffles depends on the key.
+    and adaptive execution splits the partition of a hot client. It can do so as
+    long as ``master`` is read as stored and not itself the result of a shuffle by
+    client; items that are one row per key already, as in the jobs, have no hot client.
+    ``broadcast_below`` measures the needed master columns and broadcasts below that size.
+
     Only the needed master columns are read, which also leaves one ``bank_id``.
     """
-    return items.join(master.select("client_id", *columns), "client_id", "left")
+    names = master.select("client_id", *columns)
+    if broadcast_below is not None:
+        names = broadcast_if_small(names, broadcast_below)
+    return items.join(names, "client_id", "left")
 
 
 def measured_bytes(rows: DataFrame) -> int:
-    """Upper estimate of the in-memory size, from the data and not from file statistics."""
-    wide = [
-        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + F.lit(32)
-        if f.dataType.simpleString() in ("string", "binary")
-        else F.lit(32)
-        for f in rows.schema.fields
-    ]
-    size = wide[0]
-    for part in wide[1:]:
-        size = size + part
-    return int(rows.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("n")).first()["n"])
+    """Upper estimate of the in-memory size of flat rows, from the data and not from file statistics."""
+    size = F.lit(0).cast("long")
+    for f in rows.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("array", "map", "struct", "variant"):
+            raise TypeError(f"column {f.name} has no simple size")
+        text = F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if kind in ("string", "binary") else F.lit(0)
+        size = size + text + 32
+    return rows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
 
 
 def broadcast_if_small(rows: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast only after measuring the side; larger sides take the shuffled join."""
-    flat = all(f.dataType.simpleString() not in ("variant",) and not hasattr(f.dataType, "elementType") for f in rows.schema.fields)
-    return F.broadcast(rows) if flat and measured_bytes(rows) <= limit else rows
+    return F.broadcast(rows) if measured_bytes(rows) <= limit else rows
 
 
 def lookup_array(rows: DataFrame, other: DataFrame, local: str, foreign: str, name: str) -> DataFrame:

@@ -126,12 +126,9 @@ def compacted_state(spark, sf):
 def bronze_ingest(spark, sf):
     """The client master written as CSV files into the drop folder and taken in."""
     lake = new_lake(spark)
-    CSV.write_csv(X.client_master(spark, sf), f"{lake.landing}/clients")
-    source = CSV.DropSource("client_master", "*.csv", S.CLIENT_MASTER)
-    CSV.ingest(
-        spark, source, f"{lake.landing}/clients", lake.bronze("client_master"), lake.checkpoint("bronze")
-    )
-    return J.current_master(spark, lake).select(*S.CLIENT_MASTER.fieldNames())
+    CSV.write_csv(X.client_master(spark, sf), lake.landing)
+    J.ingest_master(pin_utc(spark), lake, [CSV.DropSource("client_master", "*.csv", S.CLIENT_MASTER)])
+    return lake.clients(spark).read().select(*S.CLIENT_MASTER.fieldNames())
 
 
 @query

@@ -13,7 +13,7 @@ from __future__ import annotations
 import csv
 import fnmatch
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -138,7 +138,8 @@ def _hint_known(schema: T.StructType, hints: str) -> T.StructType:
     return T.StructType([wanted.get(f.name, f) for f in schema.fields])
 
 
-def _append(spark: SparkSession, table: str, source: DropSource, paths: Sequence[str], batch: str) -> None:
+def _append(spark: SparkSession, table: str, source: DropSource, paths: Sequence[str], batch: str) -> DataFrame:
+    """Store the rows of some files as one batch of the table and return them as stored."""
     rows = read_drop(spark, paths, source.hints)
     data_columns = [f for f in rows.schema.fields if not f.name.startswith("_")]
     found = T.StructType(data_columns + S.PROVENANCE.fields)
@@ -146,7 +147,9 @@ def _append(spark: SparkSession, table: str, source: DropSource, paths: Sequence
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in rows.columns]
     out = rows.select("*", *missing).select(*schema.fieldNames())
     # A replayed batch overwrites its own folder, so no row is appended twice.
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{table}/data/batch={batch}")
+    folder = f"{table}/data/batch={batch}"
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def file_stream(
@@ -173,15 +176,21 @@ def ingest(
     checkpoint: str,
     max_files: int | None = 1000,
     archive: str | None = None,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
-    """Drain the new files of one source into its append table."""
+    """Drain the new files of one source into its append table.
+
+    ``then(rows, batch_id)`` sees the stored rows of each batch, again after a failure.
+    """
     table = table.rstrip("/")
     evolve_schema(spark, table, T.StructType(source.columns.fields + S.PROVENANCE.fields))
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
         paths = [row["path"] for row in files.select("path").collect()]  # at most max_files names
         if paths:
-            _append(files.sparkSession, table, source, paths, f"s{batch_id}")
+            stored = _append(files.sparkSession, table, source, paths, f"s{batch_id}")
+            if then is not None:
+                then(stored, batch_id)
 
     query = (
         file_stream(spark, landing, source.pattern, max_files, archive)

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake import schemas as S
 from eventlake.functions.contract import INTAKE, Contract
@@ -32,6 +33,8 @@ from eventlake.streaming.batches import drain
 
 Connect = Callable[[], DocumentClient]
 
+CLIENTS = T.StructType(S.CLIENT_MASTER.fields + S.row(_ingested_at=S.TIME).fields)
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -67,6 +70,12 @@ class Lake:
             spark, self._at("silver", "state"), S.STATE, S.STATE_KEY, ["client_id"], self.buckets
         )
 
+    def clients(self, spark: SparkSession) -> VersionedTable:
+        """Newest master row per client, in the same buckets as the state."""
+        return VersionedTable.create(
+            spark, self._at("silver", "clients"), CLIENTS, ["client_id"], ["client_id"], self.buckets
+        )
+
     def metrics(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable.create(
             spark, self._at("gold", "daily_metrics"), S.METRICS, S.METRIC_KEY, ["ref_date"], self.buckets
@@ -82,20 +91,37 @@ class Lake:
 
 
 def ingest_master(spark: SparkSession, lake: Lake, sources: Sequence[CSV.DropSource] = CSV.DROP_SOURCES) -> None:
-    """One stream per kind of file, each with its own table and checkpoint."""
+    """One stream per kind of file, each with its own table and checkpoint.
+
+    New client rows also go into the keyed client table, so that no later job has to
+    deduplicate the whole history.
+    """
+    lake.clients(spark)
     for source in sources:
+        checkpoint = lake.checkpoint(f"bronze-{source.name}")
         CSV.ingest(
-            spark, source, lake.landing, lake.bronze(source.name), lake.checkpoint(f"bronze-{source.name}")
+            spark,
+            source,
+            lake.landing,
+            lake.bronze(source.name),
+            checkpoint,
+            then=_upsert_clients(lake, checkpoint) if source.name == "client_master" else None,
         )
 
 
-def current_master(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Newest row per client of the append-only master table; empty before the first file."""
-    try:
-        master = CSV.read_table(spark, lake.bronze("client_master"))
-    except FileNotFoundError:
-        return spark.createDataFrame([], S.CLIENT_MASTER)
-    return E.newest_master(master.filter(F.col("client_id").isNotNull()))
+def _upsert_clients(lake: Lake, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    def upsert(rows: DataFrame, batch_id: int) -> None:
+        session = rows.sparkSession
+        known = rows.filter(F.col("client_id").isNotNull()).select(*CLIENTS.fieldNames())
+        lake.clients(session).merge(
+            E.newest_master(known),
+            stream=f"bronze:{checkpoint_id(session, checkpoint)}",
+            batch_id=batch_id,
+            guard=U.newer("_ingested_at"),
+            unique_source=True,
+        )
+
+    return upsert
 
 
 # -- silver ----------------------------------------------------------------------
@@ -131,20 +157,22 @@ def drain_events(
         try:
             write_quarantine(V.quarantined_events(judged), lake, stream, batch_id, mirror)
             newest = U.newest_items(V.explode_items(V.valid_events(judged)))
-            names = master(session) if master else current_master(session, lake)
-            rows = E.enrich(newest, names).select(*S.STATE.fieldNames())
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            newest = newest.persist(StorageLevel.MEMORY_AND_DISK)
             try:
+                # State and clients share their buckets: only those of the batch are read.
+                touched = state.buckets_of_keys(newest)
+                names = master(session) if master else lake.clients(session).read(only=touched)
                 state.merge(
-                    rows,
+                    E.enrich(newest, names).select(*S.STATE.fieldNames()),
                     stream=source,
                     batch_id=batch_id,
+                    touched=touched,
                     guard=U.newer("event_time", tie_break="offset"),
                     prefer_known=kept,
                     unique_source=True,
                 )
             finally:
-                rows.unpersist()
+                newest.unpersist()
         finally:
             judged.unpersist()
 
