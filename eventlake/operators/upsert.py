@@ -77,6 +77,7 @@ def merge(
     insert: bool = True,
     prefer_known: Sequence[str] = (),
     unique_source: bool = False,
+    keys_not_null: bool = False,
     co_partition: str | None = None,
 ) -> DataFrame:
     """One verdict row per key: ``_old``, ``_new`` (the surviving row or NULL) and ``_action``.
@@ -87,6 +88,7 @@ def merge(
     ``delete_missing``         drop rows the source does not hold where the predicate is true
     ``prefer_known``           keep the old value of these columns where the new one is NULL
     ``unique_source``          the caller vouches for unique source keys; else they are counted
+    ``keys_not_null``          no key is NULL on either side, so plain equality does (cheaper to sort)
     ``co_partition``           a column both sides are already partitioned by, added to the join key
     """
     if not unique_source:
@@ -94,7 +96,10 @@ def merge(
     columns = state.columns
     t = state.select(*keys, *_extra(co_partition, keys), F.struct(*columns).alias("_t"))
     s = source.select(*keys, *_extra(co_partition, keys), F.struct(*columns).alias("_s"))
-    on = [F.col(f"t.{key}").eqNullSafe(F.col(f"s.{key}")) for key in keys]
+    if keys_not_null:
+        on = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys]
+    else:
+        on = [F.col(f"t.{key}").eqNullSafe(F.col(f"s.{key}")) for key in keys]
     if co_partition and co_partition not in keys:
         on.insert(0, F.col(f"t.{co_partition}") == F.col(f"s.{co_partition}"))
     both = t.alias("t").join(s.alias("s"), on, "full_outer").select("t._t", "s._s")

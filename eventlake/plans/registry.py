@@ -225,6 +225,7 @@ def merge_conditional(spark, sf):
         update_set={"status": lambda s, t: s["status"], "event_time": lambda s, t: s["event_time"]},
         insert=False,
         unique_source=True,
+        keys_not_null=True,
     )
     return flat(U.merged_state(verdicts))
 
@@ -241,6 +242,7 @@ def merge_soft_delete(spark, sf):
         ["client_id"],
         when_missing_set={"status": F.lit("inactive")},
         unique_source=True,
+        keys_not_null=True,
     )
     return U.merged_state(verdicts)
 
@@ -288,7 +290,7 @@ def metrics_delta(spark, sf):
 
 @query
 def metrics_totals(spark, sf):
-    state = X.state(spark, sf)
+    state = X.stored(X.state(spark, sf), "state")
     exact = state.agg(F.countDistinct("client_id").alias("clients_exact"))
     return M.totals(M.daily_metrics(state)).withColumn("clients_exact", exact.scalar())
 
@@ -355,7 +357,7 @@ def client_documents_by_client(spark, sf):
 
 @query
 def item_history_documents(spark, sf):
-    return flat_documents(D.documents_from_items(X.items(spark, sf)))
+    return flat_documents(D.documents_from_items(X.stored(X.items(spark, sf), "items")))
 
 
 @query
@@ -372,7 +374,8 @@ def document_upsert(spark, sf):
 def document_push(spark, sf):
     standing, arriving = X.two_feeds(spark, sf)
     before = D.client_documents(U.newest_items(standing), by_client=True)
-    return flat_documents(D.push_items(before, arriving))
+    # Pushes are counted, grouped and headed: three uses, so they are stored once.
+    return flat_documents(D.push_items(before, X.stored(arriving, "pushes")))
 
 
 @query
@@ -502,7 +505,7 @@ def constraint_violations(spark, sf):
 @query
 def expectations_report(spark, sf):
     return Q.expectations_report(
-        X.state(spark, sf),
+        X.stored(X.state(spark, sf), "state"),
         not_null=["client_id", "event_time", "client_name"],
         unique=[S.STATE_KEY, ("client_id",)],
         references=[("client_id", X.client_master(spark, sf), "client_id")],

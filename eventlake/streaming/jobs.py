@@ -119,6 +119,7 @@ def _upsert_clients(lake: Lake, checkpoint: str) -> Callable[[DataFrame, int], N
             batch_id=batch_id,
             guard=U.newer("_ingested_at"),
             unique_source=True,
+            keys_not_null=True,
         )
 
     return upsert
@@ -170,6 +171,7 @@ def drain_events(
                     guard=U.newer("event_time", tie_break="offset"),
                     prefer_known=kept,
                     unique_source=True,
+                    keys_not_null=True,  # the contract asks for client and type
                 )
             finally:
                 newest.unpersist()
