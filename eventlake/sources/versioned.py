@@ -59,6 +59,9 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def make_folder(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

@@ -97,6 +97,7 @@ def ingest_master(spark: SparkSession, lake: Lake, sources: Sequence[CSV.DropSou
     deduplicate the whole history.
     """
     lake.clients(spark)
+    Files(spark, lake.root).make_folder(lake.landing)
     for source in sources:
         checkpoint = lake.checkpoint(f"bronze-{source.name}")
         CSV.ingest(

@@ -222,3 +222,22 @@ def test_change_types_seen_downstream(spark, sf, lake, segments):
     J.drain_events(spark, lake, stream(spark, segments), master=lambda s: X.client_master(s, sf))
     kinds = {r[0] for r in lake.state(spark).changes(0).select(U.CHANGE_TYPE).distinct().collect()}
     assert kinds == {"insert", "update_preimage", "update_postimage"}
+
+
+def test_command_line_run_and_sql_views(spark, sf, lake, segments):
+    from eventlake.__main__ import main
+    from eventlake.plans.views import register_views
+
+    main(["--root", lake.root, "--buckets", "2", "--log-path", segments])
+    assert lake.state(spark).buckets == 2
+    assert register_views(spark, lake) == ["client_documents", "consents", "daily_metrics", "quarantine"]
+    total = lake.state(spark).read().count()
+    assert spark.sql("SELECT sum(total_events) FROM daily_metrics").first()[0] == total
+    assert spark.sql("SELECT sum(size(items)) FROM client_documents").first()[0] == total
+    members = spark.createDataFrame([("ann", "analysts")], "member string, grp string")
+    insurers = spark.createDataFrame([("ann", "ins-002")], "member string, insurer_id string")
+    register_views(spark, lake, "ann", members, insurers)
+    seen = spark.sql("SELECT DISTINCT insurer_id, client_name FROM consents").collect()
+    assert [tuple(r) for r in seen] == [("ins-002", "CLIENTE PROTEGIDO")]
+    with pytest.raises(ValueError):
+        register_views(spark, lake, "ann")
