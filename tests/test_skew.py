@@ -14,14 +14,11 @@ import check_sql  # noqa: E402
 NAMES = (
     "enrich_left",
     "latest_per_key",
-    "merge_upsert",
     "daily_metrics",
     "metrics_delta",
     "client_documents",
-    "item_history_documents",
     "document_push",
     "expectations_report",
-    "window_counts",
     "stream_state",
 )
 

@@ -125,7 +125,7 @@ events = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(events, st.randoms())
 def test_any_batching_gives_the_newest_row_per_key(spark, history, rng):
     rows = [(k, t, o, f"{k}{t}{o}") for k, t, o in history]
