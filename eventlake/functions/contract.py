@@ -84,6 +84,6 @@ def reason_text(event: Column, contract: Contract = INTAKE) -> Column:
     readable = F.concat_ws(",", *named)
     return (
         F.when(event.isNull() | event["unreadable"], F.lit("malformed_json"))
-        .when(event["wrong_shape"], F.concat_ws(",", F.lit("wrong_shape"), readable))
+        .when(event["wrong_shape"], F.concat_ws(",", F.lit("wrong_shape"), F.nullif(readable, F.lit(""))))
         .otherwise(readable)
     )

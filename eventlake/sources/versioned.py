@@ -145,6 +145,7 @@ class VersionedTable:
             "bucket_by": list(table.bucket_by),
             "buckets": buckets,
         }
+        files.make_folder(f"{table.path}/commits")
         files.put_new(description, json.dumps(body))
         return table
 

@@ -155,7 +155,7 @@ def drain_events(
         state = lake.state(session)
         # A new checkpoint counts batches from zero again: its id is part of the name.
         source = f"{stream}:{checkpoint_id(session, checkpoint)}"
-        judged = V.classify(V.raw_events(batch), wire, contract).persist(StorageLevel.MEMORY_AND_DISK)
+        judged = halved(V.classify(V.raw_events(batch), wire, contract)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_quarantine(V.quarantined_events(judged), lake, stream, batch_id, mirror)
             newest = U.newest_items(V.explode_items(V.valid_events(judged)))
@@ -182,6 +182,14 @@ def drain_events(
     drain(log, on_batch, checkpoint)
 
 
+def halved(judged: DataFrame) -> DataFrame:
+    """Keep of each row what its output needs: the text if rejected, the parsed event if valid."""
+    rejected = F.col("reasons_text") != ""
+    return judged.withColumns(
+        {"raw_json": F.when(rejected, F.col("raw_json")), "event": F.when(~rejected, F.col("event"))}
+    )
+
+
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the stream when this checkpoint was made."""
     return json.loads(Files(spark, checkpoint).read_text(f"{checkpoint}/metadata"))["id"]

@@ -42,6 +42,7 @@ CASES = [
     (event(items=None), "no_items"),
     (event(items={"type": "a"}), "wrong_shape,no_items"),
     (event(items="a"), "wrong_shape,no_items"),
+    (event(items=[{"type": "a", "scope": "x", "status": "s"}]), "wrong_shape"),
     (event(client_id=...), "missing_client"),
     (event(client_id=""), "missing_client"),
     (event(client_id=17), ""),
