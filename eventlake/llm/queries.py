@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, language_id
+from eventlake.llm import decontaminate, language_id, license_scan, packing, simhash, url_filter
 from eventlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,49 @@ def op6_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(documents, language_id.learn(documents))
     held = F.coalesce(language_id.held_out(F.col("doc_id")), F.lit(False))
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_code(F.col("code")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filter.RULES, url_filter.RULE_SCHEMA)
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLE["op4_url_filter"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+rules(verdict, rhost, rpath) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fits AS (
+  SELECT page_id, verdict, rhost || rpath AS rule,
+         row_number() OVER (PARTITION BY page_id ORDER BY len(string_split(rhost, '.')) DESC, len(rpath) DESC) AS rn
+  FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE rn = 1) USING (page_id)
+"""
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("n_words", "matches")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
