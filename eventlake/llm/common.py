@@ -48,6 +48,18 @@ def same_document(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
 
+def keyed_rows(documents: DataFrame) -> DataFrame:
+    """``row, doc_id, text_key, whole_text``: all columns as one struct, so that no name can clash."""
+    row = F.struct(*[documents[c].alias(c) for c in documents.columns]).alias("row")
+    return documents.select(row, "doc_id", text_key(F.col("text")).alias("text_key"), F.col("text").alias("whole_text"))
+
+
+def keep(documents: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+    """The documents that are among the listed ``doc_id, text_key`` (``left_semi``) or not (``left_anti``)."""
+    rows = keyed_rows(documents)
+    return rows.join(listed, same_document(rows, listed), how).select("row.*")
+
+
 # ------------------------------------------------------------------ texts as bytes
 
 

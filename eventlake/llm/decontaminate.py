@@ -212,5 +212,4 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = contamination(documents, items).filter("contaminated").select("doc_id", "text_key")
-    keyed = documents.withColumn("text_key", C.text_key(F.col("text")))
-    return keyed.join(bad, C.same_document(keyed, bad), "left_anti").select(*[keyed[c] for c in documents.columns])
+    return C.keep(documents, bad, "left_anti")

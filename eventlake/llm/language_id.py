@@ -278,5 +278,4 @@ def with_language(documents: DataFrame) -> DataFrame:
     bad = verdicts.filter(
         (F.col("lang_pred") == UNKNOWN) | (F.coalesce("bits_per_byte", F.lit(PLAIN_BITS)) >= PLAIN_BITS)
     )
-    keyed = documents.withColumn("text_key", C.text_key(F.col("text")))
-    return keyed.join(bad, C.same_document(keyed, bad), "left_anti").select(*[keyed[c] for c in documents.columns])
+    return C.keep(documents, bad, "left_anti")

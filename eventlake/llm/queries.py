@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, language_id, license_scan, packing, simhash, url_filter
+from eventlake.llm import decontaminate, language_id, license_scan, line_dedup, packing, simhash, url_filter
 from eventlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", "removed_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )

@@ -297,6 +297,6 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     found = near_duplicates(documents)
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("pick")
     kept = found.groupBy("root").agg(pick).select("pick.doc_id", "pick.text_key")
-    keyed = documents.withColumn("text_key", C.text_key(F.col("text")))
-    kept_rows = keyed.join(kept, C.same_document(keyed, kept), "left_semi")
-    return kept_rows.dropDuplicates(["doc_id", "text_key"]).select(*documents.columns)
+    rows = C.keyed_rows(documents)
+    rows = rows.join(kept, C.same_document(rows, kept), "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return rows.select("row.*")
