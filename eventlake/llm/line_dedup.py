@@ -77,9 +77,8 @@ def shortest_spans(places: DataFrame, min_words: int) -> DataFrame:
 
     def nearest(known: Column, wanted: Column, order) -> DataFrame:
         """For each place the nearest other one by a running total, from one sort of both."""
-        both = rows.select(
-            *block, "pos", F.inline(F.array(F.struct(known.alias("at"), F.lit(0).alias("asks")), F.struct(wanted, F.lit(1))))
-        )
+        sides = [F.struct(value.alias("at"), F.lit(asks).alias("asks")) for asks, value in enumerate((known, wanted))]
+        both = rows.select(*block, "pos", F.inline(F.array(*sides)))
         window = Window.partitionBy(*block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         found = F.last(F.when(F.col("asks") == 0, F.col("pos")), ignorenulls=True).over(window)
         return both.withColumn("other", found).filter("asks = 1 AND other IS NOT NULL")
@@ -116,16 +115,8 @@ def later_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spans = C.stored(shortest_spans(places, min_words), "spans")
     longest = spans.agg(F.max(F.col("end") - F.col("start") + 1)).first()[0] or 1
     ranks = ranked(places, longest)
-    level = F.floor(F.log2(F.col("length"))).cast("int")
-    spans = spans.withColumn("length", F.col("end") - F.col("start") + 1).withColumn("level", level)
-    # a logarithm in floating point may be one off at powers of two
-    spans = spans.withColumn(
-        "level",
-        F.when(F.shiftleft(F.lit(1).cast("long"), F.col("level") + 1) <= F.col("length"), F.col("level") + 1)
-        .when(F.shiftleft(F.lit(1).cast("long"), F.col("level")) > F.col("length"), F.col("level") - 1)
-        .otherwise(F.col("level"))
-        .cast("int"),
-    )
+    spans = spans.withColumn("length", F.col("end") - F.col("start") + 1)
+    spans = spans.withColumn("level", F.length(F.bin("length")) - 1)  # of the highest bit
     spans = spans.withColumn("second", F.col("end") + 1 - F.expr("shiftleft(1L, level)"))
     head = ranks.select(F.col("pos").alias("start"), F.col("ranks").alias("head"))
     tail = ranks.select(F.col("pos").alias("second"), F.col("ranks").alias("tail"))

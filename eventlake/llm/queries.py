@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, language_id, license_scan, line_dedup, packing, simhash, url_filter
+from eventlake.llm import code_search, decontaminate, language_id, license_scan, line_dedup, packing, simhash, surrogates, url_filter
 from eventlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,30 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_lines", "n_removed", "removed_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query
+def op5_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every row whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return code_search.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 10)
+
+
+ORACLE["op5_code_search"] = """
+WITH codes AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, x -> x > 0) AS signs FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR isnan(x))) = 0),
+bits AS (SELECT vec_id, unnest(signs) AS bit, unnest(range(64)) AS at_bit FROM codes),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(CAST(q.bit <> c.bit AS INTEGER)) AS distance
+  FROM bits q JOIN bits c ON q.at_bit = c.at_bit WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
+WHERE rank <= 10
+"""
+
+
+@query
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.pseudonymised(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("entities").alias("n_entities"), "entities", "text")
