@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,6 +11,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Where a session on one machine remembers its temporary folder.
+_OWN_FOLDER = "eventlake.scratch"
+
 # Settings every job wants whatever the cluster size. Sizes (executors, memory,
 # shuffle partitions) belong to the deployment and are left alone here.
 COMMON_CONF = {
@@ -38,15 +43,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is empty (single-machine tests) a temporary folder is
-    made and remembered in the session, so later calls agree on it.
+    A session on one machine may leave the setting empty; it then gets a temporary folder,
+    removed when the process ends. On a cluster such a folder would be another one on each machine, so that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("eventlake.scratch", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_FOLDER, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir: the executors of a local cluster are processes of their own")
         folder = tempfile.mkdtemp(prefix="eventlake-")
-        spark.conf.set("eventlake.scratch", folder)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.conf.set(_OWN_FOLDER, folder)
     return folder.rstrip("/")
 
 
