@@ -54,10 +54,14 @@ def keyed_rows(documents: DataFrame) -> DataFrame:
     return documents.select(row, "doc_id", text_key(F.col("text")).alias("text_key"), F.col("text").alias("whole_text"))
 
 
+def by_document(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """Join on the document. Always by a sort-merge join: it works alike at every size and can split a hot id."""
+    return rows.join(other.hint("merge"), same_document(rows, other), how)
+
+
 def keep(documents: DataFrame, listed: DataFrame, how: str) -> DataFrame:
     """The documents that are among the listed ``doc_id, text_key`` (``left_semi``) or not (``left_anti``)."""
-    rows = keyed_rows(documents)
-    return rows.join(listed, same_document(rows, listed), how).select("row.*")
+    return by_document(keyed_rows(documents), listed, how).select("row.*")
 
 
 # ------------------------------------------------------------------ texts as bytes
@@ -67,8 +71,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and its n + 1 row offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary())
-    column = column.cast(pa.large_binary())
+    kind = column.type
+    if pa.types.is_string(kind) or pa.types.is_large_string(kind):
+        column = column.cast(pa.binary() if pa.types.is_string(kind) else pa.large_binary())
+    column = column.fill_null(b"").cast(pa.large_binary())
     _, where, data = column.buffers()
     offsets = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
     everything = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
@@ -157,13 +163,20 @@ def _prefix(values: np.ndarray) -> np.ndarray:
     return total
 
 
-def span_hashes(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans from one prefix sum: the same bytes give the same hash anywhere."""
-    total = _prefix(_RANDOM[folded])
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    return _prefix(_RANDOM[data])
+
+
+def hash_between(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans from their prefix hashes: the same bytes give the same hash anywhere."""
     _, inverse = _power_tables(len(total))
     return mixed((total[ends] - total[starts]) * inverse[starts])
 
 
+def span_hashes(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return hash_between(prefix_hashes(folded), starts, ends)
+
+
 def gram_hashes(items: np.ndarray, length: int) -> np.ndarray:
     """64-bit hashes of every run of ``length`` items."""
     if len(items) < length:

@@ -229,6 +229,33 @@ def learn(documents: DataFrame) -> Model:
     return build_model(gram_counts(training_sample(documents)))
 
 
+def _judged(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the best language (the count of languages for none), its score and bits per byte, for each row."""
+    rows = batch.num_rows
+    best, score, rate = np.full(rows, len(model.langs)), np.zeros(rows), np.full(rows, np.nan)
+    letters = batch.column(batch.schema.get_field_index(_LETTER)).to_numpy(zero_copy_only=False).astype(bool)
+    for start, stop, data, offsets in C.text_chunks(batch.column(batch.schema.get_field_index(_TEXT))):
+        judged = np.flatnonzero(letters[start:stop] & bool(model.langs))
+        if not len(judged):
+            continue
+        own = model.code_lengths(data, offsets)[judged]
+        shortest = own.min(1)
+        best[start + judged] = own.argmin(1)
+        # share of the best language if code lengths are read as likelihoods, a byte counting an eighth
+        gap = np.minimum(own - shortest[:, None], 8000) / 8
+        score[start + judged] = 1 / np.exp2(-gap).sum(1)
+        rate[start + judged] = shortest / np.maximum(np.diff(offsets)[judged], 1)
+    return best, score, rate
+
+
+_LETTER, _TEXT = "_llm_has_letter", "_llm_text"
+
+
+def _with_letters(documents: DataFrame, *columns: Column | str) -> DataFrame:
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return documents.select(*columns, letter.alias(_LETTER), F.col("text").alias(_TEXT))
+
+
 def identify(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, text_key, lang_pred, score, bits_per_byte`` of every document."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -237,45 +264,30 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         langs = np.array([*model.langs, UNKNOWN], dtype=object)
         for batch in batches:
-            done = 0
-            letters = batch.column("has_letter").to_numpy(zero_copy_only=False)
-            for start, stop, data, offsets in C.text_chunks(batch.column("text")):
-                bits = model.code_lengths(data, offsets)
-                size = np.maximum(np.diff(offsets), 1)
-                best = np.full(stop - start, len(model.langs))
-                score, rate = np.zeros(stop - start), np.full(stop - start, np.nan)
-                judged = letters[start:stop].astype(bool) & bool(model.langs)
-                if judged.any():
-                    own = bits[judged]
-                    best[judged] = own.argmin(1)
-                    # share of the best language if code lengths are read as likelihoods, a byte counting an eighth
-                    gap = np.minimum(own - own.min(1, keepdims=True), 8000) / 8
-                    score[judged] = 1 / np.exp2(-gap).sum(1)
-                    rate[judged] = own.min(1) / size[judged]
-                part = batch.slice(done, stop - start)
-                done += stop - start
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        part.column("text_key"),
-                        pa.array(langs[best], pa.string()),
-                        pa.array(score),
-                        pa.array(rate, from_pandas=True),
-                    ],
-                    ["doc_id", "text_key", "lang_pred", "score", "bits_per_byte"],
-                )
+            best, score, rate = _judged(model, batch)
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(langs[best], pa.string())]
+            columns += [pa.array(score), pa.array(rate, from_pandas=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "lang_pred", "score", "bits_per_byte"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    texts = documents.select("doc_id", C.text_key(F.col("text")).alias("text_key"), letter.alias("has_letter"), "text")
     schema = f"doc_id {kind}, text_key bigint, lang_pred string, score double, bits_per_byte double"
-    return texts.mapInArrow(run, schema)
+    return _with_letters(documents, "doc_id", C.text_key(F.col("text")).alias("text_key")).mapInArrow(run, schema)
 
 
 def with_language(documents: DataFrame) -> DataFrame:
-    """The documents in a learned language: those that are ``und`` or that no learned language explains go."""
-    verdicts = identify(documents, learn(documents))
-    bad = verdicts.filter(
-        (F.col("lang_pred") == UNKNOWN) | (F.coalesce("bits_per_byte", F.lit(PLAIN_BITS)) >= PLAIN_BITS)
-    )
-    return C.keep(documents, bad, "left_anti")
+    """The documents in a learned language: those that are ``und`` or that no learned language explains go.
+
+    The verdict falls where the row is, so nothing is joined.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(learn(documents))
+    columns = list(documents.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            best, _, rate = _judged(model, batch)
+            good = pa.array((best < len(model.langs)) & (np.nan_to_num(rate, nan=PLAIN_BITS) < PLAIN_BITS))
+            kept = batch.filter(good)
+            yield pa.RecordBatch.from_arrays(kept.columns[: len(columns)], columns)
+
+    return _with_letters(documents, *[documents[c] for c in columns]).mapInArrow(run, documents.schema)

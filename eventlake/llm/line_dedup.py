@@ -149,7 +149,7 @@ def deduplicated(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = runs.agg(F.sort_array(F.collect_list(F.struct("first_line", "last_line"))).alias("removed_runs"))
     runs = C.stored(runs, "runs")
     rows = C.keyed_rows(documents)
-    own = rows.join(runs, C.same_document(rows, runs), "left").select("row", "whole_text", "removed_runs")
+    own = C.by_document(rows, runs, "left").select("row", "whole_text", "removed_runs")
     none = F.array().cast("array<struct<first_line:int,last_line:int>>")
     own = own.withColumn("removed_runs", F.coalesce("removed_runs", none))
     own = own.withColumn("all_lines", _lines(F.col("whole_text")))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import code_search, decontaminate, language_id, license_scan, line_dedup, packing, simhash, surrogates, url_filter
+from eventlake.llm import (
+    code_search,
+    decontaminate,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    simhash,
+    suffix_dedup,
+    surrogates,
+    url_filter,
+)
 from eventlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,8 +140,8 @@ def op5_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op5_code_search"] = """
 WITH codes AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> x > 0) AS signs FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR isnan(x))) = 0),
+  SELECT DISTINCT vec_id, [x > 0 for x in embedding] AS signs FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR isnan(x)]) = 0),
 bits AS (SELECT vec_id, unnest(signs) AS bit, unnest(range(64)) AS at_bit FROM codes),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, sum(CAST(q.bit <> c.bit AS INTEGER)) AS distance
@@ -145,3 +156,9 @@ WHERE rank <= 10
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = surrogates.pseudonymised(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.size("entities").alias("n_entities"), "entities", "text")
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

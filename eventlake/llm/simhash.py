@@ -298,5 +298,5 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("pick")
     kept = found.groupBy("root").agg(pick).select("pick.doc_id", "pick.text_key")
     rows = C.keyed_rows(documents)
-    rows = rows.join(kept, C.same_document(rows, kept), "left_semi").dropDuplicates(["doc_id", "text_key"])
+    rows = C.by_document(rows, kept, "left_semi").dropDuplicates(["doc_id", "text_key"])
     return rows.select("row.*")
