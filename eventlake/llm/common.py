@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from eventlake.session import new_scratch
 
-CHUNK_BYTES = 2 << 20
+#: Small enough for the arrays of a chunk to stay in the processor's caches.
+CHUNK_BYTES = 1 << 18
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -138,7 +139,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     if len(_powers[0]) < length:
-        size = max(length, 4 * CHUNK_BYTES // 3)
+        size = max(length, 2 * CHUNK_BYTES)
         for i, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

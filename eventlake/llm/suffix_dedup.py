@@ -12,7 +12,7 @@ with a count, before any text is moved.
 
 Plan: a first pass over the texts counts anchors (only hashes are shuffled, combined per task); a second one lists where
 repeated anchors stand, past a bit map of fixed size that spares most others the shuffle. One place per different stretch is cut out
-of its text, parts are sorted in tasks of a few megabytes, and repeated windows go back to all places of their stretch and on to
+of its text, parts are sorted in tasks, a few hundred kilobytes at a time, and repeated windows go back to all places of their stretch and on to
 their documents. A passage that stands in a third of all documents is one stretch, apart from its edges; an anchor with
 more than PART_STRETCHES different stretches is cut up further: its windows are grouped by eights, keyed by the 193
 bytes that the eight have in common, and equal stretches are one again.
@@ -37,11 +37,10 @@ from eventlake.llm import common as C
 SPAN = 200
 GRAM = 64
 PART_STRETCHES = 20_000
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _MAP_BITS = 25
 _PLACE_BITS = np.uint64(28)
 _GROUP = 8
-_RAW = np.arange(256, dtype=np.uint8)
 
 
 # ------------------------------------------------------------------ anchors
