@@ -15,6 +15,7 @@ as many pieces as needed, none empty; an empty table gives no rows; extra column
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,65 +34,80 @@ END = 1
 LEAST_CUT = 16
 #: Tokens of a step group, about.
 STEP_TOKENS = 64 * TIERS[0]
-TEXT_BYTES = 8 << 20
-_CACHE_WORDS = 400_000
-_LONG_WORD = 100
+TEXT_BYTES = 1 << 20
+#: Words after which the cache starts anew.
+_CACHE_WORDS = 300_000
 
 
 class WordTokens:
     """Ids of white-space separated words, each encoded once.
 
-    The tokenizer drops white space before it looks at words, so a text's ids are those of its words in a row.
+    The tokenizer drops white space before it looks at words, so a text's ids are those of its words in a row. It also
+    lower-cases, and a full stop or comma after a letter is a word of its own to it. A word of plain letters goes
+    straight to the tokenizer's model, any other one through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # how the model spells the letters that need no normalisation
+        letters = [c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and c.lower() == c]
+        self.spelling = {ord(c): by_bytes.pre_tokenize_str(c)[0][0] for c in letters}
+        self.plain = frozenset(letters)
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.flat, self.used = np.array([END], np.uint32), 1
-        self.starts, self.lengths = [0], [1]
-
-    def _learn(self, words: list[bytes]) -> None:
-        for encoded in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False):
-            ids = np.asarray(encoded.ids, np.uint32)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.starts.append(self.used)
-            self.lengths.append(len(ids))
-            self.used += len(ids)
+        self.number: dict[bytes, int] = {b" ": 0}  # no word: the end mark
+        self.flat, self.starts, self.lengths = array("I", [END]), array("q", [0]), array("q", [1])
+
+    def _ids(self, word: bytes) -> list[int]:
+        text = word.decode()
+        if self.plain.issuperset(text):
+            return [token.id for token in self.model.tokenize(text.translate(self.spelling))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, word: bytes) -> int:
+        if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122 and b"<|" not in word:
+            ids: list[int] = []
+            for part in (word[:-1], word[-1:]):
+                at = self.number.get(part)
+                at = self._learn(part) if at is None else at
+                ids += self.flat[self.starts[at] : self.starts[at] + self.lengths[at]]
+        else:
+            ids = self._ids(word)
+        at = len(self.starts)
+        self.starts.append(len(self.flat))
+        self.lengths.append(len(ids))
+        self.flat.extend(ids)
+        self.number[word] = at
+        return at
+
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        if b"<|" not in text:
+            return text.lower().split()
+        # what may be a special token keeps its case
+        return [w if b"<|" in w else w.lower() for w in text.split()]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with its end mark, and the number of ids of each."""
-        if len(self.number) > _CACHE_WORDS or self.used > 16 * _CACHE_WORDS:
+        if len(self.number) > _CACHE_WORDS:
             self._forget()
-        known = self.number
         words: list[bytes] = []
         first = np.empty(len(texts), np.int64)
-        end = b" "  # no word
-        known[end] = 0
         for i, text in enumerate(texts):
             first[i] = len(words)
-            words += text.split()
-            words.append(end)
-        missing = list({w for w in words if w not in known})
-        for start in range(0, len(missing), 4096):
-            part = missing[start : start + 4096]
-            base = len(self.starts)
-            self._learn(part)
-            known.update(zip(part, range(base, base + len(part)), strict=True))
-        number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        lengths = np.asarray(self.lengths, np.int64)[number]
-        starts = np.asarray(self.starts, np.int64)[number]
+            words += self._words(text)
+            words.append(b" ")
+        find, learn = self.number.get, self._learn
+        number = np.fromiter((learn(w) if (at := find(w)) is None else at for w in words), np.int64, len(words))
+        lengths = np.array(self.lengths, np.int64)[number]
+        starts = np.array(self.starts, np.int64)[number]
         before = np.cumsum(lengths) - lengths
-        ids = self.flat[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
-        for word in missing:
-            if len(word) > _LONG_WORD:
-                del known[word]
+        ids = np.array(self.flat, np.uint32)[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
         return ids, np.add.reduceat(lengths, first) if len(texts) else np.empty(0, np.int64)
 
 
