@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,20 @@ from eventlake.llm import (
     url_filter,
 )
 from eventlake.llm.common import table
+from eventlake.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn: Callable[[SparkSession, str], DataFrame]):
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
