@@ -19,6 +19,7 @@ from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ LEAST_CUT = 16
 STEP_TOKENS = 64 * TIERS[0]
 TEXT_BYTES = 1 << 20
 #: Words after which the cache starts anew.
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 400_000
 
 
 class WordTokens:
@@ -111,6 +112,12 @@ class WordTokens:
         return ids, np.add.reduceat(lengths, first) if len(texts) else np.empty(0, np.int64)
 
 
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One per Python worker, which goes on with it from task to task."""
+    return WordTokens(path)
+
+
 @dataclass(slots=True)
 class Piece:
     row: int
@@ -244,7 +251,7 @@ def packed(documents: DataFrame, tokenizer: str) -> DataFrame:
     """One row per piece, with its ids as little-endian 32-bit numbers, its sequence and its place there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = word_tokens(tokenizer)
         first_id = TaskContext.get().partitionId() << 33
         sequences = steps = 0
         left: list[tuple[object, np.ndarray, int, Piece]] = []  # id, ids of the piece, tokens of its document, piece
