@@ -158,13 +158,19 @@ def _card(key: bytes, tweak: str, text: str) -> str:
 
 
 def _ip(key: bytes, tweak: str, text: str) -> str:
+    """Private, loop-back and multicast ranges keep what makes them so; other addresses stay outside of these."""
     parts = [int(p) for p in text.split(".")]
 
-    def like(value: list[int]) -> object:
-        a, b = value[0], value[1]
-        return a if a in (0, 10, 127) else (a, b) if (a, b) == (192, 168) else a == 172 and 16 <= b < 32, a > 223
+    def fixed(value: list[int]) -> int:
+        a, b = value[:2]
+        if a in (0, 10, 127) or a > 223:
+            return 1
+        return 2 if (a, b) == (192, 168) or (a == 172 and 16 <= b < 32) else 0
 
-    return ".".join(map(str, _walked(lambda v: permuted(key, tweak, v, [256] * 4), parts, like)))
+    head = fixed(parts)
+    if head:
+        return ".".join(map(str, parts[:head] + permuted(key, f"{tweak}|{parts[:head]}", parts[head:], [256] * (4 - head))))
+    return ".".join(map(str, _walked(lambda v: permuted(key, tweak, v, [256] * 4), parts, fixed)))
 
 
 def _phone(key: bytes, tweak: str, text: str) -> str:
