@@ -32,7 +32,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = session_builder("eventlake").getOrCreate()
     options = dict(pair.split("=", 1) for pair in args.option)
     log = stream_log(spark, args.log_format, options, args.log_path)
-    contract = Contract(strict=True) if args.strict else INTAKE
+    contract = Contract(S.CONSENT_TYPES, S.CONSENT_STATUSES, strict=True) if args.strict else INTAKE
     run_once(spark, Lake(args.root, args.env, args.buckets), log, wire=WIRES[args.wire], contract=contract)
 
 

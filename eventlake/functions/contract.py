@@ -30,6 +30,14 @@ class Contract:
 INTAKE = Contract()
 
 
+#: A date of four-digit year and a time of day. Shorter forms are castable too, but take the rest from the clock.
+_WHOLE_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|UTC|[+-]\d{2}:?(\d{2})?))?$"
+
+
+def whole_time(text: Column) -> Column:
+    return text.rlike(_WHOLE_TIME) & ~text.startswith("0000")
+
+
 def _blank(column: Column) -> Column:
     return column.isNull() | (F.length(column) == 0)
 

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from eventlake import schemas as S
 from eventlake.operators import upsert as U
 
-MAX_PART_ITEMS = 10_000
-_HEAVY_LIST_LIMIT = 10_000
-_SALTS = 1024
-
-
 def _item() -> Column:
     return F.struct("consent_type", "event_time", "status", "scope")
 
@@ -28,7 +23,7 @@ def client_documents(state: DataFrame, by_client: bool = False) -> DataFrame:
     """
     items = F.array_sort(F.collect_list(_item())).alias("items")
     if by_client:
-        newest = F.struct("event_time", "offset", "consent_type")
+        newest = F.struct("event_time", "topic", "offset", "consent_type")
         head = F.max_by(F.struct("bank_id", "insurer_id"), newest).alias("head")
         documents = state.groupBy("client_id").agg(head, items)
         documents = documents.select("client_id", "head.bank_id", "head.insurer_id", "items")
@@ -37,46 +32,20 @@ def client_documents(state: DataFrame, by_client: bool = False) -> DataFrame:
     return documents.withColumn("part", F.lit(0)).select(*S.DOCUMENTS.fieldNames())
 
 
-def with_part(rows: DataFrame, keys: Sequence[str], spread: Column, max_items: int) -> DataFrame:
-    """Number the parts of groups too large for one array; ordinary groups get part 0.
-
-    Group sizes are counted first (combined before the shuffle). Groups above
-    ``max_items`` are split by a hash of ``spread``; no row is left out. Their list
-    is joined as a broadcast while it is short, else by a join salted on both sides.
-    """
-    heavy = (
-        rows.groupBy(*keys)
-        .count()
-        .filter(F.col("count") > max_items)
-        .select(*keys, F.ceil(F.col("count") / max_items).cast("int").alias("_parts"))
-    )
-    found = heavy.limit(_HEAVY_LIST_LIMIT + 1).collect()
-    if not found:
-        return rows.withColumn("part", F.lit(0))
-    digest = F.xxhash64(spread)
-    if len(found) <= _HEAVY_LIST_LIMIT:
-        listed = rows.sparkSession.createDataFrame(found, heavy.schema)
-        joined = rows.join(F.broadcast(listed), list(keys), "left")
-    else:
-        salted = heavy.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        joined = rows.withColumn("_salt", F.pmod(digest, F.lit(_SALTS)).cast("int"))
-        joined = joined.join(salted, [*keys, "_salt"], "left").drop("_salt")
-    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(digest), F.col("_parts")).cast("int")
-    )
-    return joined.withColumn("part", part).drop("_parts")
+def day_part(event_time: Column) -> Column:
+    """The part that an item of a history belongs to: its day as a number, whatever the size of the history."""
+    return F.date_format(event_time, "yyyyMMdd").cast("int")
 
 
-def documents_from_items(items: DataFrame, max_items: int = MAX_PART_ITEMS) -> DataFrame:
-    """Documents straight from an item history, which has no bound per client.
+def documents_from_items(items: DataFrame) -> DataFrame:
+    """Documents straight from an item history: one per client, bank, insurer and day, in ``part``.
 
-    A client with more than ``max_items`` items gets several documents, told apart by ``part``.
+    A history has no bound per client. An item's part follows from the item alone, so what arrives later never
+    moves what is stored, and no array holds more than a day.
     """
-    keys = ("client_id", "bank_id", "insurer_id")
-    spread = F.struct("offset", "item_no")
-    parted = with_part(items, keys, spread, max_items)
     return (
-        parted.groupBy(*keys, "part")
+        items.withColumn("part", day_part(F.col("event_time")))
+        .groupBy("client_id", "bank_id", "insurer_id", "part")
         .agg(F.array_sort(F.collect_list(_item())).alias("items"))
         .select(*S.DOCUMENTS.fieldNames())
     )
@@ -86,9 +55,9 @@ def affected_clients(changes: DataFrame) -> DataFrame:
     return changes.select("client_id").distinct()
 
 
-def rebuild_documents(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Current documents of every client named in the changes."""
-    return client_documents(state.join(affected_clients(changes), "client_id", "left_semi"))
+def rebuild_documents(state: DataFrame, clients: DataFrame) -> DataFrame:
+    """Current documents of every given client."""
+    return client_documents(state.join(clients.select("client_id"), "client_id", "left_semi"))
 
 
 def replace_documents(
@@ -116,33 +85,24 @@ def replace_documents(
     )
 
 
-def push_items(documents: DataFrame, pushes: DataFrame, max_items: int = MAX_PART_ITEMS) -> DataFrame:
+def push_items(documents: DataFrame, pushes: DataFrame) -> DataFrame:
     """Append items to client documents, creating a document where there is none.
 
-    ``documents`` hold one document per client. An existing document keeps its bank
-    and insurer; a new one takes them from the client's first push. Items are
-    appended in the order of offset and item number. A missing event time becomes
-    the current time. Pushes beyond ``max_items`` per client go to further parts.
+    Each item goes once to its client's document of the item's day (``part``); documents of keyed state have part 0
+    and stay as they are. New documents take bank and insurer from the client's lowest part, else from the
+    client's first push. Items of one push are appended in the order of topic, offset and item number. A missing
+    event time becomes the current time.
     """
-    arrived = F.struct("offset", "item_no")
+    arrived = F.struct("topic", "offset", "item_no")
     filled = pushes.withColumn("event_time", F.coalesce("event_time", F.current_timestamp()))
-    parted = with_part(filled, ["client_id"], arrived, max_items)
-    appended = parted.groupBy("client_id", "part").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "item_no", _item().alias("item")))).alias("_new")
-    )
-    # One row per client and part on every side of the joins below, so none is skewed.
-    heads = parted.groupBy("client_id").agg(
-        F.min_by(F.struct("bank_id", "insurer_id"), arrived).alias("_first"),
-        F.max("part").alias("_last_part"),
-    )
-    known = documents.select("client_id", F.struct("bank_id", "insurer_id").alias("_known"))
-    slots = (
-        heads.join(known, "client_id", "left")
-        .withColumn("_head", F.coalesce("_known", "_first"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_last_part"))))
-        .select("client_id", "part", "_head")
-    )
-    placed = appended.join(slots, ["client_id", "part"])
+    filled = filled.withColumn("part", day_part(F.col("event_time")))
+    entry = F.struct("topic", "offset", "item_no", _item().alias("item"))
+    # One row per client, or client and part, on every side of the joins below, so none is skewed.
+    appended = filled.groupBy("client_id", "part").agg(F.array_sort(F.collect_list(entry)).alias("_new"))
+    first = filled.groupBy("client_id").agg(F.min_by(F.struct("bank_id", "insurer_id"), arrived).alias("_first"))
+    known = documents.groupBy("client_id").agg(F.min_by(F.struct("bank_id", "insurer_id"), "part").alias("_known"))
+    heads = first.join(known, "client_id", "left").select("client_id", F.coalesce("_known", "_first").alias("_head"))
+    placed = appended.join(heads, "client_id")
     old = documents.select("client_id", "part", F.struct(*documents.columns).alias("_old"))
     both = old.join(placed, ["client_id", "part"], "full_outer")
     empty = F.array().cast(S.DOCUMENTS["items"].dataType)

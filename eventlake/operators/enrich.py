@@ -13,12 +13,14 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
 def newest_master(master: DataFrame, key: str = "client_id") -> DataFrame:
-    """One row per key from an append-only master table, the last ingested winning.
+    """One row per key from an append-only master table: that of the newest file.
 
-    The remaining columns settle rows ingested at the same instant.
+    Files are ordered by modification time, then by name. Where these are equal or not known, the
+    time of intake and then the remaining columns decide, so the result never depends on row order.
     """
-    rest = [F.desc(c) for c in master.columns if c not in (key, "_ingested_at")]
-    return latest_per_key(master, [key], [F.desc_nulls_last("_ingested_at"), *rest])
+    order = [c for c in ("_file_modified", "_source_file", "_ingested_at") if c in master.columns]
+    rest = [c for c in master.columns if c != key and c not in order]
+    return latest_per_key(master, [key], [F.desc_nulls_last(c) for c in order] + [F.desc(c) for c in rest])
 
 
 def enrich(

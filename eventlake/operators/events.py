@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake import schemas as S
-from eventlake.functions.contract import INTAKE, Contract, reason_text
+from eventlake.functions.contract import INTAKE, Contract, reason_text, whole_time
 
 _CORRUPT = "_corrupt"
 
@@ -14,10 +14,11 @@ _CORRUPT = "_corrupt"
 def raw_events(log: DataFrame) -> DataFrame:
     """Broker columns to the raw event row.
 
-    The partition is kept: an offset alone names an event only within its partition.
+    Topic and partition are kept: an offset names an event only within these.
     """
     return log.select(
         F.col("value").cast("string").alias("raw_json"),
+        "topic",
         "partition",
         "offset",
         F.col("timestamp").alias("kafka_timestamp"),
@@ -47,7 +48,7 @@ def parse_events(raw: DataFrame, wire: S.Wire = S.ENGLISH) -> DataFrame:
         p[wire.bank_id].alias("bank_id"),
         p[wire.insurer_id].alias("insurer_id"),
         p[wire.event_time].alias("time_text"),
-        p[wire.event_time].try_cast("timestamp").alias("event_time"),
+        F.when(whole_time(p[wire.event_time]), p[wire.event_time].try_cast("timestamp")).alias("event_time"),
         p[wire.items].cast(f"array<{S.ITEM.simpleString()}>").alias("items"),
         (p.isNull() | (corrupt & found_nothing)).alias("unreadable"),
         (corrupt & ~found_nothing).alias("wrong_shape"),
@@ -69,6 +70,7 @@ def quarantined_events(classified: DataFrame) -> DataFrame:
     """Raw rows with the array of reasons, for storage beside the valid ones."""
     return classified.filter(F.col("reasons_text") != "").select(
         "raw_json",
+        "topic",
         "partition",
         "offset",
         "kafka_timestamp",
@@ -76,13 +78,6 @@ def quarantined_events(classified: DataFrame) -> DataFrame:
     )
 
 
-def split_events(
-    raw: DataFrame, wire: S.Wire = S.ENGLISH, contract: Contract = INTAKE
-) -> tuple[DataFrame, DataFrame]:
-    classified = classify(raw, wire, contract)
-    return valid_events(classified), quarantined_events(classified)
-
-
 def explode_items(valid: DataFrame) -> DataFrame:
     """One row per item. ``item_no`` orders items of one event among themselves."""
     e = F.col("event")
@@ -91,6 +86,7 @@ def explode_items(valid: DataFrame) -> DataFrame:
         e["bank_id"].alias("bank_id"),
         e["insurer_id"].alias("insurer_id"),
         e["event_time"].alias("event_time"),
+        "topic",
         "offset",
         F.posexplode(e["items"]).alias("item_no", "item"),
     )
@@ -99,6 +95,7 @@ def explode_items(valid: DataFrame) -> DataFrame:
         "bank_id",
         "insurer_id",
         "event_time",
+        "topic",
         "offset",
         "item_no",
         F.col("item.consent_type").alias("consent_type"),

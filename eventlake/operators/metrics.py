@@ -40,13 +40,9 @@ def affected_dates(changes: DataFrame) -> DataFrame:
 
 
 def recompute_affected(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Full metrics of the affected days.
-
-    The calendar bounds the day list (years 1 to 9999 are 3.7 million dates), so
-    it may be broadcast whatever the size of the change feed.
-    """
+    """Full metrics of the affected days. How the days are joined is left to Spark, which measures them."""
     days = affected_dates(changes)
-    touched = with_ref_date(state).join(F.broadcast(days), "ref_date", "left_semi")
+    touched = with_ref_date(state).join(days, "ref_date", "left_semi")
     return daily_metrics(touched)
 
 
@@ -54,7 +50,7 @@ def replace_affected(
     metrics: DataFrame, recomputed: DataFrame, days: DataFrame, co_partition: str | None = None
 ) -> DataFrame:
     """Verdicts that put the recomputed groups in and remove groups that vanished from those days."""
-    tagged = metrics.join(F.broadcast(days.withColumn("_touched", F.lit(True))), "ref_date", "left")
+    tagged = metrics.join(days.withColumn("_touched", F.lit(True)), "ref_date", "left").select(*metrics.columns, "_touched")
     source = recomputed.withColumn("_touched", F.lit(True)).select(*tagged.columns)
     return U.merge(
         tagged,

@@ -28,12 +28,12 @@ def quarantine_documents(quarantine: DataFrame) -> DataFrame:
 
 
 def quarantine_latest(quarantine: DataFrame, limit: int = 200) -> DataFrame:
-    """Newest rejected events; partition and offset settle equal times."""
+    """Newest rejected events; topic, partition and offset settle equal times."""
     return (
         quarantine_documents(quarantine)
         .drop("_id")
         .withColumnRenamed("_batch_id", "batch_id")
-        .orderBy(F.desc("kafka_timestamp"), F.desc("partition"), F.desc("offset"))
+        .orderBy(F.desc("kafka_timestamp"), F.desc("topic"), F.desc("partition"), F.desc("offset"))
         .limit(limit)
     )
 

@@ -35,23 +35,26 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[
 
 
 def newest_items(items: DataFrame) -> DataFrame:
-    """Newest item per client and type. Equal times are settled by offset, then item order.
+    """Newest item per client and type. Equal times are settled by topic and offset, then item order.
 
     Both item positions are part of the order, so the result never depends on row order.
     """
-    order = [F.desc("event_time"), F.desc("offset"), F.desc("item_no")]
+    order = [F.desc("event_time"), F.desc("topic"), F.desc("offset"), F.desc("item_no")]
     return latest_per_key(items, ("client_id", "consent_type"), order).drop("item_no")
 
 
-def newer(time_column: str = "event_time", tie_break: str | None = None) -> Guard:
-    """Guard of a version-guarded merge: replace only by a strictly newer row."""
+#: What orders the rows of one key: the time, and where times are equal the place in the log.
+STATE_ORDER = ("event_time", "topic", "offset")
+
+
+def newer(*order: str) -> Guard:
+    """Guard of a version-guarded merge: replace only by a row that is later in the order of these columns."""
 
     def guard(source: Column, target: Column) -> Column:
-        later = source[time_column] > target[time_column]
-        if tie_break is not None:
-            later = later | (
-                (source[time_column] == target[time_column]) & (source[tie_break] > target[tie_break])
-            )
+        later, level = F.lit(False), F.lit(True)
+        for name in order or ("event_time",):
+            later = later | (level & F.coalesce(source[name] > target[name], F.lit(False)))
+            level = level & source[name].eqNullSafe(target[name])
         return later
 
     return guard
@@ -178,20 +181,21 @@ def _change_array() -> Column:
     )
 
 
-def new_rows(changes: DataFrame) -> DataFrame:
-    """Rows as they are after the change."""
-    return changes.filter(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE))
-
+def merge_decisions(
+    state: DataFrame, source: DataFrame, keys: Sequence[str], time_text: str, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """What a version-guarded merge would do with each source row, from times given as text.
 
-def merge_decisions(state: DataFrame, source: DataFrame, keys: Sequence[str], time_text: str) -> DataFrame:
-    """What a version-guarded merge would do with each source row, from times given as text."""
-    kept = state.select(*keys, F.col(time_text).alias("target_time"))
-    s_time = F.col(time_text).try_cast("timestamp")
-    t_time = F.col("target_time").try_cast("timestamp")
+    The decision is that of the merge: both use the guard ``newer`` over the time and ``tie_break``.
+    """
+    order = ("_time", *tie_break)
+    time = F.col(time_text).try_cast("timestamp").alias("_time")
+    kept = state.select(*keys, F.col(time_text).alias("target_time"), F.struct(time, *tie_break).alias("_target"))
+    judged = source.withColumn("_source", F.struct(time, *tie_break)).join(kept, list(keys), "left")
     decision = (
-        F.when(s_time.isNull(), "invalid_time")
+        F.when(F.col("_source._time").isNull(), "invalid_time")
         .when(F.col("target_time").isNull(), "insert")
-        .when(s_time > t_time, "update")
+        .when(newer(*order)(F.col("_source"), F.col("_target")), "update")
         .otherwise("ignore")
     )
-    return source.join(kept, list(keys), "left").withColumn("decision", decision)
+    return judged.withColumn("decision", decision).drop("_source", "_target")

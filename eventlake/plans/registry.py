@@ -139,6 +139,14 @@ def contract_violations(spark, sf):
     return broken.select("partition", "offset", F.explode(F.split("reasons_text", ",")).alias("reason"))
 
 
+@query
+def contract_reasons(spark, sf):
+    """Every rule of the publishing contract broken by one event in thirteen."""
+    raw = V.raw_events(X.log_with_every_fault(X.read(spark, sf, "events")))
+    broken = V.classify(raw, contract=X.FULL_CONTRACT).filter(F.col("reasons_text") != "")
+    return broken.select("offset", F.explode(F.split("reasons_text", ",")).alias("reason"))
+
+
 @query
 def explode_items(spark, sf):
     return flat(X.items(spark, sf))
@@ -207,10 +215,12 @@ def change_feed(spark, sf):
 @query
 def merge_decision(spark, sf):
     standing, arriving = X.two_feeds(spark, sf)
-    text = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time_text")
-    before = U.newest_items(standing).select(*S.STATE_KEY, text)
-    batch = U.newest_items(arriving).select(*S.STATE_KEY, "offset", text)
-    return U.merge_decisions(before, batch, S.STATE_KEY, "time_text")
+    # Times cut to the hour, so that many are equal and the place in the log decides.
+    text = F.date_format("event_time", "yyyy-MM-dd'T'HH:00:00").alias("time_text")
+    place = ("topic", "offset")
+    before = U.newest_items(standing).select(*S.STATE_KEY, *place, text)
+    batch = U.newest_items(arriving).select(*S.STATE_KEY, *place, text)
+    return U.merge_decisions(before, batch, S.STATE_KEY, "time_text", place)
 
 
 @query
@@ -365,7 +375,7 @@ def document_upsert(spark, sf):
     before, verdicts = X.merged_feeds(spark, sf)
     verdicts = X.stored(verdicts, "documents")
     changes = U.change_rows(verdicts)
-    rebuilt = D.rebuild_documents(U.merged_state(verdicts), changes)
+    rebuilt = D.rebuild_documents(U.merged_state(verdicts), D.affected_clients(changes))
     replaced = D.replace_documents(D.client_documents(before), rebuilt, D.affected_clients(changes))
     return flat_documents(U.merged_state(replaced).drop("_touched"))
 
@@ -374,10 +384,20 @@ def document_upsert(spark, sf):
 def document_push(spark, sf):
     standing, arriving = X.two_feeds(spark, sf)
     before = D.client_documents(U.newest_items(standing), by_client=True)
-    # Pushes are counted, grouped and headed: three uses, so they are stored once.
+    # Pushes are grouped and headed: two uses, so they are stored once.
     return flat_documents(D.push_items(before, X.stored(arriving, "pushes")))
 
 
+@query
+def document_push_twice(spark, sf):
+    """Two pushes one after the other, the second onto the documents of the first."""
+    standing, arriving = X.two_feeds(spark, sf)
+    arriving = X.stored(arriving, "pushes")
+    documents = D.client_documents(U.newest_items(standing), by_client=True)
+    first = X.stored(D.push_items(documents, arriving.filter("insurer_id = 'ins-002'")), "first-push")
+    return flat_documents(D.push_items(first, arriving.filter("insurer_id <> 'ins-002'")))
+
+
 @query
 def exploded_report(spark, sf):
     return flat(D.exploded_report(D.client_documents(X.state(spark, sf))))

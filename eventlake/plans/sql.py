@@ -10,7 +10,7 @@ _LOG = """
 log AS (
   SELECT event_id AS "offset", CAST(user_id % 3 AS INTEGER) AS "partition", ts,
          printf('cli-%05d', user_id) AS client_id,
-         'bank-00' || (1 + user_id % 5) AS bank_id,
+         'bank-00' || (1 + user_id % 5) AS bank_id, 'consents-bank-00' || (1 + user_id % 5) AS topic,
          'ins-00' || (1 + event_id % 3) AS insurer_id,
          event_type,
          CASE WHEN event_type IN ('signup', 'purchase') THEN 'name,tax_id' ELSE 'income' END AS scope,
@@ -50,17 +50,17 @@ raw AS (
   SELECT *, CASE WHEN cut THEN left(full_text, length(full_text) - 7) ELSE full_text END AS raw_json FROM texts
 ),
 quarantine AS (
-  SELECT raw_json, "partition", "offset", ts AS kafka_timestamp, reasons, CAST(0 AS BIGINT) AS _batch_id
+  SELECT raw_json, topic, "partition", "offset", ts AS kafka_timestamp, reasons, CAST(0 AS BIGINT) AS _batch_id
   FROM raw WHERE reasons <> ''
 )"""
 
 _ITEMS = """
 items AS (
-  SELECT client_id, bank_id, insurer_id, ts AS event_time, "offset", CAST(0 AS INTEGER) AS item_no,
+  SELECT client_id, bank_id, insurer_id, ts AS event_time, topic, "offset", CAST(0 AS INTEGER) AS item_no,
          event_type AS consent_type, scope, status
   FROM judged WHERE reasons = ''
   UNION ALL
-  SELECT client_id, bank_id, insurer_id, ts, "offset", 1, event_type || '_detail', 'score', status
+  SELECT client_id, bank_id, insurer_id, ts, topic, "offset", 1, event_type || '_detail', 'score', status
   FROM judged WHERE reasons = '' AND two_items
 )"""
 
@@ -68,7 +68,7 @@ _NEWEST = """
 newest AS (
   SELECT * EXCLUDE (item_no) FROM items
   QUALIFY row_number() OVER (PARTITION BY client_id, consent_type
-                             ORDER BY event_time DESC, "offset" DESC, item_no DESC) = 1
+                             ORDER BY event_time DESC, topic DESC, "offset" DESC, item_no DESC) = 1
 )"""
 
 _MASTER = """
@@ -84,7 +84,7 @@ master AS (
 
 _STATE_COLUMNS = (
     "n.client_id, n.bank_id, n.insurer_id, m.client_name, m.tax_id, n.event_time, "
-    'n."offset", n.consent_type, n.scope, n.status'
+    'n.topic, n."offset", n.consent_type, n.scope, n.status'
 )
 _STATE = f"""
 state AS (
@@ -103,12 +103,12 @@ _FEEDS = f"""
 standing AS (
   SELECT * EXCLUDE (item_no) FROM items WHERE insurer_id = 'ins-001'
   QUALIFY row_number() OVER (PARTITION BY client_id, consent_type
-                             ORDER BY event_time DESC, "offset" DESC, item_no DESC) = 1
+                             ORDER BY event_time DESC, topic DESC, "offset" DESC, item_no DESC) = 1
 ),
 arriving AS (
   SELECT * EXCLUDE (item_no) FROM items WHERE insurer_id <> 'ins-001'
   QUALIFY row_number() OVER (PARTITION BY client_id, consent_type
-                             ORDER BY event_time DESC, "offset" DESC, item_no DESC) = 1
+                             ORDER BY event_time DESC, topic DESC, "offset" DESC, item_no DESC) = 1
 ),
 before AS (
   SELECT {_STATE_COLUMNS} FROM standing n LEFT JOIN master m ON m.client_id = n.client_id
@@ -166,10 +166,10 @@ def _on_documents(body: str) -> str:
 
 
 _MASK_TAX = "'***.***.***-' || right(tax_id, 2)"
-_STATE_OUT = 'client_id, bank_id, insurer_id, client_name, tax_id, event_time, "offset", consent_type, scope, status'
+_STATE_OUT = 'client_id, bank_id, insurer_id, client_name, tax_id, event_time, topic, "offset", consent_type, scope, status'
 _MASKED = (
     "client_id, bank_id, insurer_id, 'CLIENTE PROTEGIDO' AS client_name, "
-    f'{_MASK_TAX} AS tax_id, event_time, "offset", consent_type, scope, status'
+    f'{_MASK_TAX} AS tax_id, event_time, topic, "offset", consent_type, scope, status'
 )
 _MINE = "insurer_id IN (SELECT insurer_id FROM entitlements WHERE member = 'analyst-01')"
 _ALL_METRICS = "SELECT ref_date, bank_id, insurer_id, consent_type, total_events, total_clients FROM metrics"
@@ -180,9 +180,46 @@ SELECT o_orderkey, o_orderdate, l_orderkey, l_linenumber, l_partkey, l_shipdate
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
 WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 90 DAY"""
 
+# What is left after expiry: metrics, then documents, as one list of groups and their sizes.
+_EXPIRED = """
+, kept AS (SELECT * FROM state WHERE event_time >= TIMESTAMP '2024-01-16 00:00:00')
+SELECT 'metrics' AS kind, CAST(CAST(event_time AS DATE) AS VARCHAR) || ' ' || bank_id || ' ' || insurer_id || ' ' || consent_type
+         AS name, count(*) AS n FROM kept GROUP BY ALL
+UNION ALL
+SELECT 'documents', client_id || ' ' || bank_id || ' ' || insurer_id, count(*) FROM kept GROUP BY ALL"""
+
+
+def _pushed(push: str) -> str:
+    """Items appended to the standing documents, each to its client's document of the day, push by push."""
+    return f"""
+, old AS (
+  SELECT client_id, arg_max(bank_id, (event_time, topic, "offset", consent_type)) AS bank_id,
+         arg_max(insurer_id, (event_time, topic, "offset", consent_type)) AS insurer_id, count(*) AS n,
+         string_agg({_ITEM_TEXT}, ';' ORDER BY consent_type, event_time, status, scope) AS items
+  FROM standing GROUP BY 1
+),
+pushed AS (
+  SELECT *, {push} AS push, CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS day
+  FROM items WHERE insurer_id <> 'ins-001'
+),
+heads AS (
+  SELECT client_id, arg_min(bank_id, (push, topic, "offset", item_no)) AS bank_id,
+         arg_min(insurer_id, (push, topic, "offset", item_no)) AS insurer_id
+  FROM pushed GROUP BY 1
+)
+SELECT client_id, bank_id, insurer_id, CAST(0 AS INTEGER) AS part, n AS n_items, items FROM old
+UNION ALL
+SELECT p.client_id, coalesce(any_value(o.bank_id), any_value(h.bank_id)),
+       coalesce(any_value(o.insurer_id), any_value(h.insurer_id)), p.day, count(*),
+       string_agg(p.item, ';' ORDER BY push, topic, "offset", item_no)
+FROM (SELECT *, {_ITEM_TEXT} AS item FROM pushed) p JOIN heads h ON h.client_id = p.client_id
+LEFT JOIN old o ON o.client_id = p.client_id
+GROUP BY p.client_id, p.day"""
+
+
 ORACLE: dict[str, str] = {
     # intake
-    "raw_events": _on_raw('SELECT raw_json, "partition", "offset", ts AS kafka_timestamp FROM raw'),
+    "raw_events": _on_raw('SELECT raw_json, topic, "partition", "offset", ts AS kafka_timestamp FROM raw'),
     "parse_events": _on_log(
         """
 SELECT "partition", "offset",
@@ -202,7 +239,7 @@ FROM judged WHERE reasons = ''"""
     ),
     "quarantine_rows": _on_raw("SELECT * FROM quarantine"),
     "quarantine_docs": _on_raw(
-        'SELECT raw_json, "partition", "offset", CAST(kafka_timestamp AS VARCHAR) AS kafka_timestamp, reasons, '
+        'SELECT raw_json, topic, "partition", "offset", CAST(kafka_timestamp AS VARCHAR) AS kafka_timestamp, reasons, '
         "_batch_id FROM quarantine"
     ),
     "split_counts": _on_log(
@@ -238,7 +275,7 @@ SELECT client_id, CASE WHEN bank_id = 'bank-003' THEN client_name || ' (renamed)
 FROM master"""
     ),
     "latest_per_key": _on_state(
-        'SELECT client_id, bank_id, insurer_id, event_time, "offset", consent_type, scope, status FROM newest'
+        'SELECT client_id, bank_id, insurer_id, event_time, topic, "offset", consent_type, scope, status FROM newest'
     ),
     "merge_upsert": _on_state(f"SELECT {_STATE_OUT} FROM state"),
     "change_feed": _on_feeds(
@@ -246,19 +283,21 @@ FROM master"""
     ),
     "merge_decision": _on_feeds(
         """
-SELECT a.client_id, a.consent_type, a."offset",
-       strftime(a.event_time, '%Y-%m-%dT%H:%M:%S.%f') AS time_text,
-       strftime(s.event_time, '%Y-%m-%dT%H:%M:%S.%f') AS target_time,
-       CASE WHEN s.event_time IS NULL THEN 'insert' WHEN a.event_time > s.event_time THEN 'update' ELSE 'ignore' END
+SELECT client_id, consent_type, topic, "offset", strftime(hour, '%Y-%m-%dT%H:00:00') AS time_text,
+       strftime(known_hour, '%Y-%m-%dT%H:00:00') AS target_time,
+       CASE WHEN known_hour IS NULL THEN 'insert' WHEN hour > known_hour THEN 'update'
+            WHEN hour = known_hour AND (topic, "offset") > (known_topic, known_offset) THEN 'update' ELSE 'ignore' END
          AS decision
-FROM arriving a LEFT JOIN standing s USING (client_id, consent_type)"""
+FROM (SELECT a.client_id, a.consent_type, a.topic, a."offset", date_trunc('hour', a.event_time) AS hour,
+             date_trunc('hour', s.event_time) AS known_hour, s.topic AS known_topic, s."offset" AS known_offset
+      FROM arriving a LEFT JOIN standing s USING (client_id, consent_type))"""
     ),
     "merge_conditional": _on_feeds(
         """
 SELECT s.client_id, s.bank_id, s.insurer_id,
        CASE WHEN a.status = 'revoked' AND a.event_time > s.event_time THEN a.event_time ELSE s.event_time END
          AS event_time,
-       s."offset", s.consent_type, s.scope,
+       s.topic, s."offset", s.consent_type, s.scope,
        CASE WHEN a.status = 'revoked' AND a.event_time > s.event_time THEN a.status ELSE s.status END AS status
 FROM standing s LEFT JOIN arriving a USING (client_id, consent_type)"""
     ),
@@ -330,38 +369,21 @@ SELECT *, coalesce(volume > moving_average * 3, false) AS anomalous FROM average
     "client_documents": _on_documents(_ALL_DOCUMENTS),
     "client_documents_by_client": _on_documents(
         f"""
-SELECT client_id, arg_max(bank_id, ("event_time", "offset", consent_type)) AS bank_id,
-       arg_max(insurer_id, ("event_time", "offset", consent_type)) AS insurer_id,
+SELECT client_id, arg_max(bank_id, (event_time, topic, "offset", consent_type)) AS bank_id,
+       arg_max(insurer_id, (event_time, topic, "offset", consent_type)) AS insurer_id,
        CAST(0 AS INTEGER) AS part, count(*) AS n_items,
        string_agg({_ITEM_TEXT}, ';' ORDER BY consent_type, event_time, status, scope) AS items
 FROM state GROUP BY 1"""
     ),
     "item_history_documents": _on_items(
         f"""
-SELECT client_id, bank_id, insurer_id, CAST(0 AS INTEGER) AS part, count(*) AS n_items,
+SELECT client_id, bank_id, insurer_id, CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS part, count(*) AS n_items,
        string_agg({_ITEM_TEXT}, ';' ORDER BY consent_type, event_time, status, scope) AS items
-FROM items GROUP BY 1, 2, 3"""
+FROM items GROUP BY 1, 2, 3, 4"""
     ),
     "document_upsert": _on_documents(_ALL_DOCUMENTS),
-    "document_push": _on_feeds(
-        f"""
-, old AS (
-  SELECT client_id, arg_max(bank_id, (event_time, "offset", consent_type)) AS bank_id,
-         arg_max(insurer_id, (event_time, "offset", consent_type)) AS insurer_id, count(*) AS n,
-         string_agg({_ITEM_TEXT}, ';' ORDER BY consent_type, event_time, status, scope) AS items
-  FROM standing GROUP BY 1
-),
-pushed AS (
-  SELECT client_id, arg_min(bank_id, ("offset", item_no)) AS bank_id,
-         arg_min(insurer_id, ("offset", item_no)) AS insurer_id, count(*) AS n,
-         string_agg({_ITEM_TEXT}, ';' ORDER BY "offset", item_no) AS items
-  FROM items WHERE insurer_id <> 'ins-001' GROUP BY 1
-)
-SELECT coalesce(o.client_id, p.client_id) AS client_id, coalesce(o.bank_id, p.bank_id) AS bank_id,
-       coalesce(o.insurer_id, p.insurer_id) AS insurer_id, CAST(0 AS INTEGER) AS part,
-       coalesce(o.n, 0) + coalesce(p.n, 0) AS n_items, concat_ws(';', o.items, p.items) AS items
-FROM old o FULL JOIN pushed p ON p.client_id = o.client_id"""
-    ),
+    "document_push": _on_feeds(_pushed("0")),
+    "document_push_twice": _on_feeds(_pushed("CASE insurer_id WHEN 'ins-002' THEN 0 ELSE 1 END")),
     "exploded_report": _on_state(
         "SELECT client_id, bank_id, insurer_id, consent_type, replace(scope, ',', ', ') AS scope, status, event_time "
         "FROM state"
@@ -375,9 +397,9 @@ FROM old o FULL JOIN pushed p ON p.client_id = o.client_id"""
     ),
     "quarantine_latest": _on_raw(
         """
-SELECT raw_json, "partition", "offset", CAST(kafka_timestamp AS VARCHAR) AS kafka_timestamp, reasons,
+SELECT raw_json, topic, "partition", "offset", CAST(kafka_timestamp AS VARCHAR) AS kafka_timestamp, reasons,
        _batch_id AS batch_id
-FROM quarantine ORDER BY 4 DESC, "partition" DESC, "offset" DESC LIMIT 200"""
+FROM quarantine ORDER BY 5 DESC, topic DESC, "partition" DESC, "offset" DESC LIMIT 200"""
     ),
     "quarantine_total": _on_raw("SELECT count(*) AS total FROM quarantine"),
     "quarantine_depth": _on_raw(
@@ -394,7 +416,7 @@ FROM quarantine ORDER BY 4 DESC, "partition" DESC, "offset" DESC LIMIT 200"""
         f"""
 SELECT client_id, bank_id, insurer_id, client_name,
        CASE WHEN bank_id = 'bank-002' THEN tax_id ELSE {_MASK_TAX} END AS tax_id,
-       event_time, "offset", consent_type, scope, status
+       event_time, topic, "offset", consent_type, scope, status
 FROM state"""
     ),
     "row_filtered_view": _on_state(f"SELECT {_STATE_OUT} FROM state WHERE {_MINE}"),
@@ -424,7 +446,7 @@ SELECT expectation, failing, failing = 0 AS passed FROM (
     ),
     "env_diff": _on_feeds(
         """
-SELECT client_id, bank_id, insurer_id, event_time, "offset", consent_type, scope, status,
+SELECT client_id, bank_id, insurer_id, event_time, topic, "offset", consent_type, scope, status,
        CAST(sum(l) AS BIGINT) AS left_count, CAST(sum(r) AS BIGINT) AS right_count
 FROM (SELECT *, 1 AS l, 0 AS r FROM newest UNION ALL SELECT *, 0, 1 FROM standing)
 GROUP BY ALL HAVING sum(l) <> sum(r)"""
@@ -445,6 +467,22 @@ FROM events GROUP BY 1""",
     # streaming jobs: the stored results equal those of the batch queries
     "stream_state": _on_state(f"SELECT {_STATE_OUT} FROM state"),
     "stream_quarantine": _on_raw("SELECT * FROM quarantine"),
+    "stream_quarantine_replayed": _on_raw("SELECT * FROM quarantine"),
+    "topic_quarantine": _on_raw(
+        "SELECT * FROM quarantine UNION ALL SELECT * REPLACE ('copied-' || topic AS topic) FROM quarantine"
+    ),
+    "stream_expired_metrics": _on_state(_EXPIRED),
+    "bronze_append": _on_items(
+        "SELECT client_id, client_name, tax_id, bank_id, CAST(CASE bank_id WHEN 'bank-002' THEN NULL ELSE 7 END AS VARCHAR) AS _score "
+        "FROM master WHERE bank_id IN ('bank-002', 'bank-003')"
+    ),
+    "contract_reasons": """
+SELECT CAST(event_id AS BIGINT) AS "offset", CASE event_id % 13
+         WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'wrong_shape' WHEN 2 THEN 'missing_client' WHEN 3 THEN 'missing_time'
+         WHEN 4 THEN 'bad_time' WHEN 5 THEN 'no_items' WHEN 6 THEN 'untyped_item' WHEN 7 THEN 'missing_bank'
+         WHEN 8 THEN 'missing_insurer' WHEN 9 THEN 'no_scope' WHEN 10 THEN 'unknown_type' WHEN 11 THEN 'unknown_status'
+       END AS reason
+FROM events WHERE event_id % 13 < 12""",
     "stream_change_feed": _on_feeds(
         f"SELECT _change_type, {_STATE_OUT}, CAST(1 AS BIGINT) AS _commit_version FROM changes"
     ),

@@ -5,6 +5,8 @@ They write below the shared folder, drain, stop, and return what was stored.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,44 @@ def stream_quarantine(spark, sf):
     return flat(J.read_quarantine(spark, lake))
 
 
+@query
+def stream_quarantine_replayed(spark, sf):
+    """The log read again from its start after the checkpoint was lost."""
+    lake = new_lake(spark)
+    for once in (lake, replace(lake, ops="ops-2")):
+        drain_feed(spark, sf, once, "events", table_stream(spark, sf, "events"))
+    return flat(J.read_quarantine(spark, lake))
+
+
+@query
+def topic_quarantine(spark, sf):
+    """Two topics with the same partitions and offsets in one stream."""
+    lake, log = new_lake(spark), X.log_from_events(table_stream(spark, sf, "events"))
+    both = log.unionByName(log.withColumn("topic", F.concat(F.lit("copied-"), "topic")))
+    J.drain_events(spark, lake, both, master=lambda session: X.client_master(session, sf))
+    return flat(J.read_quarantine(spark, lake))
+
+
+@query
+def stream_expired_metrics(spark, sf):
+    """Metrics and documents after old state has expired: both follow the change feed."""
+    lake = two_feeds(spark, sf, lambda lake: (J.drain_metrics(spark, lake), J.drain_documents(spark, lake)))
+    J.expire(spark, lake, F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    J.drain_metrics(spark, lake)
+    J.drain_documents(spark, lake)
+    metrics = lake.metrics(spark).read().select(
+        F.lit("metrics").alias("kind"),
+        F.concat_ws(" ", F.col("ref_date").cast("string"), "bank_id", "insurer_id", "consent_type").alias("name"),
+        F.col("total_events").alias("n"),
+    )
+    documents = lake.documents(spark).read().select(
+        F.lit("documents").alias("kind"),
+        F.concat_ws(" ", "client_id", "bank_id", "insurer_id").alias("name"),
+        F.size("items").cast("long").alias("n"),
+    )
+    return metrics.unionByName(documents)
+
+
 @query
 def stream_change_feed(spark, sf):
     lake = two_feeds(spark, sf, lambda lake: None)
@@ -131,6 +171,20 @@ def bronze_ingest(spark, sf):
     return lake.clients(spark).read().select(*S.CLIENT_MASTER.fieldNames())
 
 
+@query
+def bronze_append(spark, sf):
+    """The append table after two checkpoints: the second sees both files again, one with a column of its own."""
+    lake, master = new_lake(spark), X.client_master(pin_utc(spark), sf)
+    source = CSV.DropSource("client_master", "*.csv", S.CLIENT_MASTER)
+    CSV.write_csv(master.filter("bank_id = 'bank-002'"), lake.landing)
+    J.ingest_master(spark, lake, [source])
+    more = master.filter("bank_id = 'bank-003'").withColumn("_score", F.lit(7))
+    more.write.mode("append").option("header", True).csv(lake.landing)
+    J.ingest_master(spark, replace(lake, ops="ops-2"), [source])
+    rows = CSV.read_table(spark, lake.bronze("client_master"))
+    return rows.select(*S.CLIENT_MASTER.fieldNames(), "_score")
+
+
 @query
 def partition_scan(spark, sf):
     """Partition columns come back from the folder names; a filter on them skips folders."""

@@ -7,7 +7,7 @@ be told from the table alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas as S
@@ -69,6 +69,41 @@ def log_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def log_with_every_fault(events: DataFrame) -> DataFrame:
+    """Broker rows of which each breaks the rule that ``event_id`` modulo 13 names; 12 breaks none."""
+    n, none = F.col("event_id") % 13, F.lit(None).cast("string")
+
+    def broken(residue: int, instead: Column, value: Column) -> Column:
+        return F.when(n == residue, instead).otherwise(value)
+
+    half_time = F.when(F.col("event_id") % 2 == 0, F.lit("12:30")).otherwise(F.lit("2026"))
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    item = F.struct(
+        broken(6, none, broken(10, F.lit("unheard-of"), F.col("event_type"))).alias("type"),
+        broken(9, F.array().cast("array<string>"), F.array(F.lit("income"))).alias("scope"),
+        broken(11, F.lit("asleep"), F.lit("active")).alias("status"),
+    )
+    json = F.to_json(
+        F.struct(
+            broken(2, none, F.format_string("cli-%05d", "user_id")).alias("client_id"),
+            broken(7, F.lit(""), F.lit("bank-001")).alias("bank_id"),
+            broken(8, none, F.lit("ins-001")).alias("insurer_id"),
+            broken(3, none, broken(4, half_time, time)).alias("event_time"),
+            F.when(n != 5, F.array(item)).alias("items"),
+        )
+    )
+    cut = F.left(json, F.length(json) - 7)
+    nested = F.replace(json, F.lit('"scope":["income"]'), F.lit('"scope":"income"'))
+    return events.select(
+        F.lit(None).cast("binary").alias("key"),
+        broken(0, cut, broken(1, nested, json)).cast("binary").alias("value"),
+        F.lit("faults").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_from_events(read(spark, sf_dir, "events"))
 
@@ -122,21 +157,25 @@ def two_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     The feeds interleave in time, so arriving rows are partly newer and partly late.
     """
-    rows = items(spark, sf_dir)
+    return parted(items(spark, sf_dir))
+
+
+def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     standing = F.col("insurer_id") == STANDING_INSURER
     return rows.filter(standing), rows.filter(~standing)
 
 
 def merged_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``(standing state, verdicts)`` of merging the arriving batch into the standing state."""
-    standing, arriving = two_feeds(spark, sf_dir)
+    # Both feeds come from the same items and ``before`` is read with the verdicts: each is evaluated once.
+    standing, arriving = parted(stored(items(spark, sf_dir), "items"))
     master = client_master(spark, sf_dir)
-    before = state_of(standing, master)
+    before = stored(state_of(standing, master), "before")
     verdicts = U.merge(
         before,
         state_of(arriving, master),
         S.STATE_KEY,
-        guard=U.newer("event_time", tie_break="offset"),
+        guard=U.newer(*U.STATE_ORDER),
         unique_source=True,
         keys_not_null=True,
     )

@@ -77,7 +77,7 @@ def row(**columns: T.DataType) -> T.StructType:
 ITEM = row(consent_type=STRING, scope=STRINGS, status=STRING)
 
 LOG = row(key=BINARY, value=BINARY, topic=STRING, partition=INT, offset=LONG, timestamp=TIME)
-RAW = row(raw_json=STRING, partition=INT, offset=LONG, kafka_timestamp=TIME)
+RAW = row(raw_json=STRING, topic=STRING, partition=INT, offset=LONG, kafka_timestamp=TIME)
 
 STATE = row(
     client_id=STRING,
@@ -86,6 +86,7 @@ STATE = row(
     client_name=STRING,
     tax_id=STRING,
     event_time=TIME,
+    topic=STRING,
     offset=LONG,
     consent_type=STRING,
     scope=STRINGS,
@@ -116,7 +117,7 @@ DOCUMENT_KEY = ("client_id", "bank_id", "insurer_id", "part")
 CLIENT_MASTER = row(client_id=STRING, client_name=STRING, tax_id=STRING, bank_id=STRING)
 BANKS = row(bank_id=STRING, name=STRING)
 INSURERS = row(insurer_id=STRING, name=STRING)
-PROVENANCE = row(_ingested_at=TIME, _source_file=STRING, _rescued_data=STRING)
+PROVENANCE = row(_ingested_at=TIME, _source_file=STRING, _file_modified=TIME, _rescued_data=STRING)
 QUARANTINE = T.StructType(RAW.fields + row(reasons=STRINGS, _batch_id=LONG).fields)
 
 

@@ -85,16 +85,27 @@ def remove_documents(
 
 def _sender(connect, call, chunk_size: int, attempts: int, base: float) -> Callable[[Iterator[Row]], None]:
     def send(rows: Iterator[Row]) -> None:
-        for chunk in _chunks(rows, chunk_size):
-            found = [row.asDict(recursive=True) for row in chunk]
-
-            def attempt(batch=found) -> None:
-                client = connect()
-                try:
-                    call(client, batch)
-                finally:
-                    client.close()
+        """One client per task; after a failure it is closed and the next attempt connects again."""
+        clients: list[DocumentClient] = []
+
+        def close() -> None:
+            while clients:
+                clients.pop().close()
+
+        def attempt(batch: list[dict]) -> None:
+            if not clients:
+                clients.append(connect())
+            try:
+                call(clients[0], batch)
+            except Exception:
+                close()
+                raise
 
-            retrying(attempt, attempts, base)
+        try:
+            for chunk in _chunks(rows, chunk_size):
+                found = [row.asDict(recursive=True) for row in chunk]
+                retrying(lambda batch=found: attempt(batch), attempts, base)
+        finally:
+            close()
 
     return send

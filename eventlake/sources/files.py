@@ -17,12 +17,12 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake import schemas as S
-from eventlake.sources.versioned import Files
+from eventlake.sources.versioned import Files, checkpoint_id
 
 RESCUED = "_rescued_data"
 _FILE_ROW = S.row(path=S.STRING, modificationTime=S.TIME, length=S.LONG, content=S.BINARY)
@@ -92,27 +92,43 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 # -- reading files ----------------------------------------------------------------
 
 
+def column_names(header: str) -> tuple[str, ...]:
+    """Names of a header line. Names that a table cannot hold side by side are told apart by a number.
+
+    Our own provenance columns keep their names; a file's column of such a name is stored with a number too.
+    """
+    taken = {name.lower() for name in S.PROVENANCE.fieldNames()}
+    names = []
+    for place, raw in enumerate(next(csv.reader([header.lstrip("\ufeff")]), [])):
+        base = raw.strip() or f"_c{place}"
+        name, number = base, 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{base}_{number}"
+        taken.add(name.lower())
+        names.append(name)
+    return tuple(names)
+
+
 def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header line, found by one job over the first line of each file."""
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        "value",
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("position"),
-    )
-    first = lines.groupBy("path").agg(F.min_by("value", F.struct("start", "position")).alias("header"))
+    """Files grouped by their columns; of each of these (at most a batch's) files one line is read."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():
-        header = (row["header"] or "").lstrip("\ufeff")
-        names = tuple(name.strip() for name in next(csv.reader([header]), []))
-        groups.setdefault(names, []).append(row["path"])
+    for path in paths:
+        groups.setdefault(column_names(Files(spark, path).first_line(path)), []).append(path)
     return groups
 
 
-def read_drop(spark: SparkSession, paths: Sequence[str], hints: str | None = None) -> DataFrame:
-    """Rows of CSV files with provenance; text columns unless hinted otherwise."""
+def read_drop(
+    spark: SparkSession, paths: Sequence[str], hints: str | None = None, known: T.StructType | None = None
+) -> DataFrame:
+    """Rows of CSV files with provenance; text columns unless hinted otherwise.
+
+    Columns are matched without regard to case: the spelling of ``known`` counts, else the first one met.
+    """
+    spelling = {name.lower(): name for name in (known.fieldNames() if known else ())}
     parts = []
-    for names, members in sorted(headers_of(spark, paths).items()):
+    for found, members in sorted(headers_of(spark, paths).items()):
+        names = [spelling.setdefault(name.lower(), name) for name in found]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         if hints:
             hinted = {f.name for f in T.StructType.fromDDL(hints).fields}
@@ -120,6 +136,7 @@ def read_drop(spark: SparkSession, paths: Sequence[str], hints: str | None = Non
         parts.append(
             spark.read.schema(schema.add(RESCUED, "string"))
             .option("header", True)
+            .option("enforceSchema", True)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", RESCUED)
             .csv(members)
@@ -127,6 +144,7 @@ def read_drop(spark: SparkSession, paths: Sequence[str], hints: str | None = Non
                 *names,
                 F.current_timestamp().alias("_ingested_at"),
                 F.col("_metadata.file_path").alias("_source_file"),
+                F.col("_metadata.file_modification_time").alias("_file_modified"),
                 RESCUED,
             )
         )
@@ -140,10 +158,11 @@ def _hint_known(schema: T.StructType, hints: str) -> T.StructType:
 
 def _append(spark: SparkSession, table: str, source: DropSource, paths: Sequence[str], batch: str) -> DataFrame:
     """Store the rows of some files as one batch of the table and return them as stored."""
-    rows = read_drop(spark, paths, source.hints)
-    data_columns = [f for f in rows.schema.fields if not f.name.startswith("_")]
-    found = T.StructType(data_columns + S.PROVENANCE.fields)
-    schema = evolve_schema(spark, table, S.merge_schemas(T.StructType(source.columns.fields + S.PROVENANCE.fields), found))
+    own = T.StructType(source.columns.fields + S.PROVENANCE.fields)
+    rows = read_drop(spark, paths, source.hints, S.merge_schemas(own, stored_schema(spark, table) or own))
+    provenance = set(S.PROVENANCE.fieldNames())
+    data_columns = [f for f in rows.schema.fields if f.name not in provenance]
+    schema = evolve_schema(spark, table, S.merge_schemas(own, T.StructType(data_columns)))
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in rows.columns]
     out = rows.select("*", *missing).select(*schema.fieldNames())
     # A replayed batch overwrites its own folder, so no row is appended twice.
@@ -152,17 +171,45 @@ def _append(spark: SparkSession, table: str, source: DropSource, paths: Sequence
     return spark.read.schema(schema).parquet(folder)
 
 
+def _take(
+    files: Sequence[Row], spark: SparkSession, source: DropSource, table: str, batch: str
+) -> DataFrame | None:
+    """Append the files of a batch that no other batch of the table has taken; returns their stored rows.
+
+    A new checkpoint is given all files again. What the table holds is told by path and modification
+    time, so these are not stored twice, and rows of files that are gone by then stay. The note of the
+    files follows their rows: a batch that dies in between is repeated as a whole.
+    """
+    if not files:
+        return None
+    ledger = f"{table}/_files"
+    fresh = spark.createDataFrame(files, "path string, modified timestamp")
+    if Files(spark, table).exists(ledger):
+        taken = spark.read.schema("path string, modified timestamp, batch string").parquet(ledger)
+        fresh = fresh.join(taken.filter(F.col("batch") != batch), ["path", "modified"], "left_anti")
+    paths = [row["path"] for row in fresh.collect()]  # at most the files of one batch
+    if not paths:
+        return None
+    rows = _append(spark, table, source, paths, batch)
+    noted = spark.createDataFrame([f for f in files if f["path"] in set(paths)], "path string, modified timestamp")
+    noted.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{ledger}/batch={batch}")
+    return rows
+
+
+def _listed(files: DataFrame) -> list[Row]:
+    return files.select("path", F.col("modificationTime").alias("modified")).collect()  # at most max_files names
+
+
 def file_stream(
     spark: SparkSession,
     landing: str,
     pattern: str,
-    max_files: int | None = None,
+    max_files: int = 1000,
     archive: str | None = None,
 ) -> DataFrame:
     """Names of new files. ``max_files`` limits a batch, ``archive`` moves finished files there."""
     reader = spark.readStream.format("binaryFile").schema(_FILE_ROW).option("pathGlobFilter", pattern)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(landing).select("path", "modificationTime")
@@ -174,7 +221,7 @@ def ingest(
     landing: str,
     table: str,
     checkpoint: str,
-    max_files: int | None = 1000,
+    max_files: int = 1000,
     archive: str | None = None,
     then: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
@@ -186,11 +233,11 @@ def ingest(
     evolve_schema(spark, table, T.StructType(source.columns.fields + S.PROVENANCE.fields))
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
-        paths = [row["path"] for row in files.select("path").collect()]  # at most max_files names
-        if paths:
-            stored = _append(files.sparkSession, table, source, paths, f"s{batch_id}")
-            if then is not None:
-                then(stored, batch_id)
+        # A new checkpoint counts batches from zero again: its id is part of the name.
+        batch = f"{checkpoint_id(files.sparkSession, checkpoint)}-{batch_id}"
+        stored = _take(_listed(files), files.sparkSession, source, table, batch)
+        if stored is not None and then is not None:
+            then(stored, batch_id)
 
     query = (
         file_stream(spark, landing, source.pattern, max_files, archive)
@@ -229,7 +276,7 @@ def ingest_overwritten(
         if not batch:
             return taken
         number = len(files.names(ledger))
-        _append(spark, table.rstrip("/"), source, [r["path"] for r in batch], f"o{number}")
+        _append(spark, table.rstrip("/"), source, [r["path"] for r in batch], f"ledger-{number}")
         spark.createDataFrame(batch, "path string, modified timestamp").coalesce(1).write.mode(
             "overwrite"
         ).option("partitionOverwriteMode", "static").parquet(f"{ledger}/slice={number}")
@@ -246,11 +293,11 @@ def route_by_file(
     kinds = tuple(sources)
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
-        paths = [row["path"] for row in files.select("path").collect()]  # at most max_files names
+        batch = f"{checkpoint_id(files.sparkSession, checkpoint)}-{batch_id}"
+        listed = _listed(files)
         for source in kinds:
-            mine = [p for p in paths if fnmatch.fnmatch(p.rsplit("/", 1)[-1], source.pattern)]
-            if mine:
-                _append(files.sparkSession, f"{root}/{source.name}", source, mine, f"s{batch_id}")
+            mine = [f for f in listed if fnmatch.fnmatch(f["path"].rsplit("/", 1)[-1], source.pattern)]
+            _take(mine, files.sparkSession, source, f"{root}/{source.name}", batch)
 
     query = (
         file_stream(spark, landing, "*", max_files)

@@ -40,7 +40,11 @@ BUCKET, KIND, VERSION = "_bucket", "_kind", "_version"
 
 
 class Files:
-    """The few file-system calls needed, through Hadoop so that any cluster store works."""
+    """The few file-system calls needed, through Hadoop.
+
+    Publishing relies on a rename that fails where the name is taken. HDFS does that in one step; a local disk
+    and object stores look first, so there only one writer per table at a time is safe.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self._jvm = spark.sparkContext._jvm
@@ -69,6 +73,19 @@ class Files:
         finally:
             stream.close()
 
+    def first_line(self, path: str) -> str:
+        """The first line of a text file, read alone; compressed files are told by their ending."""
+        where = self._path(path)
+        conf = self._fs.getConf()
+        codec = self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        stream = self._fs.open(where)
+        try:
+            plain = codec.createInputStream(stream) if codec is not None else stream
+            reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(plain, "UTF-8"))
+            return reader.readLine() or ""
+        finally:
+            stream.close()
+
     def put_new(self, path: str, text: str) -> None:
         """Create a file that appears whole or not at all, and never replaces one."""
         if self.exists(path):
@@ -84,6 +101,11 @@ class Files:
             raise FileExistsError(path)
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when this checkpoint was made."""
+    return json.loads(Files(spark, checkpoint).read_text(f"{checkpoint}/metadata"))["id"]
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -239,14 +261,14 @@ class VersionedTable:
     def current_rows(self, keys: DataFrame) -> DataFrame:
         """The latest row of each given key that still has one; reads only their buckets."""
         rows = self.read(only=self.buckets_of_keys(keys))
-        return self._matching(rows, keys, "left_semi")
+        return self.matching(rows, keys, "left_semi")
 
     def missing_keys(self, keys: DataFrame) -> DataFrame:
         """The given keys that have no row any more."""
         rows = self.read(only=self.buckets_of_keys(keys))
-        return self._matching(keys, rows, "left_anti")
+        return self.matching(keys, rows, "left_anti")
 
-    def _matching(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    def matching(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         right = right.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys])
         on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in self.keys]
         return left.join(right, on, how)
@@ -338,6 +360,11 @@ class VersionedTable:
         self._files.put_new(self._commit_path(commit.version), commit.to_json())
         return commit
 
+    def delete(self, gone: Callable[[Column], Column]) -> Commit:
+        """Remove the rows for which ``gone(row)`` is true, as a merge: the change feed tells of each."""
+        nothing = self.spark.createDataFrame([], self.schema)
+        return self.merge(nothing, all_buckets=True, delete_missing=gone, unique_source=True)
+
     def replace(self, rows: DataFrame, files_per_bucket: int = 1) -> Commit:
         """Write the given rows as the complete next state, e.g. after expiry; no change rows."""
         last = self.commit()

@@ -57,7 +57,7 @@ def with_dead_letter(batch: Batch, path: str) -> Batch:
         try:
             batch(rows, batch_id)
         except Exception as error:  # noqa: BLE001 - the point is to keep the stream alive
-            kept = rows.withColumn("_error", F.lit(f"{type(error).__name__}: {error}"[:2000]))
+            kept = rows.withColumn("_error", F.lit(f"{type(error).__name__}: {error}"))
             kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
                 f"{path}/batch_id={batch_id}"
             )

@@ -8,12 +8,12 @@ data and progress cannot drift apart.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +28,15 @@ from eventlake.operators import upsert as U
 from eventlake.session import pin_utc
 from eventlake.sources import files as CSV
 from eventlake.sources.document_sink import DocumentClient, remove_documents, write_documents
-from eventlake.sources.versioned import BUCKET, Files, VersionedTable
+from eventlake.sources.versioned import BUCKET, Files, VersionedTable, checkpoint_id
 from eventlake.streaming.batches import drain
 
 Connect = Callable[[], DocumentClient]
 
-CLIENTS = T.StructType(S.CLIENT_MASTER.fields + S.row(_ingested_at=S.TIME).fields)
+#: What names one event of the log.
+EVENT_KEY = ("topic", "partition", "offset")
+
+CLIENTS = T.StructType(S.CLIENT_MASTER.fields + S.row(_file_modified=S.TIME, _source_file=S.STRING).fields)
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,7 @@ class Lake:
     root: str
     env: str = "dev"
     buckets: int = 16
+    ops: str = "ops"
 
     def _at(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), self.env, *parts])
@@ -55,14 +59,14 @@ class Lake:
     def quarantine(self) -> str:
         return self._at("silver", "quarantine")
 
-    def quarantine_batch(self, stream: str, batch_id: int) -> str:
-        return f"{self.quarantine}/stream={stream}/_batch_id={batch_id}"
+    def quarantine_batch(self, source: str, batch_id: int) -> str:
+        return f"{self.quarantine}/source={source.replace(':', '-')}/_batch_id={batch_id}"
 
     def bronze(self, name: str) -> str:
         return self._at("bronze", name)
 
     def checkpoint(self, stream: str) -> str:
-        return self._at("ops", "checkpoints", stream)
+        return self._at(self.ops, "checkpoints", stream)
 
     def state(self, spark: SparkSession) -> VersionedTable:
         """Bucketed by client, so lookups and document rebuilds read single buckets."""
@@ -78,7 +82,7 @@ class Lake:
 
     def metrics(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable.create(
-            spark, self._at("gold", "daily_metrics"), S.METRICS, S.METRIC_KEY, ["ref_date"], self.buckets
+            spark, self._at("gold", "daily_metrics"), S.METRICS, S.METRIC_KEY, S.METRIC_KEY, self.buckets
         )
 
     def documents(self, spark: SparkSession) -> VersionedTable:
@@ -118,7 +122,7 @@ def _upsert_clients(lake: Lake, checkpoint: str) -> Callable[[DataFrame, int], N
             E.newest_master(known),
             stream=f"bronze:{checkpoint_id(session, checkpoint)}",
             batch_id=batch_id,
-            guard=U.newer("_ingested_at"),
+            guard=U.newer("_file_modified", "_source_file"),
             unique_source=True,
             keys_not_null=True,
         )
@@ -157,19 +161,19 @@ def drain_events(
         source = f"{stream}:{checkpoint_id(session, checkpoint)}"
         judged = halved(V.classify(V.raw_events(batch), wire, contract)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_quarantine(V.quarantined_events(judged), lake, stream, batch_id, mirror)
+            write_quarantine(V.quarantined_events(judged), lake, source, batch_id, mirror)
             newest = U.newest_items(V.explode_items(V.valid_events(judged)))
             newest = newest.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                # State and clients share their buckets: only those of the batch are read.
+                # Only the buckets of the batch are read, each table's by its own count.
                 touched = state.buckets_of_keys(newest)
-                names = master(session) if master else lake.clients(session).read(only=touched)
+                names = master(session) if master else _names(lake.clients(session), newest)
                 state.merge(
                     E.enrich(newest, names).select(*S.STATE.fieldNames()),
                     stream=source,
                     batch_id=batch_id,
                     touched=touched,
-                    guard=U.newer("event_time", tie_break="offset"),
+                    guard=U.newer(*U.STATE_ORDER),
                     prefer_known=kept,
                     unique_source=True,
                     keys_not_null=True,  # the contract asks for client and type
@@ -182,6 +186,10 @@ def drain_events(
     drain(log, on_batch, checkpoint)
 
 
+def _names(clients: VersionedTable, newest: DataFrame) -> DataFrame:
+    return clients.read(only=clients.buckets_of_keys(newest))
+
+
 def halved(judged: DataFrame) -> DataFrame:
     """Keep of each row what its output needs: the text if rejected, the parsed event if valid."""
     rejected = F.col("reasons_text") != ""
@@ -190,28 +198,29 @@ def halved(judged: DataFrame) -> DataFrame:
     )
 
 
-def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id Spark gave the stream when this checkpoint was made."""
-    return json.loads(Files(spark, checkpoint).read_text(f"{checkpoint}/metadata"))["id"]
-
-
 def write_quarantine(
-    rejected: DataFrame, lake: Lake, stream: str, batch_id: int, mirror: Connect | None = None
+    rejected: DataFrame, lake: Lake, source: str, batch_id: int, mirror: Connect | None = None
 ) -> None:
-    """Rejected events in a folder per batch, replaced as a whole when the batch is replayed."""
+    """Rejected events in a folder per batch, replaced as a whole when the batch is replayed.
+
+    ``source`` names the stream and its checkpoint: batches of another checkpoint replace nothing.
+    """
     if rejected.isEmpty():
         return
-    path = lake.quarantine_batch(stream, batch_id)
+    path = lake.quarantine_batch(source, batch_id)
     rejected.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     if mirror is not None:
         tagged = rejected.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        write_documents(R.quarantine_documents(tagged), mirror, ["partition", "offset"])
+        write_documents(R.quarantine_documents(tagged), mirror, EVENT_KEY)
 
 
 def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every rejected event once, also where a new checkpoint has read the log again."""
     if not Files(spark, lake.root).names(lake.quarantine):
         return spark.createDataFrame([], S.QUARANTINE)
-    return spark.read.schema(S.QUARANTINE).parquet(lake.quarantine).select(*S.QUARANTINE.fieldNames())
+    rows = spark.read.schema(T.StructType(S.QUARANTINE.fields + S.row(source=S.STRING).fields)).parquet(lake.quarantine)
+    rows = U.latest_per_key(rows, EVENT_KEY, [F.asc("_batch_id"), F.asc("source")])
+    return rows.select(*S.QUARANTINE.fieldNames())
 
 
 # -- gold ------------------------------------------------------------------------
@@ -248,17 +257,20 @@ def drain_documents(spark: SparkSession, lake: Lake) -> None:
     pin_utc(spark)
     state, documents = lake.state(spark), lake.documents(spark)
     for after, upto in state.pending(documents, "state"):
-        changes = state.changes(after, upto)
-        clients = D.affected_clients(changes)
-        rows = state.read(upto, only=state.buckets_of_keys(clients))
-        keyed = clients.withColumn(BUCKET, documents.bucket_of())
-        documents.merge(
-            D.rebuild_documents(rows, changes),
-            stream="state",
-            batch_id=upto,
-            touched=documents.buckets_of_keys(clients),
-            verdicts=lambda t, s, by, keyed=keyed: D.replace_documents(t, s, keyed.repartition(by), by),
-        )
+        # The clients are used four times: the change feed is read for them once.
+        clients = D.affected_clients(state.changes(after, upto)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = state.read(upto, only=state.buckets_of_keys(clients))
+            keyed = clients.withColumn(BUCKET, documents.bucket_of())
+            documents.merge(
+                D.rebuild_documents(rows, clients),
+                stream="state",
+                batch_id=upto,
+                touched=documents.buckets_of_keys(clients),
+                verdicts=lambda t, s, by, keyed=keyed: D.replace_documents(t, s, keyed.repartition(by), by),
+            )
+        finally:
+            clients.unpersist()
 
 
 # -- mirrors -----------------------------------------------------------------------
@@ -278,9 +290,13 @@ def mirror_table(
 
     def apply(changes: DataFrame, batch_id: int) -> None:
         latest = VersionedTable.open(changes.sparkSession, table.path)
-        keys = changes.select(*table.keys).distinct()
-        write_documents(shape(latest.current_rows(keys)), connect, table.keys)
-        remove_documents(shape(latest.missing_keys(keys)), connect, table.keys)
+        keys = changes.select(*table.keys).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            held = latest.read(only=latest.buckets_of_keys(keys))
+            write_documents(shape(latest.matching(held, keys, "left_semi")), connect, table.keys)
+            remove_documents(shape(latest.matching(keys, held, "left_anti")), connect, table.keys)
+        finally:
+            keys.unpersist()
 
     table.follow(apply, checkpoint)
 
@@ -293,10 +309,34 @@ def mirror_documents(spark: SparkSession, lake: Lake, connect: Connect) -> None:
     mirror_table(lake.documents(spark), lake.checkpoint("mirror-documents"), connect)
 
 
-def run_once(spark: SparkSession, lake: Lake, log: DataFrame, **event_options) -> None:
-    """All stages in order of dependency; each drains what is there and stops."""
+def expire(spark: SparkSession, lake: Lake, before: Column) -> None:
+    """Remove state rows older than an instant. Change rows say so, and metrics and documents follow them."""
+    state = lake.state(pin_utc(spark))
+    state.delete(lambda row: row["event_time"] < before)
+
+
+def run_once(
+    spark: SparkSession, lake: Lake, log: DataFrame, mirror: Connect | None = None, **event_options
+) -> None:
+    """All stages; each drains what is there and stops.
+
+    Documents and metrics depend on the state only and are brought up to date side by side, each with
+    its mirror. ``mirror`` connects to the document store, which also gets the rejected events.
+    """
     pin_utc(spark)
     ingest_master(spark, lake)
-    drain_events(spark, lake, log, **event_options)
-    drain_documents(spark, lake)
-    drain_metrics(spark, lake)
+    drain_events(spark, lake, log, mirror=mirror, **event_options)
+
+    def documents() -> None:
+        drain_documents(spark, lake)
+        if mirror is not None:
+            mirror_documents(spark, lake, mirror)
+
+    def metrics() -> None:
+        drain_metrics(spark, lake)
+        if mirror is not None:
+            mirror_metrics(spark, lake, mirror)
+
+    with ThreadPoolExecutor(2) as pool:
+        for stage in [pool.submit(inheritable_thread_target(spark)(s)) for s in (documents, metrics)]:
+            stage.result()

@@ -9,13 +9,13 @@ from eventlake.operators import upsert as U
 
 NOON = dt.datetime(2026, 7, 17, 12)
 ITEMS = S.row(
-    client_id=S.STRING, bank_id=S.STRING, insurer_id=S.STRING, event_time=S.TIME, offset=S.LONG, item_no=S.INT,
+    client_id=S.STRING, bank_id=S.STRING, insurer_id=S.STRING, event_time=S.TIME, topic=S.STRING, offset=S.LONG, item_no=S.INT,
     consent_type=S.STRING, scope=S.STRINGS, status=S.STRING,
 )
 
 
 def item(client, kind, offset=0, status="active", insurer="ins-1", time=NOON, no=0):
-    return (client, "bank-1", insurer, time, offset, no, kind, ["x"], status)
+    return (client, "bank-1", insurer, time, "t", offset, no, kind, ["x"], status)
 
 
 def items(spark, *rows):
@@ -36,33 +36,32 @@ def test_documents_are_per_client_bank_and_insurer(spark):
     assert one.insurer_id == "ins-2" and len(one["items"]) == 2
 
 
-@pytest.mark.parametrize("listed", [10_000, 0], ids=["broadcast", "salted"])
-def test_large_groups_are_split_without_loss(spark, monkeypatch, listed):
-    monkeypatch.setattr(D, "_HEAVY_LIST_LIMIT", listed)
-    rows = [item("hot", f"t{n}", n) for n in range(100)] + [item("cold", "a", 1000)]
-    documents = D.documents_from_items(items(spark, *rows), max_items=10).collect()
-    hot = [d for d in documents if d.client_id == "hot"]
-    assert len(hot) > 1 and max(len(d["items"]) for d in hot) < 40
-    assert sorted(i.consent_type for d in hot for i in d["items"]) == sorted(f"t{n}" for n in range(100))
-    assert [(d.part, len(d["items"])) for d in documents if d.client_id == "cold"] == [(0, 1)]
+def test_history_documents_are_per_day_at_any_size(spark):
+    later = NOON + dt.timedelta(days=1)
+    rows = [item("hot", f"t{n}", n, insurer=None, time=(NOON, later)[n % 2]) for n in range(100)] + [item("cold", "a", 1000)]
+    documents = D.documents_from_items(items(spark, *rows)).collect()
+    hot = {d.part: [i.consent_type for i in d["items"]] for d in documents if d.client_id == "hot"}
+    assert hot == {20260717 + p: sorted(f"t{n}" for n in range(p, 100, 2)) for p in (0, 1)}
+    assert [(d.part, len(d["items"])) for d in documents if d.client_id == "cold"] == [(20260717, 1)]
 
 
 def test_push_keeps_header_and_appends_in_order(spark):
     before = D.client_documents(items(spark, item("c", "z")), by_client=True)
     pushes = items(spark, item("c", "b", 2, insurer="ins-9"), item("c", "a", 1, insurer="ins-9"), item("new", "q", 3))
-    after = {d.client_id: d for d in D.push_items(before, pushes).collect()}
-    assert after["c"].insurer_id == "ins-1"
-    assert [i.consent_type for i in after["c"]["items"]] == ["z", "a", "b"]
-    assert (after["new"].insurer_id, len(after["new"]["items"])) == ("ins-1", 1)
+    after = {(d.client_id, d.part): d for d in D.push_items(before, pushes).collect()}
+    assert {d.insurer_id for d in after.values()} == {"ins-1"}
+    found = {key: [i.consent_type for i in d["items"]] for key, d in after.items()}
+    assert found == {("c", 0): ["z"], ("c", 20260717): ["a", "b"], ("new", 20260717): ["q"]}
 
 
-def test_push_of_a_hot_client_goes_to_parts_with_one_header(spark):
-    before = D.client_documents(items(spark, item("hot", "z")), by_client=True)
-    pushes = items(spark, *[item("hot", f"t{n}", n, insurer=f"ins-{n}") for n in range(50)])
-    after = D.push_items(before, pushes, max_items=10).collect()
-    assert {d.insurer_id for d in after} == {"ins-1"}
-    assert len({d.part for d in after}) == len(after) > 1
-    assert sum(len(d["items"]) for d in after) == 51
+def test_every_push_appends_its_items_once(spark):
+    documents = D.client_documents(items(spark, item("hot", "z")), by_client=True)
+    for turn in range(3):
+        pushes = items(spark, *[item("hot", f"t{turn}-{n}", n, insurer=None) for n in range(4)])
+        rows = D.push_items(documents, pushes).collect()
+        documents = spark.createDataFrame(rows, S.DOCUMENTS)
+    kept = {d.part: [i.consent_type for i in d["items"]] for d in documents.collect()}
+    assert kept == {0: ["z"], 20260717: [f"t{turn}-{n}" for turn in range(3) for n in range(4)]}
 
 
 def test_push_without_time_gets_the_current_time(spark):
@@ -91,12 +90,12 @@ def test_service_reads(spark):
 
 
 def test_exploded_report_joins_scope(spark):
-    row = D.exploded_report(D.client_documents(items(spark, ("c", "b", "i", NOON, 1, 0, "a", ["x", "y"], "active")))).first()
+    row = D.exploded_report(D.client_documents(items(spark, ("c", "b", "i", NOON, "t", 1, 0, "a", ["x", "y"], "active")))).first()
     assert row.scope == "x, y"
 
 
 def test_quarantine_reads(spark):
-    rows = [(f"t{n}", 0, n, NOON + dt.timedelta(minutes=n), ["no_items"], 3) for n in range(5)]
+    rows = [(f"t{n}", "topic", 0, n, NOON + dt.timedelta(minutes=n), ["no_items"], 3) for n in range(5)]
     quarantine = spark.createDataFrame(rows, S.QUARANTINE)
     latest = R.quarantine_latest(quarantine, 2).collect()
     assert [(r.raw_json, r.kafka_timestamp, r.batch_id) for r in latest] == [

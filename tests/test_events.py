@@ -8,7 +8,7 @@ from eventlake.operators import events as V
 
 
 def raw(spark, *texts):
-    rows = [(t if t is None or isinstance(t, str) else json.dumps(t), 0, i, None) for i, t in enumerate(texts)]
+    rows = [(t if t is None or isinstance(t, str) else json.dumps(t), "t", 0, i, None) for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, S.RAW)
 
 
@@ -47,6 +47,11 @@ CASES = [
     (event(client_id=""), "missing_client"),
     (event(client_id=17), ""),
     (event(event_time="yesterday"), "bad_time"),
+    (event(event_time="12:30"), "bad_time"),
+    (event(event_time="2026"), "bad_time"),
+    (event(event_time="2026-07-17"), "bad_time"),
+    (event(event_time="+200000-01-01T00:00:00"), "bad_time"),
+    (event(event_time="2026-07-17 12:00:00.5+02:00"), ""),
     (event(event_time=...), "missing_time"),
     (event(items=[None]), "untyped_item"),
     (event(items=[{"scope": ["x"]}]), "untyped_item"),
@@ -59,7 +64,8 @@ def test_reasons(spark, ansi):
 
 
 def test_valid_and_quarantine_are_complements(spark, ansi):
-    valid, rejected = V.split_events(raw(spark, *[text for text, _ in CASES]))
+    judged = V.classify(raw(spark, *[text for text, _ in CASES]))
+    valid, rejected = V.valid_events(judged), V.quarantined_events(judged)
     assert [r.offset for r in valid.orderBy("offset").collect()] == [n for n, c in enumerate(CASES) if c[1] == ""]
     assert [r.offset for r in rejected.orderBy("offset").collect()] == [n for n, c in enumerate(CASES) if c[1] != ""]
 
@@ -79,7 +85,7 @@ def test_explode_gives_one_row_per_item(spark):
             {"type": "b", "scope": ["y"], "status": "revoked"},
         ]
     )
-    valid, _ = V.split_events(raw(spark, two))
+    valid = V.valid_events(V.classify(raw(spark, two)))
     rows = V.explode_items(valid).orderBy("item_no").collect()
     assert [(r.consent_type, r.scope, r.status, r.item_no) for r in rows] == [
         ("a", ["x"], "active", 0),
@@ -89,7 +95,7 @@ def test_explode_gives_one_row_per_item(spark):
 
 def test_time_zones_are_instants(spark):
     rows = raw(spark, event(event_time="2026-07-17T12:00:00+02:00"), event(event_time="2026-07-17T10:00:00Z"))
-    valid, _ = V.split_events(rows)
+    valid = V.valid_events(V.classify(rows))
     assert V.explode_items(valid).select("event_time").distinct().count() == 1
 
 
@@ -132,7 +138,7 @@ def test_publish_counters_by_observe(spark):
 
 
 def test_text_is_parsed_once(spark):
-    valid, _ = V.split_events(raw(spark, event()))
+    valid = V.valid_events(V.classify(raw(spark, event())))
     plan = V.explode_items(valid)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
 

@@ -63,6 +63,34 @@ def test_rows_that_do_not_fit_are_rescued(spark, here):
     assert rows["c3"]._rescued_data == "c3,Cid,3,b1,extra,more"
 
 
+def test_columns_with_an_underscore_or_another_case_are_kept(spark, here):
+    put(here["landing"], "clients_1.csv", HEADER + "c1,Ana,111,b1\n")
+    put(here["landing"], "clients_2.csv", "Client_ID,_score,_source_file\nc2,7,x\n")
+    rows = {r.client_id: r for r in take(spark, here).collect()}
+    assert (rows["c2"]._score, rows["c2"]._source_file_2) == ("7", "x")
+    assert rows["c2"]._source_file.endswith("clients_2.csv")
+    assert (rows["c1"].client_name, rows["c1"]._score) == ("Ana", None)
+
+
+def test_a_new_checkpoint_neither_loses_nor_doubles_rows(spark, here):
+    put(here["landing"], "clients_1.csv", HEADER + "c1,Ana,111,b1\n")
+    take(spark, here)
+    os.rename(os.path.join(here["landing"], "clients_1.csv"), here["root"])
+    put(here["landing"], "clients_2.csv", HEADER + "c2,Bea,222,b1\n")
+    take(spark, here)
+    rows = take(spark, here | {"checkpoint": here["checkpoint"] + "-2"}).collect()
+    assert sorted(r.client_id for r in rows) == ["c1", "c2"]
+
+
+def test_the_newer_file_wins(spark):
+    from eventlake.operators.enrich import newest_master
+
+    rows = spark.createDataFrame(
+        [("c1", "Zoe", 1, "a"), ("c1", "Ana", 2, "b")], "client_id string, client_name string, t int, _source_file string"
+    ).select("client_id", "client_name", F.timestamp_seconds("t").alias("_file_modified"), "_source_file")
+    assert newest_master(rows).first().client_name == "Ana"
+
+
 def test_type_hints(spark, here):
     source = CSV.DropSource("amounts", "a*.csv", S.row(id=S.STRING), hints="id STRING, amount DECIMAL(10,2)")
     put(here["landing"], "a1.csv", "id,amount\n007,1.50\n")
@@ -78,7 +106,8 @@ def test_files_per_batch_and_archive(spark, here):
         os.utime(os.path.join(here["landing"], f"clients_{n}.csv"), (n + 1, n + 1))
     rows = take(spark, here, max_files=1, archive=here["archive"])
     assert rows.count() == 3
-    assert sorted(os.listdir(f"{here['table']}/data")) == ["batch=s0", "batch=s1", "batch=s2"]
+    batches = sorted(name.rsplit("-", 1)[1] for name in os.listdir(f"{here['table']}/data") if name.startswith("batch="))
+    assert batches == ["0", "1", "2"]
     archived = [name for _, _, names in os.walk(here["archive"]) for name in names if name.endswith(".csv")]
     assert set(archived) <= {f"clients_{n}.csv" for n in range(3)} and archived
 

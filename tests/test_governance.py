@@ -10,9 +10,9 @@ from eventlake.sources import catalog as C
 @pytest.fixture
 def state(spark):
     rows = [
-        ("c1", "b1", "ins-1", "Ana", "123.456.789-00", None, 1, "a", ["x"], "active"),
-        ("c2", "b2", "ins-2", None, None, None, 2, "a", ["x"], "revoked"),
-        ("c3", "b2", None, "Cid", "9", None, 3, "a", ["x"], "active"),
+        ("c1", "b1", "ins-1", "Ana", "123.456.789-00", None, "t", 1, "a", ["x"], "active"),
+        ("c2", "b2", "ins-2", None, None, None, "t", 2, "a", ["x"], "revoked"),
+        ("c3", "b2", None, "Cid", "9", None, "t", 3, "a", ["x"], "active"),
     ]
     return spark.createDataFrame(rows, S.STATE)
 
@@ -91,6 +91,6 @@ def test_missing_columns_are_added_once(spark):
     spark.sql("CREATE TABLE IF NOT EXISTS t3.banks (bank_id STRING, name STRING) USING parquet")
     spark.sql("INSERT INTO t3.banks VALUES ('b1', 'Um')")
     wanted = C.TABLES["banks"][1]
-    assert C.add_missing_columns(spark, "t3.banks", wanted) == ["_ingested_at", "_source_file", "_rescued_data"]
+    assert C.add_missing_columns(spark, "t3.banks", wanted) == ["_ingested_at", "_source_file", "_file_modified", "_rescued_data"]
     assert C.add_missing_columns(spark, "t3.banks", wanted) == []
     assert spark.table("t3.banks").first()._rescued_data is None

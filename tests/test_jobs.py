@@ -121,6 +121,56 @@ def test_lost_checkpoint_repeats_without_harm(spark, sf, lake, segments, tmp_pat
     assert Q.differences(lake.metrics(spark).read(), wanted).isEmpty()
 
 
+def test_expiry_reaches_metrics_and_documents(spark, sf, lake, segments):
+    J.drain_events(spark, lake, stream_log(spark, "parquet", {}, segments), master=lambda s: X.client_master(s, sf))
+    J.drain_metrics(spark, lake)
+    J.drain_documents(spark, lake)
+    limit = F.lit("2024-01-16").cast("timestamp")
+    J.expire(spark, lake, limit)
+    J.drain_metrics(spark, lake)
+    J.drain_documents(spark, lake)
+    kept = X.state(spark, sf).filter(F.col("event_time") >= limit)
+    assert Q.differences(lake.state(spark).read(), kept).isEmpty()
+    assert Q.differences(lake.metrics(spark).read(), M.daily_metrics(kept)).isEmpty()
+    assert Q.differences(lake.documents(spark).read(), D.client_documents(kept)).isEmpty()
+
+
+def test_names_are_found_with_other_bucket_counts(spark, sf, lake, segments, tmp_path):
+    wide = J.Lake(lake.root, buckets=16)
+    os.makedirs(lake.landing)
+    X.client_master(spark, sf).toPandas().to_csv(os.path.join(lake.landing, "clients_1.csv"), index=False)
+    J.ingest_master(spark, wide)
+    J.drain_events(spark, J.Lake(lake.root, buckets=7), stream_log(spark, "parquet", {}, segments))
+    assert Q.differences(lake.state(spark).read(), X.state(spark, sf)).isEmpty()
+
+
+def test_a_run_fills_the_mirrors(spark, sf, lake, segments, tmp_path):
+    folder = str(tmp_path / "store")
+    os.makedirs(folder)
+    J.run_once(spark, lake, stream(spark, segments), mirror=lambda: FolderClient(folder))
+    tables = (J.read_quarantine(spark, lake), lake.metrics(spark).read(), lake.documents(spark).read())
+    assert len(documents_in(folder)) == sum(rows.count() for rows in tables)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from eventlake import session
+
+    def of(master):
+        conf = {}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d), set=conf.__setitem__),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.shared_folder(of(master))
+    here = of("local[2]")
+    assert session.shared_folder(here) == session.shared_folder(here)
+
+
 def test_environments_share_nothing(lake):
     prod = J.Lake(lake.root, env="prod")
     assert prod.checkpoint("x") != lake.checkpoint("x")

@@ -10,7 +10,7 @@ DAY1, DAY2 = dt.datetime(2026, 1, 1, 10), dt.datetime(2026, 1, 2, 10)
 
 
 def state(spark, *rows):
-    full = [(c, bank, "ins-1", None, None, time, n, kind, ["x"], "active") for n, (c, bank, kind, time) in enumerate(rows)]
+    full = [(c, bank, "ins-1", None, None, time, "t", n, kind, ["x"], "active") for n, (c, bank, kind, time) in enumerate(rows)]
     return spark.createDataFrame(full, S.STATE)
 
 

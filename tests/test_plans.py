@@ -109,9 +109,12 @@ def test_settings_are_restored(spark):
     assert spark.conf.get(key, None) == before
 
 
-def test_large_part_list_needs_no_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(D, "_HEAVY_LIST_LIMIT", 0)
-    rows = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("n"))
-    parted = D.with_part(rows, ["k"], F.struct("n"), 10)
-    assert parted.count() == 100
-    assert parted.select("part").distinct().count() > 1
+@pytest.mark.parametrize("name", ["merge_upsert", "metrics_delta", "metrics_merge", "document_upsert"])
+def test_the_log_is_parsed_once(spark, sf, name, monkeypatch):
+    from eventlake.operators import events as V
+
+    calls = []
+    parse = V.parse_events
+    monkeypatch.setattr(V, "parse_events", lambda *a, **k: calls.append(1) or parse(*a, **k))
+    plan = plan_of(QUERIES[name](spark, sf))
+    assert len(calls) == 1 and "from_json" not in plan

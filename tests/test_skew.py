@@ -18,6 +18,8 @@ NAMES = (
     "metrics_delta",
     "client_documents",
     "document_push",
+    "document_push_twice",
+    "item_history_documents",
     "expectations_report",
     "stream_state",
 )
@@ -44,18 +46,3 @@ def duck(skewed):
 @pytest.mark.parametrize("name", NAMES)
 def test_hot_client(spark, duck, skewed, name):
     assert check_sql.compare(spark, duck, name, skewed) is None
-
-
-@pytest.mark.parametrize("name", ("item_history_documents", "document_push"))
-def test_hot_client_in_parts(spark, skewed, name, monkeypatch):
-    """With a small limit per document the hot client's items are spread over parts, none missing."""
-    import __spark_entry__ as entry_points
-    from eventlake.operators import documents as D
-
-    whole = entry_points.queries()[name](spark, skewed).agg(F.sum("n_items")).first()[0]
-    for function in (D.documents_from_items, D.push_items):
-        monkeypatch.setattr(function, "__defaults__", (20,))
-    parts = entry_points.queries()[name](spark, skewed)
-    assert parts.agg(F.sum("n_items")).first()[0] == whole
-    assert parts.filter("part > 0").count() > 3
-    assert parts.groupBy("client_id", "bank_id", "insurer_id", "part").count().filter("count > 1").isEmpty()

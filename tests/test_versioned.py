@@ -160,7 +160,11 @@ def test_pending_spans_follow_the_targets_own_progress(spark, table, tmp_path):
     spans = []
     for after, upto in table.pending(target, "t", max_versions=2):
         spans.append((after, upto))
-        target.merge(U.new_rows(table.changes(after, upto)).select(*ROW.fieldNames()), stream="t", batch_id=upto)
+        target.merge(
+            table.changes(after, upto).filter("_change_type IN ('insert', 'update_postimage')").select(*ROW.fieldNames()),
+            stream="t",
+            batch_id=upto,
+        )
     assert spans == [(0, 2), (2, 4), (4, 5)]
     assert list(table.pending(target, "t")) == []
     assert rows_of(target.read()) == rows_of(table.read())
@@ -189,6 +193,6 @@ def test_shuffled_batches_of_the_event_log(spark, sf, tmp_path):
     master = X.client_master(spark, sf)
     for part in (3, 0, 2, 1, 3):
         batch = X.state_of(items.filter(F.col("offset") % 4 == part), master)
-        table.merge(batch, guard=U.newer("event_time", tie_break="offset"), unique_source=True)
+        table.merge(batch, guard=U.newer("event_time", "offset"), unique_source=True)
     assert Q.differences(table.read(), X.state(spark, sf)).isEmpty()
     assert table.changes(4).isEmpty()
