@@ -406,7 +406,8 @@ def test_repeated_bytes_go(spark, monkeypatch, crowd):
 
 
 def test_rows_repeated_with_their_id_are_one_text(spark):
-    text = "".join(random.Random(1).choice("abcdefgh ") for _ in range(600))
+    r = random.Random(1)
+    text = "".join(r.choice("abcdefgh ") for _ in range(600))
     rows = suffix_dedup.deduplicated(documents(spark, [(1, text), (1, text), (2, "short")])).collect()
     assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (1, 0), (2, 0)]
     assert hashlib.sha256(rows[0].kept).digest()
