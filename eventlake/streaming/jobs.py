@@ -244,7 +244,7 @@ def drain_metrics(spark: SparkSession, lake: Lake, recompute: bool = False) -> N
             M.recompute_affected(state.read(upto), changes),
             stream="state",
             batch_id=upto,
-            touched=metrics.buckets_of_keys(days),
+            all_buckets=True,  # a day's groups are spread over the buckets
             verdicts=lambda t, s, by, days=days: M.replace_affected(t, s, days, by),
         )
 
