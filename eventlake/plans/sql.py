@@ -482,7 +482,8 @@ SELECT CAST(event_id AS BIGINT) AS "offset", CASE event_id % 13
          WHEN 4 THEN 'bad_time' WHEN 5 THEN 'no_items' WHEN 6 THEN 'untyped_item' WHEN 7 THEN 'missing_bank'
          WHEN 8 THEN 'missing_insurer' WHEN 9 THEN 'no_scope' WHEN 10 THEN 'unknown_type' WHEN 11 THEN 'unknown_status'
        END AS reason
-FROM events WHERE event_id % 13 < 12""",
+FROM events WHERE event_id % 13 < 12
+UNION ALL SELECT CAST(event_id AS BIGINT), 'no_scope' FROM events WHERE event_id % 13 = 1""",
     "stream_change_feed": _on_feeds(
         f"SELECT _change_type, {_STATE_OUT}, CAST(1 AS BIGINT) AS _commit_version FROM changes"
     ),
