@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm import common as C
+from eventlake.llm import similar_texts
 
 SHINGLE = 4
 BUDGET = 4
@@ -292,9 +293,13 @@ def hex_code(code: Column) -> Column:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One document per class stays, the one with the smallest id; of rows repeated with id and text, one.
 
-    Rows without an id stay only where their whole class has none, the smallest text key then.
+    Here texts are linked if the sets of their five-word shingles have a Jaccard similarity of at least 0.8. Texts this
+    alike differ in up to 13 bits and more, where bits prune too little and still miss some, so ``similar_texts`` finds
+    the links by shared shingles. Rows without an id stay only where their whole class has none, the smallest text key then.
     """
-    found = near_duplicates(documents)
+    found = C.stored(similar_texts.prints(documents), "shingle-prints")
+    reached = components(similar_texts.links(documents, found, components))
+    found = found.join(reached, found["code"] == reached["node"], "left").withColumn("root", F.coalesce("root", "code"))
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("pick")
     kept = found.groupBy("root").agg(pick).select("pick.doc_id", "pick.text_key")
     rows = C.keyed_rows(documents)

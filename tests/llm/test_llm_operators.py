@@ -22,6 +22,7 @@ from eventlake.llm import (  # noqa: E402
     license_scan,
     line_dedup,
     packing,
+    similar_texts,
     simhash,
     suffix_dedup,
     surrogates,
@@ -321,6 +322,30 @@ def test_one_of_each_class_stays(spark):
     assert simhash.one_of_each(docs.filter("false")).count() == 0
 
 
+def test_one_of_each_class_of_similar_texts_stays(spark):
+    r = random.Random(8)
+    docs = [(i, t) for i, t in odd_texts(4) if t is None or len(t) < 5000]
+    for base in range(12):
+        words = [f"w{r.randrange(3000)}" for _ in range(r.randrange(30, 200))]
+        for copy in range(5):
+            own = list(words)
+            for _ in range(copy * len(words) // 110):
+                own[r.randrange(len(own))] = f"x{r.randrange(3000)}"
+            docs.append((1000 + 10 * base + copy, " ".join(own)))
+    sets = {}
+    for i, t in docs:
+        words = brute.lower_ascii(t or "").split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    alike = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    bits = {i: plain_fingerprint(t or "") for i, t in docs}
+    assert sum((bits[i] ^ bits[j]).bit_count() > 4 for i, j in alike) > 5
+    root = {i: i for i in sets}
+    for _ in sets:
+        for i, j in alike:
+            root[i] = root[j] = min(root[i], root[j])
+    assert {row.doc_id for row in simhash.one_of_each(documents(spark, docs)).collect()} == set(root.values())
+
+
 # ------------------------------------------------------------------ surrogates
 
 PRIVATE = (
