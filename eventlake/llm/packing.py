@@ -2,7 +2,8 @@
 
 A document longer than the longest window gives whole windows; what is left of it, or all of a shorter one, goes to the
 tier of the smallest context size that holds it. The longest tier is packed first and its gaps are filled with the
-best-fitting pieces of shorter tiers; then each shorter tier is packed into windows of its own size, which are cut to be
+best-fitting pieces of shorter tiers, which are cut where none fits, and with cuts of other long pieces where there are no
+shorter ones; then each shorter tier is packed into windows of its own size, which are cut to be
 exactly full. Sequences are dealt to step groups so that the groups of a task have nearly equal numbers of tokens.
 
 Tokenisation and packing happen in one narrow pass: a task packs the texts of its partition a few megabytes at a time and
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from array import array
 from bisect import bisect_left, bisect_right, insort
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,8 +33,6 @@ from eventlake.llm import common as C
 
 TIERS = (2048, 1024, 512, 256)
 END = 1
-#: Gaps of the longest tier that are shorter than this are left as padding rather than cut a document for them.
-LEAST_CUT = 16
 #: Tokens of a step group, about.
 STEP_TOKENS = 64 * TIERS[0]
 TEXT_BYTES = 1 << 20
@@ -181,17 +181,33 @@ def pack(pieces: list[Piece], final: bool) -> tuple[list[tuple[int, list[Piece]]
             short.append(piece)
     pool = Pool()
     pool.fill(short)
-    for piece in sorted(long, key=lambda p: -p.length):
+    left: list[Piece] = []
+    waiting = deque(sorted(long, key=lambda p: -p.length))
+    while waiting:
+        piece = waiting.popleft()
         window, gap = [piece], longest - piece.length
         while gap and (more := pool.longest(gap)):
             window.append(more)
             gap -= more.length
-        if gap >= LEAST_CUT and (more := pool.shortest(gap)):
+        if gap and (more := pool.shortest(gap)):
             head, rest = more.cut(gap)
             window.append(head)
             pool.add(rest)
-        out.append((longest, window))
-    left: list[Piece] = []
+            gap = 0
+        while gap and waiting:
+            # the pool is empty: the shortest of the long pieces, which stays the shortest
+            more = waiting.pop()
+            head, rest = more.cut(min(gap, more.length))
+            window.append(head)
+            gap -= head.length
+            if rest.length > TIERS[1]:
+                waiting.append(rest)
+            elif rest.length:
+                pool.add(rest)
+        if gap:
+            left += window
+        else:
+            out.append((longest, window))
     for tier, below in zip(TIERS[1:], (*TIERS[2:], 0), strict=True):
         while (piece := pool.longest(tier)) is not None:
             if piece.length <= below:

@@ -278,6 +278,26 @@ def test_packing_round_trip(spark):
     assert first.ids_crc32 == zlib.crc32(np.array([1], "<u4").tobytes())
 
 
+@pytest.mark.parametrize("lengths", [[1100] * 50, [2047] * 30, [2040] * 9 + [5000, 1025], [1500, 3, 700] * 40, [1300]])
+def test_only_the_last_window_of_a_task_is_padded(lengths):
+    left, windows, total = [], [], 0
+    for turn in range(3):
+        fresh = [packing.Piece(1000 * turn + i, 0, n) for i, n in enumerate(lengths)]
+        found, left = packing.pack(left + fresh, False)
+        windows += found
+        assert all(sum(p.length for p in w) == tier for tier, w in found) and sum(p.length for p in left) < 2 * packing.TIERS[0]
+    found, left = packing.pack(left, True)
+    assert not left and sum(sum(p.length for p in w) < tier for tier, w in found) <= 1
+    placed = collections.defaultdict(list)
+    for _, window in windows + found:
+        for p in window:
+            placed[p.row].append((p.start, p.length))
+    for turn in range(3):
+        for i, n in enumerate(lengths):
+            own = sorted(placed[1000 * turn + i])
+            assert [a for a, _ in own] == list(np.cumsum([0, *[b for _, b in own]])[:-1]) and sum(b for _, b in own) == n
+
+
 # ------------------------------------------------------------------ simhash
 
 
