@@ -7,8 +7,8 @@ digit is right, machine addresses stay in range, given names are taken from a li
 surrogate everywhere, so texts still refer to the same person.
 
 Collisions are checked over the whole corpus: all different entities are brought together with their surrogates, and where two
-share one, or a surrogate is itself an entity of the corpus, the later ones get another attempt, until there is none. Only
-such later attempts are joined to the texts that need them; all others are recomputed in place from the key.
+share one, or a surrogate is itself an entity of the corpus, the later ones get another attempt, until there is none; a
+shape too crowded for that goes by one permutation as a whole, which keeps its entities distinct. Only such later attempts are joined to the texts that need them; all others are recomputed in place from the key.
 
 Plan: one narrow pass lists entities, counted per task before the shuffle; a second one rewrites. An entity that occurs in a third
 of all rows is one row of the collision check.
@@ -36,6 +36,8 @@ from eventlake.llm import common as C
 
 KEY = b"replace by a secret of your own"
 ATTEMPTS = 50
+#: Attempt of entities whose whole shape goes by one permutation.
+WHOLE = -1
 
 #: Fixed patterns; the first group named ``v`` is what is replaced.
 _KINDS = [
@@ -188,7 +190,7 @@ def _email(key: bytes, tweak: str, text: str) -> str:
 def _name(key: bytes, tweak: str, text: str) -> str:
     gender, name = text.split("|")
     words = name.split(" ")
-    if len(words) == 1:
+    if len(words) == 1 or tweak == f"name|{WHOLE}":
         return f"{gender}|{_shaped(key, tweak, name)}"
     given = _GIVEN[gender][_round(key, tweak, (sum(words[0].encode()),)) % len(_GIVEN[gender])]
     return f"{gender}|{given.lower()} {_shaped(key, tweak + words[0], ' '.join(words[1:]))}"
@@ -213,7 +215,17 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "name":
         return _name(key, tweak, entity)
     low = _folded(entity)
-    return _cased(entity, _shaped(key, tweak, low, hex_digits=kind == "secret" and bool(re.fullmatch("[0-9a-f]{8,}", low))))
+    hex_digits = kind == "secret" and attempt != WHOLE and bool(re.fullmatch("[0-9a-f]{8,}", low))
+    return _cased(entity, _shaped(key, tweak, low, hex_digits=hex_digits))
+
+
+def shape(kind: str, entity: str) -> str:
+    """Entities of one shape have different surrogates, all of this shape, at the attempt WHOLE."""
+    if kind == "ip":
+        return "ip"
+    low = _folded(entity)
+    signs = ("9" if c in "0123456789" else _SCRIPTS[_PLACE[c][0]][0] if c in _PLACE else c for c in low)
+    return _cased(entity, "".join(signs))
 
 
 # ------------------------------------------------------------------ entities in texts
@@ -348,7 +360,7 @@ def later_attempts(documents: DataFrame, key: bytes = KEY) -> DataFrame:
     """``kind, entity, attempt`` of the entities whose first surrogate collides; the attempt is the first that does not.
 
     Where a shape has too few values for that (ATTEMPTS tries), collisions with entities of the corpus are left and only
-    distinctness counts; the permutation of a shape alone already gives that.
+    distinctness counts: all entities of a shape with a shared surrogate go back to the attempt WHOLE, one permutation.
     """
     known = C.stored(entities(documents), "entities")
     settled = C.stored(_with_surrogates(known.withColumn("attempt", F.lit(0)), key), "surrogates")
@@ -366,7 +378,36 @@ def later_attempts(documents: DataFrame, key: bytes = KEY) -> DataFrame:
         settled = C.stored(
             clash.filter("NOT again").select("kind", "entity", "attempt", "surrogate").union(retried), "surrogates"
         )
-    return settled.filter("attempt > 0").select("kind", "entity", "attempt")
+    else:
+        settled = _distinct(settled, key)
+    return settled.filter("attempt <> 0").select("kind", "entity", "attempt")
+
+
+def _distinct(settled: DataFrame, key: bytes) -> DataFrame:
+    """Shapes in which entities share a surrogate go to the attempt WHOLE, until none share one.
+
+    Two entities at WHOLE never do, so each turn moves further shapes there and it ends.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("kind").to_pylist(), batch.column("entity").to_pylist(), strict=True)
+            shapes = pa.array([shape(*e) for e in pairs], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, shapes], [*batch.schema.names, "shape"])
+
+    columns = ["kind", "entity", "attempt", "surrogate"]
+    while True:
+        shared = settled.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+        if not shared.limit(1).count():
+            return settled
+        shaped = C.stored(
+            settled.select(*columns).mapInArrow(run, "kind string, entity string, attempt int, surrogate string, shape string"),
+            "shapes",
+        )
+        crowded = C.stored(shaped.join(shared, ["kind", "surrogate"]).select("kind", "shape").distinct(), "crowded")
+        back = _with_surrogates(shaped.join(crowded, ["kind", "shape"]).withColumn("attempt", F.lit(WHOLE)), key)
+        others = shaped.join(crowded, ["kind", "shape"], "left_anti").select(*columns)
+        settled = C.stored(others.union(back), "surrogates")
 
 
 def pseudonymised(documents: DataFrame, key: bytes = KEY) -> DataFrame:

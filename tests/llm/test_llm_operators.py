@@ -417,6 +417,17 @@ def test_surrogates_never_collide_over_the_corpus(spark):
     assert len(set(flat)) == len(flat) and not set(flat) & set(new)
 
 
+def test_surrogates_of_crowded_shapes_are_distinct(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"{a.upper()}{b}" for a in letters for b in letters][:500]
+    docs = [(i, f"Mr {n} met Mr Al {n} at 192.168.{i % 2}.{i // 2}") for i, n in enumerate(names)]
+    later = {(r.kind, r.entity): r.attempt for r in surrogates.later_attempts(documents(spark, docs), b"k").collect()}
+    known = {e[2:] for _, text in docs for e in surrogates.entities_in(text)}
+    new = {(kind, surrogates.surrogate(b"k", kind, entity, later.get((kind, entity), 0))) for kind, entity in known}
+    assert surrogates.WHOLE in later.values() and len(new) == len(known) == 1500
+
+
 # ------------------------------------------------------------------ suffixes
 
 
