@@ -40,6 +40,12 @@ def lower_ascii(text: Column) -> Column:
     return F.when(odd, F.translate(text, UPPER, UPPER.lower())).otherwise(F.lower(text))
 
 
+def lower_letters(text: Column) -> Column:
+    """A-Z lower-cased and nothing else; texts of ASCII alone take the fast way."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
 def text_key(text: Column) -> Column:
     """Tells apart rows that share an id; a null text counts as empty."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
