@@ -6,7 +6,7 @@ digest of a node to the digests of its children. A request for a leaf descends f
 leaf's rank, collects at each level the children that it does not take, and reverses these segments: its proof.
 
 Plan: one scan turns texts into digests. Leaves are ordered by a range shuffle, and a row's rank is its place in its partition
-plus the rows before; no group is ever in one task. Trees are built, and descended, in blocks of BLOCK leaves, four levels
+plus the rows before; no group is ever in one task. Trees are built, and descended, in blocks of 4096 leaves, four levels
 at once: a task holds one block at a time. The tops of blocks are the next layer's leaves, so layers shrink
 by 4096 and the descent hands only one path per block from layer to layer; leaves meet the records of their block and the path
 to its top, and proofs are hashed where they are found, never moved.
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -33,11 +34,11 @@ from eventlake.llm import common as C
 FAN_OUT = 8
 #: Levels that one layer takes together.
 LEVELS = 4
-BLOCK = FAN_OUT**LEVELS
 HASHED = ("doc_id", "source", "lang", "n_chars", "text")
 #: The group of subroots; groups of rows start with 0 or 1.
 TOP = ""
 
+_ROWS_AT_ONCE = 4096
 _PATH = "array<struct<digit: int, children: binary>>"
 
 
@@ -66,6 +67,7 @@ class Manifest:
     layers: list[Layer]
     top_layers: list[Layer]
     root: bytes | None
+    levels: int
 
     def records(self) -> DataFrame:
         """``digest, children`` of all inner nodes, each digest once; children are digests of 32 bytes one after the other."""
@@ -90,10 +92,10 @@ def _run_digest(children: list[bytes]) -> bytes:
     return hashlib.sha256(b"".join(children).hex().encode()).digest()
 
 
-def _height(n: int) -> int:
+def _height(n: int, levels: int) -> int:
     """Levels in a block of a layer whose group has n nodes."""
     height = 0
-    while n > 1 and height < LEVELS:
+    while n > 1 and height < levels:
         n = -(-n // FAN_OUT)
         height += 1
     return height
@@ -130,6 +132,10 @@ def ranked(rows: DataFrame, order: list[str], name: str) -> DataFrame:
 # ------------------------------------------------------------------ building
 
 
+def _block_of(levels: int) -> Column:
+    return F.shiftright("rank", FAN_OUT.bit_length() * levels - levels)
+
+
 def _by_block(rows: DataFrame, *order: str) -> DataFrame:
     return rows.repartition(_parts(rows), "grp", "block").sortWithinPartitions("grp", "block", *order)
 
@@ -152,33 +158,35 @@ _BUILT = pa.schema(
 )
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _build(batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[pa.RecordBatch]:
     for rows in _blocks(batches):
         grp, block, n = rows[0]["grp"], rows[0]["block"], rows[0]["n"]
         level = [row["digest"] for row in rows]
         records: dict[bytes, bytes] = {}
-        for _ in range(_height(n)):
+        for _ in range(_height(n, levels)):
             runs = [level[i : i + FAN_OUT] for i in range(0, len(level), FAN_OUT)]
             level = [_run_digest(run) for run in runs]
             records.update((digest, b"".join(run)) for digest, run in zip(level, runs, strict=True))
-        out = [(grp, block, level[0], None, -(-n // BLOCK))]
+        out = [(grp, block, level[0], None, -(-n // FAN_OUT**levels))]
         out += [(grp, block, digest, children, None) for digest, children in records.items()]
         yield pa.RecordBatch.from_pylist([dict(zip(_BUILT.names, row, strict=True)) for row in out], _BUILT)
 
 
-def build(nodes: DataFrame, name: str) -> list[Layer]:
+def build(nodes: DataFrame, levels: int, name: str) -> list[Layer]:
     """Layers from ``grp, rank, digest, n`` up to one node a group."""
     layers = []
     while True:
-        rows = nodes.select("grp", F.floor(F.col("rank") / BLOCK).alias("block"), "rank", "digest", "n")
-        built = _by_block(rows, "rank").mapInArrow(_build, "grp string, block long, digest binary, children binary, n long")
+        rows = nodes.select("grp", _block_of(levels).alias("block"), "rank", "digest", "n")
+        built = _by_block(rows, "rank").mapInArrow(partial(_build, levels=levels), "grp string, block long, digest binary, children binary, n long")
         layers.append(Layer(nodes, C.stored(built, name)))
         nodes = layers[-1].tops
         if (nodes.agg(F.max("n")).first()[0] or 1) == 1:
             return layers
 
 
-def manifest(documents: DataFrame, group: str = "lang", changed_text: Column | None = None) -> Manifest:
+def manifest(
+    documents: DataFrame, group: str = "lang", changed_text: Column | None = None, levels: int = LEVELS
+) -> Manifest:
     """The tree over all rows. ``changed_text`` is a text to try instead of the row's own, null where there is none to try."""
     columns = {c: F.col(c) for c in HASHED}
     lang = F.col(group).cast("string")
@@ -192,12 +200,12 @@ def manifest(documents: DataFrame, group: str = "lang", changed_text: Column | N
         changed.alias("changed"),
     )
     leaves = C.stored(ranked(rows, ["doc_id", "digest"], "ordered-leaves"), "leaves")
-    layers = build(leaves.select("grp", "rank", "digest", "n"), "layer")
+    layers = build(leaves.select("grp", "rank", "digest", "n"), levels, "layer")
     subroots = layers[-1].tops.select(F.lit(TOP).alias("grp"), F.col("grp").alias("own"), "digest")
     subroots = C.stored(ranked(subroots, ["own"], "ordered-subroots"), "subroots")
-    top_layers = build(subroots, "top-layer")
+    top_layers = build(subroots, levels, "top-layer")
     root = top_layers[-1].tops.first()
-    return Manifest(leaves, layers, top_layers, bytes(root["digest"]) if root else None)
+    return Manifest(leaves, layers, top_layers, bytes(root["digest"]) if root else None, levels)
 
 
 # ------------------------------------------------------------------ descent
@@ -206,9 +214,9 @@ def manifest(documents: DataFrame, group: str = "lang", changed_text: Column | N
 class _Descent:
     """Requests into one block: its records, and the path from the root to its top."""
 
-    def __init__(self, parent: dict, records: dict[bytes, bytes]):
+    def __init__(self, parent: dict, records: dict[bytes, bytes], levels: int):
         self.path = [(step["digit"], step["children"]) for step in parent["path"]]
-        self.top, self.height = parent["digest"], _height(parent["n"])
+        self.top, self.height = parent["digest"], _height(parent["n"], levels)
         self.subroot, self.records = parent["subroot"], records
 
     def descend(self, rank: int) -> tuple[bytes, list[tuple[int, bytes]]]:
@@ -235,7 +243,7 @@ def _folded(node: bytes, steps: list[tuple[int, bytes]]) -> bytes:
     return node
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Descent, Iterator[dict]]]:
+def _met(batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[_Descent, list[dict]]]:
     """Requests with their block's descent. Rows arrive sorted: of a block the parent, the records, then the requests."""
     now, parent, records, descent, asked = None, None, {}, None, []
     for batch in batches:
@@ -249,16 +257,16 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Descent, Iterator
             elif row["kind"] == 1:
                 records[row["digest"]] = row["children"]
             else:
-                descent = descent or _Descent(parent, records)
+                descent = descent or _Descent(parent, records, levels)
                 asked.append(row)
-                if len(asked) >= BLOCK:
+                if len(asked) >= _ROWS_AT_ONCE:
                     yield descent, asked
                     asked = []
     if asked:
         yield descent, asked
 
 
-def _requests(layer: Layer, parents: DataFrame, asked: DataFrame) -> DataFrame:
+def _requests(layer: Layer, parents: DataFrame, asked: DataFrame, levels: int) -> DataFrame:
     """Parents, records and requests of a layer, dealt by block and sorted for ``_met``.
 
     Parents have ``grp, rank, digest, n, path, subroot``: the tops of this layer's blocks, ``n`` the nodes of their group
@@ -266,7 +274,7 @@ def _requests(layer: Layer, parents: DataFrame, asked: DataFrame) -> DataFrame:
     """
     parents = parents.withColumnRenamed("rank", "block").withColumn("kind", F.lit(0))
     records = layer.records.withColumn("kind", F.lit(1))
-    asked = asked.withColumn("block", F.floor(F.col("rank") / BLOCK)).withColumn("kind", F.lit(2))
+    asked = asked.withColumn("block", _block_of(levels)).withColumn("kind", F.lit(2))
     rows = parents.unionByName(records, allowMissingColumns=True).unionByName(asked, allowMissingColumns=True)
     return _by_block(rows, "kind", "rank")
 
@@ -277,8 +285,8 @@ _REACHED = pa.schema(
 )
 
 
-def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for descent, asked in _met(batches):
+def _reach(batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[pa.RecordBatch]:
+    for descent, asked in _met(batches, levels):
         out = []
         for row in asked:
             node, steps = descent.descend(row["rank"])
@@ -287,15 +295,18 @@ def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, _REACHED)
 
 
-def _parents_of(layers: list[Layer], top: DataFrame, name: str) -> DataFrame:
+def _reached(layer: Layer, parents: DataFrame, levels: int) -> DataFrame:
+    """``grp, rank, digest, path, subroot`` of all nodes of a layer."""
+    asked = layer.nodes.select("grp", "rank")
+    schema = f"grp string, rank long, digest binary, path {_PATH}, subroot binary"
+    return _requests(layer, parents, asked, levels).mapInArrow(partial(_reach, levels=levels), schema)
+
+
+def _parents_of(layers: list[Layer], top: DataFrame, levels: int, name: str) -> DataFrame:
     """From the parents of the last layer's blocks to those of the first one's."""
     for above, below in zip(layers[:0:-1], layers[-2::-1], strict=True):
-        asked = above.nodes.select("grp", "rank")
-        reached = _requests(above, top, asked).mapInArrow(
-            _reach, f"grp string, rank long, digest binary, path {_PATH}, subroot binary"
-        )
         sizes = below.nodes.groupBy("grp").agg(F.max("n").alias("n"))
-        top = C.stored(reached.join(sizes, "grp"), name)
+        top = C.stored(_reached(above, top, levels).join(sizes, "grp"), name)
     return top
 
 
@@ -309,29 +320,26 @@ def verified(made: Manifest) -> DataFrame:
     schema = f"doc_id {kind}, {', '.join(c + ' string' for c in texts)}, verified boolean"
     if made.root is None:
         return made.leaves.sparkSession.createDataFrame([], schema)
-    root = made.root
+    root, levels = made.root, made.levels
 
     # the layers above the leaves of each group, from the root down
     nodes = made.top_layers[-1].nodes.agg(F.max("n")).first()[0]
     top = made.top_layers[-1].tops.withColumn("n", F.lit(nodes))
     top = top.withColumn("path", F.from_json(F.lit("[]"), _PATH)).withColumn("subroot", F.lit(None).cast("binary"))
-    top = _parents_of(made.top_layers, top, "top-paths")
-    asked = made.top_layers[0].nodes.select("grp", "rank")
-    reached = _requests(made.top_layers[0], top, asked).mapInArrow(
-        _reach, f"grp string, rank long, digest binary, path {_PATH}, subroot binary"
-    )
+    top = _parents_of(made.top_layers, top, made.levels, "top-paths")
     names = made.top_layers[0].nodes.select("rank", "own")
     sizes = made.layers[-1].nodes.groupBy("grp").agg(F.max("n").alias("n"))
-    parents = reached.join(names, "rank").select(
+    parents = _reached(made.top_layers[0], top, made.levels).join(names, "rank").select(
         F.col("own").alias("grp"), F.lit(0).cast("long").alias("rank"), "digest", "path", F.col("digest").alias("subroot")
     )
-    parents = _parents_of(made.layers, C.stored(parents.join(sizes, "grp"), "subroot-paths"), "paths")
+    parents = C.stored(parents.join(sizes, "grp"), "subroot-paths")
+    parents = _parents_of(made.layers, parents, made.levels, "paths")
 
     id_type = to_arrow_type(made.leaves.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole_root = root.hex()
-        for descent, asked in _met(batches):
+        for descent, asked in _met(batches, levels):
             above = b"".join(map(_unselected, reversed(descent.path))).hex()
             out = []
             for row in asked:
@@ -352,4 +360,4 @@ def verified(made: Manifest) -> DataFrame:
             )
 
     leaves = made.leaves.select("grp", "rank", "digest", "doc_id", "changed")
-    return _requests(made.layers[0], parents, leaves).mapInArrow(run, schema)
+    return _requests(made.layers[0], parents, leaves, levels).mapInArrow(run, schema)

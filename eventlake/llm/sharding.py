@@ -184,7 +184,7 @@ def placed(rows: DataFrame, shards: int) -> DataFrame:
     lined = (
         with_range(rows, splitters)
         .join(F.broadcast(starts), "part")
-        .withColumn("at", F.col("bytes_before") + F.sum("size").over(along) - F.col("size"))
+        .withColumn("at", F.col("bytes_before") + F.sum("size").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
         .withColumn("row_at", F.col("rows_before") + F.row_number().over(along) - 1)
         .withColumn("group_bytes", F.sum("size").over(same_text))
         .withColumn("group_at", F.min("at").over(same_text))
