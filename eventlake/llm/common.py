@@ -6,9 +6,12 @@ seen as one byte array with row offsets, so that words, hashes and window minima
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +27,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: one evaluation, short lineage, survives lost executors."""
+#: Paths written inside each open ``scratch``.
+_open_scratch: list[list[str]] = []
+
+
+def stored(rows: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: one evaluation, short lineage, survives lost executors.
+
+    Inside ``scratch`` the files go when the block ends; what ``keep`` marks stays until the block around it ends.
+    """
     path = new_scratch(rows.sparkSession, name)
+    for paths in _open_scratch[-2:-1] if keep else _open_scratch[-1:]:
+        paths.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Results stored inside the block are deleted at its end; nothing that outlives it may read them."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scratch.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        # shuffle files go once the driver's JVM finds that no plan refers to them
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, as far as ASCII words are concerned.
 
@@ -71,6 +98,32 @@ def keep(documents: DataFrame, listed: DataFrame, how: str) -> DataFrame:
     return by_document(keyed_rows(documents), listed, how).select("row.*")
 
 
+#: Bits of an admission map, whatever the table's size.
+ADMISSION_BITS = 22
+
+
+def document_slot(bits: int = ADMISSION_BITS) -> Column:
+    return F.xxhash64("doc_id", "text_key").bitwiseAND((1 << bits) - 1)
+
+
+def admission(listed: DataFrame) -> Callable[[Column], Column]:
+    """A test on ``document_slot`` that the listed ``doc_id, text_key`` pass, and few others as long as they are few.
+
+    The map has 2**ADMISSION_BITS bits; where more documents are listed, more pass that an exact join then drops.
+    """
+    slots = listed.select(document_slot().cast("int").alias("slot")).distinct().toPandas()["slot"]
+    bits = np.zeros(1 << ADMISSION_BITS, bool)
+    bits[slots.to_numpy(np.int64)] = True
+    shared = listed.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    @F.pandas_udf("boolean")
+    def admitted(slot: pd.Series) -> pd.Series:
+        at = slot.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return admitted
+
+
 # ------------------------------------------------------------------ texts as bytes
 
 
@@ -120,6 +173,12 @@ _ALNUM[0x30:0x3A] = _ALNUM[0x41:0x5B] = _ALNUM[0x61:0x7B] = _ALNUM[0x80:] = True
 ALNUM_WORDS = word_table(_ALNUM)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0, 0x20, *range(0x09, 0x0E)]] = True
+#: Words between ASCII white space; a NUL separates as well.
+SPACED_WORDS = word_table(~_SPACE)
+
+
 def find_words(folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words (runs of non-zero bytes within a row), and each row's first word."""
     inside = folded != 0

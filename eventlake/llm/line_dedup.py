@@ -30,6 +30,8 @@ from eventlake.llm import common as C
 
 MIN_WORDS = 51
 _DOC = ["doc_id", "text_key"]
+#: Words of a line lie between white space of any kind: blanks, tabs, no-break and wide spaces.
+_SPACE = r"(?U)\s+"
 
 
 def _lines(text: Column) -> Column:
@@ -53,7 +55,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
             F.col("pos").alias("line_no"),
             F.xxhash64("col").alias("h1"),
             F.xxhash64(F.lit(1), "col").alias("h2"),
-            F.size(F.array_remove(F.split("col", " "), "")).alias("words"),
+            F.size(F.array_remove(F.split("col", _SPACE), "")).alias("words"),
         ),
         "lines",
     )
@@ -145,9 +147,10 @@ def deduplicated(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A column that already has one of the three names gives way.
     """
-    runs = later_runs(documents, min_words).groupBy(*_DOC)
-    runs = runs.agg(F.sort_array(F.collect_list(F.struct("first_line", "last_line"))).alias("removed_runs"))
-    runs = C.stored(runs, "runs")
+    with C.scratch(documents.sparkSession):
+        runs = later_runs(documents, min_words).groupBy(*_DOC)
+        runs = runs.agg(F.sort_array(F.collect_list(F.struct("first_line", "last_line"))).alias("removed_runs"))
+        runs = C.stored(runs, "runs", keep=True)
     rows = C.keyed_rows(documents)
     own = C.by_document(rows, runs, "left").select("row", "whole_text", "removed_runs")
     none = F.array().cast("array<struct<first_line:int,last_line:int>>")

@@ -21,6 +21,7 @@ has a null id only if no row of it has one; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -142,10 +143,21 @@ def _leaf_links(codes: np.ndarray, nodes: np.ndarray, budget: int) -> Iterator[t
         start = stop
 
 
-def trie_links(codes: np.ndarray, nodes: np.ndarray, budget: int = BUDGET) -> np.ndarray:
+def _spanning(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links between i and j one for each pair of different classes."""
+    a, b = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+    open_ = np.flatnonzero(a != b)
+    _, first = np.unique(a[open_] * np.int64(len(label)) + b[open_], return_index=True)
+    return i[open_][first], j[open_][first]
+
+
+def trie_links(
+    codes: np.ndarray, nodes: np.ndarray, budget: int = BUDGET, seen: list[tuple[np.ndarray, np.ndarray]] | None = None
+) -> np.ndarray:
     """Class of each code under all links found below the given pairs of nodes.
 
-    ``nodes`` has columns (from, to, from, to, same): ranges of ``codes`` in which the codes are sorted.
+    ``nodes`` has columns (from, to, from, to, same): ranges of ``codes`` in which the codes are sorted. ``seen`` takes up
+    links that span the classes.
     """
     label = np.arange(len(codes))
     a0, a1, b0, b1, same = nodes
@@ -154,6 +166,8 @@ def trie_links(codes: np.ndarray, nodes: np.ndarray, budget: int = BUDGET) -> np
         small = ((a1 - a0) * (b1 - b0) <= _LEAF_PAIRS) | (bit < 0)
         if small.any():
             for i, j in _leaf_links(codes, np.stack([x[small] for x in (a0, a1, b0, b1, same)]), budget):
+                if seen is not None:
+                    seen.append(_spanning(label, i, j))
                 label = classes(len(codes), label[i], label[j])[label]
         a0, a1, b0, b1, same, differ = (x[~small] for x in (a0, a1, b0, b1, same, differ))
         if not len(a0):
@@ -173,8 +187,8 @@ def trie_links(codes: np.ndarray, nodes: np.ndarray, budget: int = BUDGET) -> np
     return label
 
 
-def _walk(frame: pa.Table) -> pa.RecordBatch:
-    """Stars of the classes within each (subtrie, low, high) group of rows."""
+def _walk(frame: pa.Table, real: bool) -> pa.RecordBatch:
+    """Stars of the classes within each (subtrie, low, high) group of rows, or real links that span them."""
     subtrie, low, high, tile, codes = (frame.column(c).to_numpy() for c in ("subtrie", "low", "high", "tile", "code"))
     codes = codes.view(np.uint64)
     order = np.lexsort((codes, tile, high, low, subtrie))
@@ -189,6 +203,12 @@ def _walk(frame: pa.Table) -> pa.RecordBatch:
     middle = starts + in_low
     nodes = np.stack([starts, np.where(same, ends, middle), np.where(same, starts, middle), ends, same.astype(np.int64)])
     nodes = nodes[:, (nodes[1] > nodes[0]) & (nodes[3] > nodes[2])]
+    if real:
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
+        trie_links(codes, nodes, seen=seen)
+        none = np.empty(0, np.int64)
+        ends = [codes[np.concatenate([none, *side])].view(np.int64) for side in zip(*seen, strict=True)] or [none, none]
+        return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
     label = trie_links(codes, nodes)
     linked = label != np.arange(len(codes))
     return pa.RecordBatch.from_arrays(
@@ -196,7 +216,7 @@ def _walk(frame: pa.Table) -> pa.RecordBatch:
     )
 
 
-def _walk_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _walk_partition(batches: Iterator[pa.RecordBatch], real: bool) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by group; whole groups are taken together until there are enough rows."""
     held: list[pa.RecordBatch] = []
     rows = 0
@@ -213,10 +233,10 @@ def _walk_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 last &= key == key[-1]
             cut = whole.num_rows - int(last.sum())
             if cut:
-                yield _walk(whole.slice(0, cut))
+                yield _walk(whole.slice(0, cut), real)
                 held, rows = whole.slice(cut).to_batches(), whole.num_rows - cut
     if held:
-        yield _walk(pa.Table.from_batches(held).combine_chunks())
+        yield _walk(pa.Table.from_batches(held).combine_chunks(), real)
 
 
 def _subtries(code: Column) -> Column:
@@ -233,8 +253,11 @@ def _subtries(code: Column) -> Column:
     )
 
 
-def links(codes: DataFrame) -> DataFrame:
-    """``a, b``: links that span the classes of distinct ``code`` values, a few per code."""
+def links(codes: DataFrame, real: bool = False) -> DataFrame:
+    """``a, b``: links that span the classes of distinct ``code`` values, a few per code.
+
+    Each stands for a way of links within the budget; with ``real`` each is such a link itself.
+    """
     below = codes.select("code", F.explode(_subtries(F.col("code"))).alias("subtrie"))
     sizes = below.groupBy("subtrie").agg(F.count("*").alias("size")).filter("size > 1")
     tiles = F.ceil(F.col("size") / TILE).cast("int")
@@ -250,7 +273,7 @@ def links(codes: DataFrame) -> DataFrame:
     return (
         dealt.repartition(parts, "subtrie", "low", "high")
         .sortWithinPartitions("subtrie", "low", "high")
-        .mapInArrow(_walk_partition, "a bigint, b bigint")
+        .mapInArrow(partial(_walk_partition, real=real), "a bigint, b bigint")
     )
 
 
@@ -293,15 +316,27 @@ def hex_code(code: Column) -> Column:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One document per class stays, the one with the smallest id; of rows repeated with id and text, one.
 
-    Here texts are linked if the sets of their five-word shingles have a Jaccard similarity of at least 0.8. Texts this
-    alike differ in up to 13 bits and more, where bits prune too little and still miss some, so ``similar_texts`` finds
-    the links by shared shingles. Rows without an id stay only where their whole class has none, the smallest text key then.
+    Here texts are linked if the sets of their five-word shingles have a Jaccard similarity of at least 0.8. The trie finds
+    what differs in few bits, each link checked on the sets; texts this alike differ in up to 13 bits and more, where
+    bits prune too little, so ``similar_texts`` finds the rest by shared shingles. Rows without an id stay only where their
+    whole class has none, the smallest text key then.
+
+    Texts that go, and those repeated with their id, are listed; only rows that the list's bit map admits are shuffled.
     """
-    found = C.stored(similar_texts.prints(documents), "shingle-prints")
-    reached = components(similar_texts.links(documents, found, components))
-    found = found.join(reached, found["code"] == reached["node"], "left").withColumn("root", F.coalesce("root", "code"))
-    pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("pick")
-    kept = found.groupBy("root").agg(pick).select("pick.doc_id", "pick.text_key")
-    rows = C.keyed_rows(documents)
-    rows = C.by_document(rows, kept, "left_semi").dropDuplicates(["doc_id", "text_key"])
-    return rows.select("row.*")
+    with C.scratch(documents.sparkSession):
+        found = C.stored(similar_texts.prints(documents), "shingle-prints")
+        reached = components(similar_texts.similar_links(documents, found, links, components))
+        prints = found.filter("counters IS NULL")
+        member = prints.join(reached, prints["code"] == reached["node"], "left").withColumn("root", F.coalesce("root", "code"))
+        rows = member.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+        # the first document of a class, and how many rows it has; of a class of copies that is one row a task
+        order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+        pick = rows.groupBy("root").agg(F.min(order).alias("pick"))
+        rows = rows.join(pick, "root").withColumn("stays", order == F.col("pick"))
+        listed = C.stored(rows.filter("n > 1 OR NOT stays").select("doc_id", "text_key", "stays"), "listed", keep=True)
+    admitted = C.admission(listed)
+    texts = C.keyed_rows(documents).drop("whole_text").withColumn("admitted", admitted(C.document_slot()))
+    asked = C.by_document(texts.filter("admitted"), listed, "left").select("row", texts["doc_id"], texts["text_key"], "stays")
+    once = asked.filter("stays").dropDuplicates(["doc_id", "text_key"])
+    kept = texts.filter("NOT admitted").select("row").union(asked.filter("stays IS NULL").select("row")).union(once.select("row"))
+    return kept.select("row.*")

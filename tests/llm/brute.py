@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import regex
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -19,7 +21,7 @@ def words(text):
 def later_line_runs(docs, min_words):
     """``{doc index: set of line numbers}`` that lie in a run of enough words that occurs earlier; docs are in order."""
     lines = [text.split("\n") if text is not None else [] for text in docs]
-    size = [[len([w for w in line.split(" ") if w]) for line in own] for own in lines]
+    size = [[len([w for w in regex.split(r"\p{White_Space}+", line) if w]) for line in own] for own in lines]
     seen, gone = {}, {}
     for d, own in enumerate(lines):
         for i in range(len(own)):

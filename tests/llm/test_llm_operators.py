@@ -134,7 +134,8 @@ def test_license_scan(spark):
 @pytest.mark.parametrize("min_words", [1, 4, 9])
 def test_line_dedup(spark, min_words):
     r = random.Random(min_words)
-    lines = [" ".join("w%d" % r.randrange(3) for _ in range(r.randrange(0, 4))) for _ in range(6)]
+    space = [" ", "\t", "\u00a0", "\u3000 "]
+    lines = [r.choice(space).join("w%d" % r.randrange(3) for _ in range(r.randrange(0, 4))) for _ in range(6)]
     docs = [(i, "\n".join(r.choice(lines) for _ in range(r.randrange(0, 12)))) for i in range(30)]
     docs += [(30, None), (31, ""), (32, "\n" * 200)]
     frame = documents(spark, docs)
@@ -366,6 +367,41 @@ def test_one_of_each_class_of_similar_texts_stays(spark):
     assert {row.doc_id for row in simhash.one_of_each(documents(spark, docs)).collect()} == set(root.values())
 
 
+@pytest.mark.parametrize("tile", [4, similar_texts.TILE])
+def test_similar_texts_in_tiles_and_with_a_common_footer(spark, monkeypatch, tile):
+    """A footer that a third of unlike texts share does not make them alike, and hides no texts that are."""
+    monkeypatch.setattr(similar_texts, "TILE", tile)
+    r = random.Random(9)
+    footer = " ".join(f"f{i}" for i in range(12))
+    docs = [(i, " ".join(f"w{r.randrange(5000)}" for _ in range(40)) + (" " + footer if i % 3 == 0 else "")) for i in range(200)]
+    docs += [(1000 + i, docs[i][1] + f" t{i} t{i + 1}") for i in range(60)]
+    kept = {row.doc_id for row in simhash.one_of_each(documents(spark, docs)).collect()}
+    assert kept == set(range(200))
+
+
+def test_common_shingles_do_not_make_candidates(spark):
+    """One footer in a third of 20,000 unlike texts: pairs to compare stay few, as frequent shingles come last."""
+    r = random.Random(10)
+    footer = " ".join(f"f{i}" for i in range(12))
+    docs = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(40)) + (" " + footer if i % 3 == 0 else "")) for i in range(20_000)]
+    frame = documents(spark, docs).repartition(8)
+    found = similar_texts.prints(frame)
+    nodes = similar_texts.nodes_of(frame, similar_texts.frequencies(found))
+    groups = nodes.select(F.explode("leading").alias("gram")).groupBy("gram").count()
+    assert groups.agg(F.max("count")).first()[0] < 10
+
+
+def test_bounds_on_differences():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 63, 64, 65, 400, 3000):
+        a = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        for change in (0, 1, n // 10, n):
+            b = np.unique(np.concatenate([a[change:], r.integers(0, 2**64, change, dtype=np.uint64)]))
+            least = similar_texts.least_difference(similar_texts.parity(a), similar_texts.parity(b))
+            assert least <= len(np.setxor1d(a, b))
+            assert change < 60 or least > change / 3
+
+
 # ------------------------------------------------------------------ surrogates
 
 PRIVATE = (
