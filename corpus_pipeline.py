@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.llm import decontaminate, language_id, line_dedup, packing, simhash
-from eventlake.llm.common import stored, table
+from eventlake.llm.common import scratch, stored, table
 from eventlake.llm.queries import tokenizer_path
 from eventlake.llm.shipping import ship_package
 
@@ -30,7 +30,11 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each class the document with the smallest id stays."""
+    """SimHash near-dedup: of each class the document with the smallest id stays.
+
+    Links are neighbours in the SimHash trie and, beyond its budget of bits, texts that share rare shingles; each is
+    checked for a similarity of 0.8 on sets of five-word shingles.
+    """
     return simhash.one_of_each(docs)
 
 
@@ -70,5 +74,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
