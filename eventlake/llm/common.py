@@ -93,11 +93,6 @@ def by_document(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
     return rows.join(other.hint("merge"), same_document(rows, other), how)
 
 
-def keep(documents: DataFrame, listed: DataFrame, how: str) -> DataFrame:
-    """The documents that are among the listed ``doc_id, text_key`` (``left_semi``) or not (``left_anti``)."""
-    return by_document(keyed_rows(documents), listed, how).select("row.*")
-
-
 #: Bits of an admission map, whatever the table's size.
 ADMISSION_BITS = 22
 

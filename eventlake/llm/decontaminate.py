@@ -211,5 +211,8 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = contamination(documents, items).filter("contaminated").select("doc_id", "text_key")
-    return C.keep(documents, bad, "left_anti")
+    bad = C.stored(contamination(documents, items).filter("contaminated").select("doc_id", "text_key"), "bad", keep=True)
+    # only rows that the list's bit map admits are shuffled
+    rows = C.keyed_rows(documents).drop("whole_text").withColumn("admitted", C.admission(bad)(C.document_slot()))
+    clean = C.by_document(rows.filter("admitted"), bad, "left_anti").select("row")
+    return rows.filter("NOT admitted").select("row").union(clean).select("row.*")

@@ -229,13 +229,13 @@ def learn(documents: DataFrame) -> Model:
     return build_model(gram_counts(training_sample(documents)))
 
 
-def _judged(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _judged(model: Model, letters: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the best language (the count of languages for none), its score and bits per byte, for each row."""
-    rows = batch.num_rows
+    rows = len(texts)
     best, score, rate = np.full(rows, len(model.langs)), np.zeros(rows), np.full(rows, np.nan)
-    letters = batch.column(batch.schema.get_field_index(_LETTER)).to_numpy(zero_copy_only=False).astype(bool)
-    for start, stop, data, offsets in C.text_chunks(batch.column(batch.schema.get_field_index(_TEXT))):
-        judged = np.flatnonzero(letters[start:stop] & bool(model.langs))
+    lettered = letters.to_numpy(zero_copy_only=False).astype(bool)
+    for start, stop, data, offsets in C.text_chunks(texts):
+        judged = np.flatnonzero(lettered[start:stop] & bool(model.langs))
         if not len(judged):
             continue
         own = model.code_lengths(data, offsets)[judged]
@@ -248,12 +248,8 @@ def _judged(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray
     return best, score, rate
 
 
-_LETTER, _TEXT = "_llm_has_letter", "_llm_text"
-
-
-def _with_letters(documents: DataFrame, *columns: Column | str) -> DataFrame:
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return documents.select(*columns, letter.alias(_LETTER), F.col("text").alias(_TEXT))
+def _has_letter(documents: DataFrame) -> Column:
+    return F.coalesce(documents["text"].rlike(r"\p{L}"), F.lit(False)).alias("letter")
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
@@ -264,14 +260,15 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         langs = np.array([*model.langs, UNKNOWN], dtype=object)
         for batch in batches:
-            best, score, rate = _judged(model, batch)
+            best, score, rate = _judged(model, batch.column("letter"), batch.column("text"))
             columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(langs[best], pa.string())]
             columns += [pa.array(score), pa.array(rate, from_pandas=True)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "lang_pred", "score", "bits_per_byte"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_key bigint, lang_pred string, score double, bits_per_byte double"
-    return _with_letters(documents, "doc_id", C.text_key(F.col("text")).alias("text_key")).mapInArrow(run, schema)
+    texts = documents.select("doc_id", C.text_key(documents["text"]).alias("text_key"), "text", _has_letter(documents))
+    return texts.mapInArrow(run, schema)
 
 
 def with_language(documents: DataFrame) -> DataFrame:
@@ -281,13 +278,15 @@ def with_language(documents: DataFrame) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast(learn(documents))
     columns = list(documents.columns)
+    at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            best, _, rate = _judged(model, batch)
+            best, _, rate = _judged(model, batch.column(len(columns)), batch.column(at))
             good = pa.array((best < len(model.langs)) & (np.nan_to_num(rate, nan=PLAIN_BITS) < PLAIN_BITS))
-            kept = batch.filter(good)
-            yield pa.RecordBatch.from_arrays(kept.columns[: len(columns)], columns)
+            yield pa.RecordBatch.from_arrays(batch.columns[: len(columns)], columns).filter(good)
 
-    return _with_letters(documents, *[documents[c] for c in columns]).mapInArrow(run, documents.schema)
+    # by place, so that no name can clash
+    placed = [documents[c].alias(f"c{i}") for i, c in enumerate(columns)]
+    return documents.select(*placed, _has_letter(documents)).mapInArrow(run, documents.schema)

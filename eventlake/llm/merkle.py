@@ -111,9 +111,10 @@ def _parts(frame: DataFrame) -> int:
 def ranked(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Rows with ``rank`` from 0 within their ``grp`` and the group's size ``n``."""
     keys = ["grp", *order]
+    rows = C.stored(rows, name)  # the range shuffle reads its input twice
     sorted_rows = rows.repartitionByRange(_parts(rows), *keys).sortWithinPartitions(*keys)
     # place: the partition in the upper bits, the row in it in the lower ones
-    placed = C.stored(sorted_rows.withColumn("place", F.monotonically_increasing_id()), name)
+    placed = C.stored(sorted_rows.withColumn("place", F.monotonically_increasing_id()), name + "-sorted")
     piece = F.shiftright("place", 33)
     sizes = placed.groupBy("grp", piece.alias("piece")).agg(F.count("*").alias("size"), F.min("place").alias("start"))
     # a group has at most one row a partition here
@@ -199,10 +200,10 @@ def manifest(
         leaf_digest(columns).alias("digest"),
         changed.alias("changed"),
     )
-    leaves = C.stored(ranked(rows, ["doc_id", "digest"], "ordered-leaves"), "leaves")
+    leaves = C.stored(ranked(rows, ["doc_id", "digest"], "digests"), "leaves")
     layers = build(leaves.select("grp", "rank", "digest", "n"), levels, "layer")
     subroots = layers[-1].tops.select(F.lit(TOP).alias("grp"), F.col("grp").alias("own"), "digest")
-    subroots = C.stored(ranked(subroots, ["own"], "ordered-subroots"), "subroots")
+    subroots = C.stored(ranked(subroots, ["own"], "subroot-digests"), "subroots")
     top_layers = build(subroots, levels, "top-layer")
     root = top_layers[-1].tops.first()
     return Manifest(leaves, layers, top_layers, bytes(root["digest"]) if root else None, levels)

@@ -8,14 +8,19 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of texts that a task hands to Python at once. By rows alone, a run of very long texts would fill a worker.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package's source files along with the application, once per application.
+    """Send the package's source files along with the application, once per application, and bound Arrow batches.
 
     A session started by ``spark-submit --py-files`` or with a PYTHONPATH has them already; twice does no harm.
     """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -246,8 +246,9 @@ def test_code_lengths_are_those_of_the_context_trees(spark):
 def test_language_filter_keeps_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     more = docs.limit(1).withColumns({"doc_id": F.lit(-1).cast("long"), "text": F.lit("1 2 3")})
-    kept = language_id.with_language(docs.unionByName(more).withColumn("text_key", F.lit(1)))
-    assert kept.columns == [*docs.columns, "text_key"] and kept.count() == docs.count()
+    more = docs.unionByName(more).withColumns({c: F.lit(1) for c in ("text_key", "_llm_text", "letter", "c0")})
+    kept = language_id.with_language(more)
+    assert kept.columns == [*docs.columns, "text_key", "_llm_text", "letter", "c0"] and kept.count() == docs.count()
 
 
 # ------------------------------------------------------------------ packing
