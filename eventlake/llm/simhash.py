@@ -143,7 +143,7 @@ def _leaf_links(codes: np.ndarray, nodes: np.ndarray, budget: int) -> Iterator[t
         start = stop
 
 
-def _spanning(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spanning(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the links between i and j one for each pair of different classes."""
     a, b = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
     open_ = np.flatnonzero(a != b)
@@ -167,7 +167,7 @@ def trie_links(
         if small.any():
             for i, j in _leaf_links(codes, np.stack([x[small] for x in (a0, a1, b0, b1, same)]), budget):
                 if seen is not None:
-                    seen.append(_spanning(label, i, j))
+                    seen.append(spanning(label, i, j))
                 label = classes(len(codes), label[i], label[j])[label]
         a0, a1, b0, b1, same, differ = (x[~small] for x in (a0, a1, b0, b1, same, differ))
         if not len(a0):

@@ -4,10 +4,11 @@ Two such sets share one of their first n - ceil(0.8 n) + 1 shingles in whatever
 that share none of these are never compared. The order puts rare shingles first: frequencies of all texts' shingles are
 counted in FREQUENCY_SLOTS counters by hash. The order decides how many pairs are compared, not which are found.
 
-Plan: equal sets are one node. Links come in three rounds, each on what is not joined yet: neighbours in the SimHash trie;
-each node with the least node of each leading shingle that it shares, which is linear; then all pairs that share one. A
+Plan: equal sets are one node. Links come in four rounds, each on what is not joined yet: neighbours in the SimHash trie;
+each node with the least node of each leading shingle that it shares, which is linear; of the pairs that share one and pass
+the bounds as many as join what all of them would; then all that are left, as some of those fail. A
 shingle that many nodes lead with is cut into tiles of TILE nodes, and each pair of tiles is a group of its own. A
-pair first has to pass two bounds: the sizes, and the parity of how many shingles fall into each of about n slots, as each
+pair first has to pass two bounds, in the task that finds it: the sizes, and the parity of how many shingles fall into each of about n slots, as each
 differing slot is at least one shingle that only one side has. Texts of pairs that pass are sent to the pair's first node,
 tile by tile, and compared as whole sets.
 
@@ -18,6 +19,7 @@ nothing else; a text with fewer words than a shingle is one shingle.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -256,16 +258,36 @@ def verified(documents: DataFrame, known: DataFrame, pairs: DataFrame, name: str
     return C.stored(dealt.mapInArrow(_compared, "a bigint, b bigint").distinct(), name + "-similar")
 
 
-def _paired(batches: Iterator[pa.RecordBatch], pairs_at_once: int = _PAIRS_AT_ONCE) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by group; pairs of a group's nodes that are not joined and may be similar by size.
+#: Words of the parity maps that are compared first, all pairs of a step at once.
+_FOLDS = (1, 2, 4)
 
-    A group is a shingle with one tile of its nodes or two of them, which meet each other and not themselves.
+
+def _folded(maps: list[np.ndarray], words: int) -> np.ndarray:
+    """Each map folded to that many words; one that has fewer is left at zero."""
+    out = np.zeros((len(maps), words), np.uint64)
+    for i, own in enumerate(maps):
+        if len(own) >= words:
+            out[i] = np.bitwise_xor.reduce(own.reshape(-1, words), axis=0)
+    return out
+
+
+def _paired(batches: Iterator[pa.RecordBatch], spanning: bool) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by group; pairs of a group's nodes that are not joined and pass the bounds.
+
+    A group is a shingle with one tile of its nodes or two of them, which meet each other and not themselves. With
+    ``spanning`` only as many pairs are given as join what they would join.
     """
+    from eventlake.llm.simhash import classes, spanning as span
+
     held: list[pa.RecordBatch] = []
     keys = ("gram", "low", "high")
 
     def pairs(whole: pa.Table) -> Iterator[pa.RecordBatch]:
         gram, low, high, tile, code, root, size = (whole.column(c).to_numpy() for c in (*keys, "tile", "code", "root", "size"))
+        maps = [np.array(own, np.int64).view(np.uint64) for own in whole.column("parity").to_pylist()]
+        width = np.array([len(own) for own in maps])
+        folds = [_folded(maps, words) for words in _FOLDS]
+        _, label = np.unique(root, return_inverse=True)
         new = np.ones(len(gram), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         starts = np.flatnonzero(new)
@@ -278,15 +300,26 @@ def _paired(batches: Iterator[pa.RecordBatch], pairs_at_once: int = _PAIRS_AT_ON
         # each row meets the later ones of its group, some rows at a time
         while start < len(row):
             done = work[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(work, done + pairs_at_once, side="right")))
+            stop = max(start + 1, int(np.searchsorted(work, done + _PAIRS_AT_ONCE, side="right")))
             count = upto[start:stop] - row[start:stop] - 1
             i = np.repeat(row[start:stop], count)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
-            fit = (root[i] != root[j]) & (5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j]))
+            fit = (label[i] != label[j]) & (5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j]))
             fit &= (low[i] == high[i]) | (tile[i] != tile[j])
-            a, b = np.minimum(code[i], code[j])[fit], np.maximum(code[i], code[j])[fit]
-            if len(a):
-                once = np.unique(np.stack([a, b]), axis=1)
+            i, j = i[fit], j[fit]
+            total = size[i].astype(np.int64) + size[j]
+            for words, fold in zip(_FOLDS, folds, strict=True):
+                near = 9 * np.bitwise_count(fold[i] ^ fold[j]).sum(1, dtype=np.int64) <= total
+                near |= np.minimum(width[i], width[j]) < words
+                i, j, total = i[near], j[near], total[near]
+            wide = np.flatnonzero(np.minimum(width[i], width[j]) > _FOLDS[-1])
+            far = [k for k in wide if 9 * least_difference(maps[i[k]], maps[j[k]]) > total[k]]
+            i, j = np.delete(i, far), np.delete(j, far)
+            if spanning and len(i):
+                i, j = span(label, i, j)
+                label = classes(int(label.max()) + 1, label[i], label[j])[label]
+            if len(i):
+                once = np.unique(np.stack([np.minimum(code[i], code[j]), np.maximum(code[i], code[j])]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(once[0]), pa.array(once[1])], ["a", "b"])
             start = stop
 
@@ -350,14 +383,16 @@ def similar_links(
     star = shared.filter("code > least").select(F.col("least").alias("a"), F.col("code").alias("b")).distinct()
     links = links.union(verified(documents, known, bounded(star, nodes), "star-pairs"))
 
-    left = _open_groups(_rooted(shared.select("gram", "code", "size"), links, components))
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    left = left.withColumn("tile", F.pmod(F.xxhash64("code"), tiles).cast("int"))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    dealt = left.select(
-        "gram", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "code", "root", "size"
-    )
+    maps = nodes.select("code", "parity")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = dealt.repartition(parts, "gram", "low", "high").sortWithinPartitions("gram", "low", "high")
-    pairs = grouped.mapInArrow(_paired, "a bigint, b bigint").distinct()
-    return links.union(verified(documents, known, bounded(pairs, nodes), "shingle-pairs"))
+    for name, spanning in (("first-pairs", True), ("last-pairs", False)):
+        left = _open_groups(_rooted(shared.select("gram", "code", "size"), links, components))
+        tiles = F.ceil(F.col("n") / TILE).cast("int")
+        left = left.withColumn("tile", F.pmod(F.xxhash64("code"), tiles).cast("int")).join(maps, "code")
+        left = left.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        group = [F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")]
+        dealt = left.select("gram", *group, "tile", "code", "root", "size", "parity")
+        grouped = dealt.repartition(parts, "gram", "low", "high").sortWithinPartitions("gram", "low", "high")
+        pairs = grouped.mapInArrow(partial(_paired, spanning=spanning), "a bigint, b bigint").distinct()
+        links = links.union(verified(documents, known, pairs, name))
+    return links
