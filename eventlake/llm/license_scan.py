@@ -2,8 +2,8 @@
 
 A template is a word sequence with a key phrase that must be there. How rare each template word is comes from all
 documents. Every place of a template's rarest word in a text proposes where the template starts; its second rarest word must
-then stand at the right distance, and the key phrase must stand there word by word. The share of the template
-found around it, weighted by rarity, scores the match.
+then stand at the right distance, and the key phrase must stand there word by word: that alone gives the label. The share of
+the template found around it, weighted by rarity, scores the match.
 
 Plan: two narrow passes, both plain column expressions. The first counts documents per template word, so one row per
 word crosses the shuffle. The second works within each row: one walk over its words leaves the few places of rare words, and
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from eventlake.llm import common as C
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A template with a longer text than its key phrase needs this share of it.
-LEAST_SHARE = 0.6
 
 
 @dataclass(frozen=True)
@@ -42,19 +40,29 @@ BASE = [
     Template("gpl", "general public license", "general public license", True),
     Template("reserved", "all rights reserved", "all rights reserved", True),
 ]
-#: Further licences: usual wording, and the words without which it is another licence.
+#: Further licences: usual wordings, fixed values, and the words of each without which it is another licence.
 FURTHER = [
     Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    Template("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial"),
     Template("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
+    Template("cc-by-sa", "creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"),
     Template("cc-by-nd", "licensed under cc by nd 4 0", "cc by nd"),
+    Template("cc0", "cc0 1 0 universal public domain dedication", "cc0 1 0"),
     Template("gpl-3", "licensed under the gnu general public license version 3", "general public license version 3"),
     Template("gpl-2", "licensed under the gnu general public license version 2", "general public license version 2"),
+    Template("gpl-2", "gnu general public license as published by the free software foundation either version 2 of the license", "either version 2 of the license"),
+    Template("gpl-3", "gnu general public license as published by the free software foundation either version 3 of the license", "either version 3 of the license"),
     Template("lgpl", "licensed under the gnu lesser general public license", "lesser general public license"),
     Template("agpl", "licensed under the gnu affero general public license", "affero general public license"),
     Template("apache-2", "licensed under the apache license version 2 0", "apache license version 2"),
+    Template("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "you may not use this file except in compliance with the license"),
     Template("mit", "released under the terms of the mit license", "mit license"),
-    Template("bsd", "redistribution and use in source and binary forms", "source and binary forms"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", "permission is hereby granted free of charge to any person obtaining a copy"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software for any purpose"),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
     Template("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    Template("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software released into the public domain"),
 ]
 
 
@@ -140,7 +148,7 @@ def matches(words: Column, templates: list[Template], idf: dict[str, float]) ->
             m["t"]["label"].alias("label"), m["t"]["base"].alias("base"), m["start"].alias("start"), share(m).alias("share")
         ),
     )
-    return F.filter(scored, lambda m: m["base"] | (m["share"] >= LEAST_SHARE))
+    return scored
 
 
 def scan(documents: DataFrame, templates: list[Template] | None = None) -> DataFrame:

@@ -120,7 +120,9 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE rn = 1) USING (page_id)
 
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents")).drop("n_words", "matches")
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

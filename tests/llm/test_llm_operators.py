@@ -110,6 +110,10 @@ def test_license_scan(spark):
         (4, "Licensed under CC BY-NC 4.0."),
         (5, "general public license " * 3000),
         (6, "İcc by, cc byé, \u212acc by"),
+        (7, "MIT License"),
+        (8, "subject to the Mozilla Public License"),
+        (9, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+        (10, "either version 2 of the License, or (at your option)"),
     ]
     got = by_id(license_scan.scan(documents(spark, rows)))
     phrases = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -122,8 +126,13 @@ def test_license_scan(spark):
             if w[i : i + len(phrase.split())] == phrase.split()
         ]
         starts = [i for i, _ in hits]
-        want = (len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in hits})))
-        assert (got[doc].n_base, got[doc].first_word, got[doc].last_word, got[doc].base_labels) == want, doc
+        want = (len(w), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in hits})))
+        assert (got[doc].n_words, got[doc].n_base, got[doc].first_word, got[doc].last_word, got[doc].base_labels) == want, doc
+        # every key phrase that stands somewhere, and no other label
+        phrase = {t.label for t in license_scan.BASE + license_scan.FURTHER if f" {t.key} " in f" {' '.join(w)} "}
+        assert got[doc].labels == ",".join(sorted(phrase)), doc
+        assert 0 <= got[doc].score <= 1
+    assert [got[i].labels for i in (7, 8, 9, 10)] == ["mit", "mpl-2", "mit", "gpl-2"]
     assert got[3].labels == "gpl,gpl-3" and got[4].labels == "cc-by,cc-by-nc"
     assert got[0].score == 0 and 0 < got[2].score <= 1
 
