@@ -8,7 +8,7 @@ Plan: equal sets are one node. Links come in four rounds, each on what is not jo
 each node with the least node of each leading shingle that it shares, which is linear; of the pairs that share one and pass
 the bounds as many as join what all of them would; then all that are left, as some of those fail. A
 shingle that many nodes lead with is cut into tiles of TILE nodes, and each pair of tiles is a group of its own. A
-pair first has to pass two bounds, in the task that finds it: the sizes, and the parity of how many shingles fall into each of about n slots, as each
+pair first has to pass two bounds, in the task that finds it: the sizes, and the parity of how many shingles fall into each of 4 n slots or more, as each
 differing slot is at least one shingle that only one side has. Texts of pairs that pass are sent to the pair's first node,
 tile by tile, and compared as whole sets.
 
@@ -154,8 +154,8 @@ def frequencies(found: DataFrame) -> np.ndarray:
 
 
 def parity(own: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles in each of n slots, or up to twice as many, as words of 64 bits."""
-    words = 1 << max(0, (len(own) - 1).bit_length() - 6)
+    """Parity of the number of shingles in each of 4 n slots, or up to twice as many, as words of 64 bits."""
+    words = 1 << max(0, (len(own) - 1).bit_length() - 4)
     slots, times = np.unique((own >> np.uint64(20)) & np.uint64(64 * words - 1), return_counts=True)
     bits = np.zeros(64 * words, np.uint8)
     bits[slots.astype(np.int64)] = times & 1
@@ -259,7 +259,7 @@ def verified(documents: DataFrame, known: DataFrame, pairs: DataFrame, name: str
 
 
 #: Words of the parity maps that are compared first, all pairs of a step at once.
-_FOLDS = (1, 2, 4)
+_FOLDS = (1, 4, 16)
 
 
 def _folded(maps: list[np.ndarray], words: int) -> np.ndarray:
@@ -312,7 +312,7 @@ def _paired(batches: Iterator[pa.RecordBatch], spanning: bool) -> Iterator[pa.Re
                 near = 9 * np.bitwise_count(fold[i] ^ fold[j]).sum(1, dtype=np.int64) <= total
                 near |= np.minimum(width[i], width[j]) < words
                 i, j, total = i[near], j[near], total[near]
-            wide = np.flatnonzero(np.minimum(width[i], width[j]) > _FOLDS[-1])
+            wide = np.flatnonzero(~np.isin(np.minimum(width[i], width[j]), _FOLDS))
             far = [k for k in wide if 9 * least_difference(maps[i[k]], maps[j[k]]) > total[k]]
             i, j = np.delete(i, far), np.delete(j, far)
             if spanning and len(i):
