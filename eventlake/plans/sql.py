@@ -508,4 +508,12 @@ WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
       <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 15 MINUTE FROM events)
 GROUP BY 1, 2, 3""",
     "stream_dedup": "SELECT event_id, ts, user_id FROM events",
+    "stream_poison_rows": """
+SELECT event_id, event_type, CASE WHEN event_id % 3331 = 7 THEN 'bad event ' || event_id ELSE 'applied' END AS outcome
+FROM events""",
+    "stream_publish_stats": _on_log(
+        "SELECT count(*) FILTER (WHERE reasons = '') AS published, count(*) FILTER (WHERE reasons <> '') AS rejected, "
+        "count(*) FILTER (WHERE reasons = '') AS offsets FROM judged"
+    ),
 }
+ORACLE["stream_publish"] = ORACLE["publish_encode"]

@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas as S
+from eventlake.operators import events as V
 from eventlake.operators import upsert as U
 from eventlake.plans import tables as X
 from eventlake.plans.registry import flat, flat_documents, query
 from eventlake.session import new_scratch, pin_utc
 from eventlake.sources import files as CSV
+from eventlake.sources import log_sink as LOG
 from eventlake.streaming import jobs as J
 from eventlake.streaming import windows as W
-from eventlake.streaming.batches import drain_to_files
+from eventlake.streaming.batches import drain, drain_to_files, isolating
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A given table as a stream; times get the zone that watermarks ask for."""
@@ -115,6 +117,52 @@ def stream_expired_metrics(spark, sf):
     return metrics.unionByName(documents)
 
 
+def published(spark: SparkSession, sf: str) -> tuple[str, dict[str, int]]:
+    """The folder that the events are published to, and the counts taken on the way."""
+    base = new_scratch(spark, "published")
+    parsed = V.parse_events(V.raw_events(X.log_from_events(table_stream(spark, sf, "events"))))
+    return f"{base}/log", LOG.publish(parsed, f"{base}/log", f"{base}/checkpoint", X.FULL_CONTRACT)
+
+
+@query
+def stream_publish(spark, sf):
+    """Valid events published to a log of files and read back from it as a stream."""
+    path, _ = published(spark, sf)
+    return flat(collected(LOG.published_log(spark, path, streaming=True), "read-back").select("key", "value"))
+
+
+@query
+def stream_publish_stats(spark, sf):
+    """What the publishing stream counted, and how many offsets the log has."""
+    path, counts = published(spark, sf)
+    places = LOG.published_log(spark, path).select("topic", "partition", "offset").distinct()
+    return places.agg(
+        F.lit(counts["published"]).cast("long").alias("published"),
+        F.lit(counts["rejected"]).cast("long").alias("rejected"),
+        F.count("*").alias("offsets"),
+    )
+
+
+@query
+def stream_poison_rows(spark, sf):
+    """A batch with a few events that cannot be applied: all others are, once, and each of those has its own error."""
+    base = new_scratch(spark, "poison")
+    bad = F.col("event_id") % 3331 == 7
+    error = F.raise_error(F.concat(F.lit("bad event "), F.col("event_id").cast("string"))).cast("string")
+
+    def apply(rows: DataFrame, batch_id: int, part: str) -> None:
+        judged = rows.withColumn("outcome", F.when(bad, error).otherwise("applied"))
+        judged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{base}/applied/batch={batch_id}/part={part}")
+
+    rows = table_stream(spark, sf, "events").select("event_id", "event_type")
+    drain(rows, isolating(apply, f"{base}/letters", f"{base}/checkpoint", ["event_id"]), f"{base}/checkpoint")
+    schema = "event_id long, event_type string"
+    applied = spark.read.schema(schema + ", outcome string").parquet(f"{base}/applied/batch=*/part=*")
+    letters = spark.read.schema(schema + ", _error string").parquet(f"{base}/letters/checkpoint=*/batch_id=*/part=*")
+    outcome = F.regexp_extract("_error", "bad event [0-9]+", 0).alias("outcome")
+    return applied.unionByName(letters.select("event_id", "event_type", outcome))
+
+
 @query
 def stream_change_feed(spark, sf):
     lake = two_feeds(spark, sf, lambda lake: None)

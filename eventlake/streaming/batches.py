@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.sources.document_sink import ATTEMPTS, WAIT_BASE, retrying
+from eventlake.sources.versioned import checkpoint_id
 
 Batch = Callable[[DataFrame, int], None]
+#: Part of a batch: its rows, the batch's number and the part's name.
+PartOfBatch = Callable[[DataFrame, int, str], None]
+
+#: Failing keys of one batch that are set aside before the stream stops instead.
+MOST_POISON = 100
+_MOST_HALVINGS = 48
+#: Name of the part that is the whole batch.
+WHOLE = "0-0"
+_PLACE = "_place_in_batch"
 
 
 def drain(rows: DataFrame, batch: Batch, checkpoint: str) -> None:
@@ -47,19 +58,65 @@ def with_retry(
     return run
 
 
-def with_dead_letter(batch: Batch, path: str) -> Batch:
-    """Set a failing batch aside with its error text, and let the stream go on.
+def letters_of(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> str:
+    """The folder of a batch's dead letters: a new checkpoint counts batches from zero again, so its id is in the name."""
+    return f"{path}/checkpoint={checkpoint_id(spark, checkpoint)}/batch_id={batch_id}"
+
+
+def _set_aside(rows: DataFrame, error: Exception, folder: str) -> None:
+    kept = rows.withColumn("_error", F.lit(f"{type(error).__name__}: {error}"))
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+
 
-    The folder is named by the batch, so a replay replaces it.
+def with_dead_letter(batch: Batch, path: str, checkpoint: str) -> Batch:
+    """Set a failing batch aside as a whole with its error text, and let the stream go on.
+
+    The folder is named by checkpoint and batch, so a replay replaces it and nothing else does.
     """
 
     def run(rows: DataFrame, batch_id: int) -> None:
         try:
             batch(rows, batch_id)
         except Exception as error:  # noqa: BLE001 - the point is to keep the stream alive
-            kept = rows.withColumn("_error", F.lit(f"{type(error).__name__}: {error}"))
-            kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-                f"{path}/batch_id={batch_id}"
-            )
+            _set_aside(rows, error, letters_of(rows.sparkSession, path, checkpoint, batch_id))
+
+    return run
+
+
+def isolating(apply: PartOfBatch, path: str, checkpoint: str, keys: Sequence[str], most: int = MOST_POISON) -> Batch:
+    """Set the rows aside that make a batch fail, each with its own error, and apply the rest once.
+
+    A failing batch is halved by a hash of the keys until what fails shares one key; halves that work are applied as they are.
+    ``apply(rows, batch_id, part)`` must take in a part whole or not at all and skip one that it has; parts are named alike on
+    a replay. With more than ``most`` failing keys the fault is not in the rows: the last error is raised, the stream stops
+    and the batch comes again.
+    """
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        folder = letters_of(spark, path, checkpoint, batch_id)
+        placed = rows.withColumn(_PLACE, F.xxhash64(*keys)).persist(StorageLevel.MEMORY_AND_DISK)
+        found, open_ = 0, [(0, 0)]
+        try:
+            while open_:
+                depth, half = open_.pop()
+                part = placed.filter(F.pmod(F.col(_PLACE), F.lit(1 << depth)) == half)
+                if depth and part.isEmpty():
+                    continue
+                try:
+                    apply(part.drop(_PLACE), batch_id, f"{depth}-{half}")
+                except Exception as error:  # noqa: BLE001 - whatever the rows make fail
+                    places = part.select(_PLACE).distinct().limit(2).count()
+                    if not places:
+                        raise
+                    if places > 1 and depth < _MOST_HALVINGS:
+                        open_ += [(depth + 1, half + (1 << depth)), (depth + 1, half)]
+                        continue
+                    found += 1
+                    if found > most:
+                        raise
+                    _set_aside(part.drop(_PLACE), error, f"{folder}/part={depth}-{half}")
+        finally:
+            placed.unpersist()
 
     return run

@@ -29,7 +29,7 @@ from eventlake.session import pin_utc
 from eventlake.sources import files as CSV
 from eventlake.sources.document_sink import DocumentClient, remove_documents, write_documents
 from eventlake.sources.versioned import BUCKET, Files, VersionedTable, checkpoint_id
-from eventlake.streaming.batches import drain
+from eventlake.streaming.batches import WHOLE, drain, isolating
 
 Connect = Callable[[], DocumentClient]
 
@@ -143,9 +143,12 @@ def drain_events(
     coalesce_enrichment: bool = False,
     mirror: Connect | None = None,
     stream: str = "events",
+    dead_letters: str | None = None,
 ) -> None:
     """Split the log into quarantine and keyed state.
 
+    With a folder for ``dead_letters``, events that make a batch fail are set aside there and the others go on.
+
     One stream serves both outputs: a batch is parsed once, kept in memory or on
     executor disk, and written twice. The batch is reduced to one row per key
     before it meets the master data.
@@ -154,11 +157,11 @@ def drain_events(
     checkpoint = lake.checkpoint(f"silver-{stream}")
     kept = ("client_name", "tax_id") if coalesce_enrichment else ()
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
+    def on_part(batch: DataFrame, batch_id: int, part: str = WHOLE) -> None:
         session = pin_utc(batch.sparkSession)
         state = lake.state(session)
         # A new checkpoint counts batches from zero again: its id is part of the name.
-        source = f"{stream}:{checkpoint_id(session, checkpoint)}"
+        source = f"{stream}:{checkpoint_id(session, checkpoint)}" + ("" if part == WHOLE else f":{part}")
         judged = halved(V.classify(V.raw_events(batch), wire, contract)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_quarantine(V.quarantined_events(judged), lake, source, batch_id, mirror)
@@ -183,7 +186,7 @@ def drain_events(
         finally:
             judged.unpersist()
 
-    drain(log, on_batch, checkpoint)
+    drain(log, isolating(on_part, dead_letters, checkpoint, EVENT_KEY) if dead_letters else on_part, checkpoint)
 
 
 def _names(clients: VersionedTable, newest: DataFrame) -> DataFrame:

@@ -230,7 +230,7 @@ def test_dead_letter_keeps_the_batch_and_the_stream(spark, segments, tmp_path):
         done.append(rows.count())
 
     letters = str(tmp_path / "letters")
-    B.drain(stream(spark, segments), B.with_dead_letter(batch, letters), str(tmp_path / "cp"))
+    B.drain(stream(spark, segments), B.with_dead_letter(batch, letters, str(tmp_path / "cp")), str(tmp_path / "cp"))
     kept = spark.read.parquet(letters)
     assert len(done) == 3
     assert kept.count() + sum(done) == batch_log(spark, "parquet", {}, segments).count()
