@@ -22,7 +22,7 @@ def test_query_equals_its_sql(spark, sf, name):
 
 def test_all_are_registered():
     numbers = {int(name[2:].split("_")[0]) for name in Q.QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(Q.QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
 
