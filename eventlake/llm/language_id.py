@@ -24,14 +24,16 @@ from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm import common as C
 
 ORDER = 3
-#: Texts per language that are learned from, on average, and bytes of them (a bound of the model, not of what is scored).
+#: Texts per language that are learned from at most, and bytes of them, beyond which no further text is taken. Both bound the
+#: model, not what is scored.
 SAMPLE_TEXTS = 600
+SAMPLE_BYTES = 64 << 20
 UNKNOWN = "und"
 #: A text whose best code is no shorter than plain bytes is explained by no learned language.
 PLAIN_BITS = 8.0
@@ -213,16 +215,29 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def training_sample(documents: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
-    """About ``texts`` whole texts per language, chosen by a hash of the id, none of them held out."""
-    labelled = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+def training_sample(documents: DataFrame, texts: int = SAMPLE_TEXTS, size: int = SAMPLE_BYTES) -> DataFrame:
+    """At most ``texts`` whole texts per language, those whose ids have the smallest hashes, none of them held out.
+
+    The last text taken is the one that reaches ``size`` bytes. Counts set how far hashes may go, four times as far as
+    should be needed, so that few texts are ranked.
+    """
+    labelled = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     labelled = labelled.filter(~F.coalesce(held_out(F.col("doc_id")), F.lit(True)))
+    labelled = labelled.withColumn("draw", F.xxhash64(F.lit("sample"), F.col("doc_id")))
     sizes = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
-    draw = (F.xxhash64(F.lit("sample"), F.col("doc_id")) % 1_000_000 + 1_000_000) % 1_000_000
-    keep = F.lit(False)
-    for lang, size in sorted(sizes.items()):
-        keep = keep | ((F.col("lang") == lang) & (draw < int(np.ceil(1_000_000 * min(1.0, texts / size)))))
-    return labelled.filter(keep).select(F.col("lang").cast("string").alias("lang"), "text")
+    near = F.lit(False)
+    for lang, rows in sorted(sizes.items()):
+        near = near | ((F.col("lang") == lang) & (F.col("draw") <= _farthest(4 * texts, rows)))
+    by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
+    drawn = labelled.filter(near).withColumn("rank", F.row_number().over(by_draw)).filter(F.col("rank") <= texts)
+    before = F.sum(F.octet_length("text")).over(by_draw.rowsBetween(Window.unboundedPreceding, -1))
+    return drawn.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < size).select("lang", "text")
+
+
+def _farthest(wanted: int, rows: int) -> int:
+    """The 64-bit hash up to which ``wanted`` of ``rows`` are expected."""
+    return min((wanted << 64) // rows, (1 << 64) - 1) - (1 << 63)
 
 
 def learn(documents: DataFrame) -> Model:
