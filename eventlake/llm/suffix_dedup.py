@@ -17,8 +17,8 @@ their documents. A passage that stands in a third of all documents is one stretc
 more than PART_STRETCHES different stretches is cut up further: its windows are grouped by eights, keyed by the 193
 bytes that the eight have in common, and equal stretches are one again.
 
-Edge cases: a null or empty text has no bytes; a text shorter than SPAN loses nothing; rows repeated with id and text are one text for
-the comparison, so they are not copies of each other, and each is returned; all copies go, the first one too; extra columns are ignored.
+Edge cases: a null or empty text has no bytes; a text shorter than SPAN loses nothing; rows repeated with id and text are texts of
+their own, so they are copies of each other, and each is returned; all copies go, the first one too; extra columns are ignored.
 Memory per task is bounded by CHUNK_BYTES or the longest text, about sixty bytes per byte of it.
 """
 
@@ -247,16 +247,29 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def common_prefixes(text: np.ndarray, order: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """How many leading bytes each place in ``order`` shares with the next one, up to ``span``; zero bytes follow the text."""
+    padded = np.concatenate([text, np.zeros(span + 8, np.uint8)])
+    eight = np.ndarray(len(padded) - 7, "<u8", padded.data, strides=(1,))
+    here, there = order[:-1], order[1:]
+    prefix = np.full(len(here), span)
+    equal = np.arange(len(here))
+    for at in range(0, span, 8):
+        unlike = eight[here[equal] + at] ^ eight[there[equal] + at]
+        ends = unlike != 0
+        lowest = unlike[ends] & -unlike[ends]
+        prefix[equal[ends]] = np.minimum(at + np.log2(lowest.astype(float)).astype(np.int64) // 8, span)
+        equal = equal[~ends]
+    return prefix
+
+
 def repeated_windows(text: np.ndarray, window: np.ndarray, span: int = SPAN) -> np.ndarray:
     """Which of the flagged places start a string of ``span`` bytes that another flagged place starts too."""
     order = suffix_array(text, span)
     order = order[window[order]]
     hit = np.zeros(len(text), bool)
     if len(order) > 1:
-        total = C.prefix_hashes(text)
-        # neighbours have a common prefix of a span or more if their first span bytes are equal
-        begins = C.hash_between(total, order, order + span)
-        same = begins[1:] == begins[:-1]
+        same = common_prefixes(text, order, span) >= span
         hit[order[1:][same]] = True
         hit[order[:-1][same]] = True
     return hit
@@ -385,10 +398,12 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     counted = _anchor_hashes(documents).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = C.stored(counted.select("anchor"), "anchors")
     places = _places(documents, _bit_map(repeated)).join(repeated, "anchor", "left_semi")
-    places = C.stored(places.dropDuplicates(["doc_id", "text_key", "anchor", "first"]), "places")
+    # a row that is repeated lists its places as often, which is how often they count
+    place = ["doc_id", "text_key", "anchor", "stretch", "first", "windows", "at"]
+    places = C.stored(places.groupBy(*place).agg(F.count("*").alias("rows")), "places")
 
     one = F.min(F.struct("doc_id", "text_key", "first", "windows", "at")).alias("one")
-    different = places.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), one)
+    different = places.groupBy("anchor", "stretch").agg(F.sum("rows").alias("copies"), one)
     different = C.stored(different.select("anchor", "stretch", "copies", "one.*"), "stretches")
     crowds = different.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > PART_STRETCHES)
     wanted = different.join(crowds, "anchor", "left").withColumn("crowded", F.col("n").isNotNull())

@@ -219,6 +219,22 @@ def test_languages_on_held_out_texts(spark, sf):
     assert {r.lang_pred for r in language_id.identify(odd, language_id.learn(odd.filter("false"))).collect()} == {"und"}
 
 
+def test_sample_is_bounded_in_texts_and_bytes(spark):
+    rows = [(i, "en" if i % 3 else "de", f"text number {i:04d}") for i in range(3000)] + [(7, "en", "one row many times")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+
+    def taken(**bounds):
+        sample = language_id.training_sample(docs, **bounds).groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")))
+        return {row[0]: (row[1], row[2]) for row in sample.collect()}
+
+    assert {lang: n for lang, (n, _) in taken(texts=40).items()} == {"en": 40, "de": 40}
+    assert all(100 <= size < 100 + 18 for _, size in taken(texts=40, size=100).values())
+    # so few of very many rows as the draw must keep are still told apart
+    steps = [language_id._farthest(2400, n) + (1 << 63) for n in (1, 10**6, 5 * 10**10, 10**14)]
+    assert steps[0] == (1 << 64) - 1 and all(abs(s * n / 2**64 / 2400 - 1) < 1e-6 for s, n in zip(steps[1:], (10**6, 5 * 10**10, 10**14)))
+    assert language_id.training_sample(docs.filter("false")).count() == 0
+
+
 def test_code_lengths_are_those_of_the_context_trees(spark):
     texts = ["abracadabra", "cadabra abra", "zzz"]
     rows = [(lang, t) for lang in ("x", "y") for t in (texts if lang == "x" else ["banana band", "abba"])]
@@ -507,9 +523,30 @@ def test_repeated_bytes_go(spark, monkeypatch, crowd):
         assert (row.n_bytes, row.n_removed, row.n_spans, bytes(row.kept)) == (len(raw), sum(hit), spans, kept), doc
 
 
-def test_rows_repeated_with_their_id_are_one_text(spark):
+def test_rows_repeated_with_their_id_are_texts_of_their_own(spark, monkeypatch):
     r = random.Random(1)
     text = "".join(r.choice("abcdefgh ") for _ in range(600))
-    rows = suffix_dedup.deduplicated(documents(spark, [(1, text), (1, text), (2, "short")])).collect()
-    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (1, 0), (2, 0)]
-    assert hashlib.sha256(rows[0].kept).digest()
+    for crowd in (20_000, 0):
+        monkeypatch.setattr(suffix_dedup, "PART_STRETCHES", crowd)
+        rows = suffix_dedup.deduplicated(documents(spark, [(1, text), (1, text), (2, "short")])).collect()
+        assert sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in rows) == [(1, 600, b"")] * 2 + [(2, 0, b"short")]
+
+
+def test_common_prefixes_are_those_of_the_bytes():
+    r = np.random.default_rng(3)
+    text = r.integers(97, 99, 400).astype(np.uint8)
+    text = np.concatenate([text, text[:150], text[20:90], np.frombuffer(b"\xff\xff\x00\xff", np.uint8)])
+    raw = text.tobytes()
+    order = suffix_dedup.suffix_array(text, 50)
+    got = suffix_dedup.common_prefixes(text, order, 50)
+
+    def shared(a, b):
+        a, b = raw[a:].ljust(50, b"\0")[:50], raw[b:].ljust(50, b"\0")[:50]
+        return next((i for i in range(50) if a[i] != b[i]), 50)
+
+    assert got.tolist() == [shared(a, b) for a, b in zip(order[:-1], order[1:], strict=True)]
+    assert (got == 50).any() and (got < 8).any()
+    window = np.arange(len(text)) <= len(text) - 50
+    heads = [raw[i : i + 50] for i in range(len(raw) - 49)]
+    hit = suffix_dedup.repeated_windows(text, window, 50)
+    assert [i for i in range(len(heads)) if heads.count(heads[i]) > 1] == np.flatnonzero(hit).tolist()
