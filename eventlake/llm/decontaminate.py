@@ -5,7 +5,9 @@ benchmark's side. Equal windows keep the same hash at the same place, so a join
 finds every shared window; a hit is then extended word by word to both sides, on the words themselves.
 
 Plan: one pass over the texts keeps the hashes that a Bloom filter of fixed size admits, with the words
-around them; these few rows meet the benchmark's in a join; hits are put together per document.
+around them; these few rows meet the benchmark's in a join; hits are put together per document. What is broadcast are
+hashes, words and a number, measured in bytes first; item ids are looked up by that number for different pairs of
+document and number, so a passage that stands in a third of the benchmark brings its ids to the result only.
 
 Edge cases: a null or empty text has no words and is clean; an item without words is ignored; an item with fewer
 words than a window is one window; an item without an id marks words but is not listed; repeated
@@ -26,8 +28,9 @@ from eventlake.llm import common as C
 WINDOW = 13
 GRAM = 5
 FILTER_SLOTS = 1 << 22
-#: Benchmarks of up to this many kept hashes (about 100 MB) are broadcast; larger ones are joined by shuffle.
-BROADCAST_HASHES = 250_000
+#: Kept hashes of a benchmark with words of up to this many bytes are broadcast; larger ones are joined by shuffle, with the
+#: same result.
+BROADCAST_BYTES = 64 << 20
 
 _PRINTS = "array<struct<span:int,hash:bigint,place:int,at:int,words:array<string>>>"
 _PRINT_TYPE = pa.list_(
@@ -166,10 +169,11 @@ def _covered(spans: Column) -> Column:
 
 def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Per document ``doc_id, text_key, n_words, n_hit, item_ids, hit_spans, contaminated``."""
-    bench = C.stored(benchmark_prints(items), "benchmark-prints")
+    bench = C.stored(benchmark_prints(items).withColumn("mark", F.monotonically_increasing_id()), "benchmark-prints")
     spans = sorted(row["span"] for row in bench.select("span").distinct().collect())  # at most WINDOW values
-    if bench.count() <= BROADCAST_HASHES:
-        bench = F.broadcast(bench)
+    marks = bench.drop("items")
+    if _row_bytes(marks) <= BROADCAST_BYTES:
+        marks = F.broadcast(marks)
     rows = _document_prints(documents, spans, _admitted(bench)).withColumn("row", F.monotonically_increasing_id())
     prints = rows.select("row", "doc_id", "text_key", "n_words", F.inline_outer("prints"))
     # rows without a print get a key of their own, so that a shuffle spreads them
@@ -192,8 +196,8 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
     span = F.struct(
         (F.col("place") - before).cast("long").alias("low"), (F.col("place") + gram + after).cast("long").alias("high")
     )
-    return (
-        prints.join(bench, ["span", "hash"], "left")
+    found = (
+        prints.join(marks, ["span", "hash"], "left")
         .withColumn("hit", F.coalesce(hit, F.lit(False)))
         .groupBy("row")
         .agg(
@@ -201,14 +205,28 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
             F.first("text_key").alias("text_key"),
             F.first("n_words").alias("n_words"),
             F.collect_set(F.when(F.col("hit"), span)).alias("hit_spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("hit"), F.col("items")))))).alias("item_ids"),
+            F.collect_set(F.when(F.col("hit"), F.col("mark"))).alias("marks"),
         )
+    )
+    found = C.stored(found, "contamination")
+    named = found.select("row", F.explode("marks").alias("mark")).join(bench.select("mark", "items"), "mark")
+    named = named.select("row", F.explode("items").alias("item")).groupBy("row")
+    named = named.agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+    return (
+        found.join(named, "row", "left")
+        .withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>")))
         .withColumn("n_hit", _covered(F.col("hit_spans")))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-        .drop("row")
+        .drop("row", "marks")
     )
 
 
+def _row_bytes(marks: DataFrame) -> int:
+    """Bytes of the benchmark's hashes and words, with what a row and a word need besides."""
+    size = F.octet_length(F.array_join("item_words", "")) + 24 * F.size("item_words") + 64
+    return marks.agg(F.sum(size)).first()[0] or 0
+
+
 def without_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = C.stored(contamination(documents, items).filter("contaminated").select("doc_id", "text_key"), "bad", keep=True)

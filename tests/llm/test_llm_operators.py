@@ -86,7 +86,7 @@ def test_contamination(spark):
 
 
 def test_large_benchmarks_are_joined_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_HASHES", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     test_contamination(spark)
 
 
