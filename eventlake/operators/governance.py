@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,26 @@ def is_member(memberships: DataFrame, caller: str, group: str) -> Column:
     return mine.agg(F.count("*") > 0).scalar()
 
 
+def all_memberships(memberships: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``member, grp``: the groups of each member, also those that it is in through other groups.
+
+    Only groups that are members themselves are followed, level by level, and a pair is followed once, so a circle of groups
+    ends; its groups are members of themselves. The table of members is joined to the result once.
+    ``keep`` materialises rows, such as by writing them to the shared folder. Nulls are in no group and no group has them.
+    """
+    direct = memberships.select("member", "grp").dropna().distinct()
+    nested = keep(direct.join(direct.select(F.col("grp").alias("member")).distinct(), "member", "left_semi"))
+    step = nested.select(F.col("member").alias("grp"), F.col("grp").alias("outer"))
+    found = fresh = nested
+    while not fresh.isEmpty():
+        reached = fresh.join(step, "grp").select("member", F.col("outer").alias("grp")).distinct()
+        fresh = keep(reached.join(found, ["member", "grp"], "left_anti"))
+        found = keep(found.union(fresh))
+    through = found.select(F.col("member").alias("grp"), F.col("grp").alias("outer"))
+    indirect = direct.join(through, "grp").select("member", F.col("outer").alias("grp"))
+    return direct.union(indirect).distinct()
+
+
 def entitled_insurers(entitlements: DataFrame, caller: str) -> Column:
     """The caller's insurers as an array, from a ``(member, insurer_id)`` table.
 

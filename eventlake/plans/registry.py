@@ -6,8 +6,9 @@ Results are flat for comparison: arrays as text, instants without zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -466,6 +467,38 @@ def _entitlements(spark, sf) -> DataFrame:
     return nation.select(F.format_string("analyst-%02d", "n_nationkey").alias("member"), insurer.alias("insurer_id"))
 
 
+def _nested_memberships(spark, sf) -> DataFrame:
+    """Customers in the group of their nation, nations in regions, each region in the one before it: a circle of regions."""
+    customer, nation, region = (X.read(spark, sf, name) for name in ("customer", "nation", "region"))
+
+    def named(name: str, key: Column) -> Column:
+        return F.concat(F.lit(name), key.cast("string"))
+
+    parts = (
+        customer.select(named("customer-", F.col("c_custkey")), named("nation-", F.col("c_nationkey"))),
+        nation.select(named("nation-", F.col("n_nationkey")), named("region-", F.col("n_regionkey"))),
+        region.filter("r_regionkey > 0").select(
+            named("region-", F.col("r_regionkey")), named("region-", F.col("r_regionkey") - 1)
+        ),
+        region.filter("r_regionkey = 1").select(F.lit("region-0"), F.lit("region-1")),
+    )
+    return reduce(DataFrame.union, parts).toDF("member", "grp")
+
+
+@query
+def nested_memberships(spark, sf):
+    return G.all_memberships(_nested_memberships(spark, sf), lambda rows: X.stored(rows, "memberships"))
+
+
+@query
+def row_filtered_nested(spark, sf):
+    """Orders of customers that are, through their nation, in a region's group."""
+    members = G.all_memberships(_nested_memberships(spark, sf), lambda rows: X.stored(rows, "memberships"))
+    inside = members.filter(F.col("grp") == "region-2").select("member")
+    orders = X.read(spark, sf, "orders").withColumn("member", F.concat(F.lit("customer-"), F.col("o_custkey").cast("string")))
+    return orders.join(inside, "member", "left_semi").select("o_orderkey", "member")
+
+
 @query
 def masked_view(spark, sf):
     privileged = G.is_member(_memberships(spark, sf), ANALYST, G.PRIVILEGED_GROUP)

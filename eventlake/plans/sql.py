@@ -175,6 +175,19 @@ _MINE = "insurer_id IN (SELECT insurer_id FROM entitlements WHERE member = 'anal
 _ALL_METRICS = "SELECT ref_date, bank_id, insurer_id, consent_type, total_events, total_clients FROM metrics"
 _ALL_DOCUMENTS = "SELECT * FROM documents_by_triple"
 
+_NESTED = """
+WITH RECURSIVE direct(member, grp) AS (
+  SELECT 'customer-' || c_custkey, 'nation-' || c_nationkey FROM customer
+  UNION SELECT 'nation-' || n_nationkey, 'region-' || n_regionkey FROM nation
+  UNION SELECT 'region-' || r_regionkey, 'region-' || (r_regionkey - 1) FROM region WHERE r_regionkey > 0
+  UNION SELECT 'region-0', 'region-1'
+),
+members(member, grp) AS (
+  SELECT member, grp FROM direct
+  UNION SELECT members.member, direct.grp FROM members JOIN direct ON members.grp = direct.member
+)
+"""
+
 _SHIPPED = """
 SELECT o_orderkey, o_orderdate, l_orderkey, l_linenumber, l_partkey, l_shipdate
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
@@ -425,6 +438,11 @@ FROM state"""
     ),
     "secured_view": _on_state(f"SELECT {_MASKED} FROM state WHERE {_MINE}"),
     "column_excluded_view": _on_state("SELECT * EXCLUDE (tax_id) FROM state"),
+    "nested_memberships": _NESTED + "SELECT member, grp FROM members",
+    "row_filtered_nested": _NESTED
+    + """
+SELECT o_orderkey, 'customer-' || o_custkey AS member FROM orders
+WHERE 'customer-' || o_custkey IN (SELECT member FROM members WHERE grp = 'region-2')""",
     # quality
     "constraint_violations": _on_state(
         """

@@ -94,3 +94,21 @@ def test_missing_columns_are_added_once(spark):
     assert C.add_missing_columns(spark, "t3.banks", wanted) == ["_ingested_at", "_source_file", "_file_modified", "_rescued_data"]
     assert C.add_missing_columns(spark, "t3.banks", wanted) == []
     assert spark.table("t3.banks").first()._rescued_data is None
+
+
+def test_members_of_groups_in_groups(spark, tmp_path):
+    edges = [("ana", "a"), ("a", "b"), ("b", "c"), ("c", "a"), ("bob", "c"), ("a", "b"), ("eve", "z"), (None, "a"), ("dan", None)]
+    rows = spark.createDataFrame(edges, "member string, grp string")
+    kept = []
+
+    def keep(part):
+        kept.append(str(tmp_path / str(len(kept))))
+        part.write.parquet(kept[-1])
+        return spark.read.schema(part.schema).parquet(kept[-1])
+
+    got = [tuple(r) for r in G.all_memberships(rows, keep).collect()]
+    circle = [(m, g) for m in ("a", "b", "c", "ana", "bob") for g in ("a", "b", "c")]
+    assert sorted(got) == sorted([*circle, ("eve", "z")])
+    assert G.all_memberships(rows.filter("false"), keep).count() == 0
+    secured = G.is_member(G.all_memberships(rows, keep), "ana", "c")
+    assert spark.range(1).select(secured.alias("in")).first()["in"]
