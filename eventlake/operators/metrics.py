@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,13 +23,13 @@ def daily_metrics(state: DataFrame) -> DataFrame:
     Spark plans the distinct count in two levels, first by dimensions *and* client,
     so one hot dimension group is spread over its clients before it is summed.
     """
-    return (
-        with_ref_date(state)
-        .groupBy(*DIMENSIONS)
-        .agg(
-            F.count("*").alias("total_events"),
-            F.countDistinct("client_id").alias("total_clients"),
-        )
+    return _counted(with_ref_date(state))
+
+
+def _counted(dated: DataFrame) -> DataFrame:
+    return dated.groupBy(*DIMENSIONS).agg(
+        F.count("*").alias("total_events"),
+        F.countDistinct("client_id").alias("total_clients"),
     )
 
 
@@ -46,6 +48,27 @@ def recompute_affected(state: DataFrame, changes: DataFrame) -> DataFrame:
     return daily_metrics(touched)
 
 
+#: More days than this are not broadcast.
+BROADCAST_DAYS = 100_000
+
+
+def measured_days(days: DataFrame) -> DataFrame:
+    """The days between their least and greatest one, broadcast where they are few enough.
+
+    The range is a filter that Spark takes as selective: it then prunes partitions by these days at run time.
+    """
+    n, least, greatest = days.agg(F.count("*"), F.min("ref_date"), F.max("ref_date")).first()
+    within = days.filter(F.col("ref_date").between(F.lit(least).cast("date"), F.lit(greatest).cast("date")))
+    return F.broadcast(within) if n <= BROADCAST_DAYS else within
+
+
+def recompute_days(net: DataFrame, days: DataFrame) -> DataFrame:
+    """Full metrics of the given days from net rows laid out by day; the files of all other days are skipped."""
+    touched = net.join(days, "ref_date", "left_semi")
+    held = touched.groupBy("client_id", *DIMENSIONS).agg(F.sum("_net").alias("held")).filter("held > 0")
+    return _counted(held)
+
+
 def replace_affected(
     metrics: DataFrame, recomputed: DataFrame, days: DataFrame, co_partition: str | None = None
 ) -> DataFrame:
@@ -73,25 +96,27 @@ def metric_deltas(changes: DataFrame) -> DataFrame:
     together by +1 and -1, so the distinct count is additive over change rows and
     the state need not be read again.
     """
-    sign = F.when(F.col(U.CHANGE_TYPE).isin(U.INSERT, U.POSTIMAGE), 1).otherwise(-1)
-    moved = with_ref_date(changes).groupBy(*DIMENSIONS).agg(F.sum(sign).cast("long").alias("total_events"))
+    moved = with_ref_date(changes).groupBy(*DIMENSIONS).agg(F.sum(_signed()).cast("long").alias("total_events"))
     return moved.filter("total_events <> 0").withColumn("total_clients", F.col("total_events"))
 
 
-def apply_deltas(metrics: DataFrame, deltas: DataFrame, co_partition: str | None = None) -> DataFrame:
-    """Verdicts that add signed rows to the metrics; groups that reach zero are deleted."""
+def apply_deltas(
+    metrics: DataFrame,
+    deltas: DataFrame,
+    co_partition: str | None = None,
+    keys: Sequence[str] = DIMENSIONS,
+    counts: Sequence[str] = ("total_events", "total_clients"),
+) -> DataFrame:
+    """Verdicts that add signed rows to the counts; groups whose first count reaches zero are deleted."""
     summed = U.merge(
         metrics,
         deltas,
-        DIMENSIONS,
-        update_set={
-            "total_events": lambda s, t: t["total_events"] + s["total_events"],
-            "total_clients": lambda s, t: t["total_clients"] + s["total_clients"],
-        },
+        keys,
+        update_set={name: lambda s, t, name=name: t[name] + s[name] for name in counts},
         unique_source=True,
         co_partition=co_partition,
     )
-    gone = (F.col(U.ACTION) == U.UPDATE) & (F.col(f"{U.NEW}.total_events") == 0)
+    gone = (F.col(U.ACTION) == U.UPDATE) & (F.col(f"{U.NEW}.{counts[0]}") == 0)
     return summed.select(
         U.OLD,
         F.when(~gone, F.col(U.NEW)).alias(U.NEW),
@@ -99,6 +124,39 @@ def apply_deltas(metrics: DataFrame, deltas: DataFrame, co_partition: str | None
     )
 
 
+# -- distinct clients of any grouping --------------------------------------------
+
+
+def _signed() -> Column:
+    return F.when(F.col(U.CHANGE_TYPE).isin(U.INSERT, U.POSTIMAGE), 1).otherwise(-1)
+
+
+def reference_deltas(changes: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """By how many state rows each client moves in each group.
+
+    A client may have several rows in a group, so the group's clients cannot be told from its rows alone. What
+    tells them is the number of rows per group and client: a client is there as long as its number is not zero.
+    """
+    moved = with_ref_date(changes).groupBy(*dimensions, "client_id").agg(F.sum(_signed()).cast("long").alias("held"))
+    return moved.filter("held <> 0")
+
+
+def distinct_deltas(changes: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Signed rows and clients per group from the change feed of the references.
+
+    A reference that comes or goes is a client that does; one whose number moves only moves the rows. A hot group is
+    summed per task before the shuffle.
+    """
+    return (
+        changes.groupBy(*dimensions)
+        .agg(
+            F.sum(_signed() * F.col("held")).cast("long").alias("total_events"),
+            F.sum(_signed()).cast("long").alias("total_clients"),
+        )
+        .filter("total_events <> 0 OR total_clients <> 0")
+    )
+
+
 # -- reports -------------------------------------------------------------------
 
 

@@ -193,6 +193,18 @@ SELECT o_orderkey, o_orderdate, l_orderkey, l_linenumber, l_partkey, l_shipdate
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
 WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 90 DAY"""
 
+# Rows and distinct clients of four groupings as one list.
+_DISTINCT = """
+SELECT 'ref_date' AS dimensions, CAST(CAST(event_time AS DATE) AS VARCHAR) AS value,
+       count(*) AS total_events, count(DISTINCT client_id) AS total_clients FROM state GROUP BY ALL
+UNION ALL
+SELECT 'bank_id', bank_id, count(*), count(DISTINCT client_id) FROM state GROUP BY ALL
+UNION ALL
+SELECT 'ref_date bank_id', CAST(CAST(event_time AS DATE) AS VARCHAR) || ' ' || bank_id, count(*), count(DISTINCT client_id)
+FROM state GROUP BY ALL
+UNION ALL
+SELECT 'insurer_id status', insurer_id || ' ' || status, count(*), count(DISTINCT client_id) FROM state GROUP BY ALL"""
+
 # What is left after expiry: metrics, then documents, as one list of groups and their sizes.
 _EXPIRED = """
 , kept AS (SELECT * FROM state WHERE event_time >= TIMESTAMP '2024-01-16 00:00:00')
@@ -292,7 +304,7 @@ FROM master"""
     ),
     "merge_upsert": _on_state(f"SELECT {_STATE_OUT} FROM state"),
     "change_feed": _on_feeds(
-        f"SELECT _change_type, {_STATE_OUT}, CAST(1 AS BIGINT) AS _commit_version FROM changes"
+        f"SELECT _change_type, {_STATE_OUT}, CAST(2 AS BIGINT) AS _commit_version FROM changes"
     ),
     "merge_decision": _on_feeds(
         """
@@ -503,10 +515,17 @@ SELECT CAST(event_id AS BIGINT) AS "offset", CASE event_id % 13
 FROM events WHERE event_id % 13 < 12
 UNION ALL SELECT CAST(event_id AS BIGINT), 'no_scope' FROM events WHERE event_id % 13 = 1""",
     "stream_change_feed": _on_feeds(
-        f"SELECT _change_type, {_STATE_OUT}, CAST(1 AS BIGINT) AS _commit_version FROM changes"
+        f"SELECT _change_type, {_STATE_OUT}, CAST(2 AS BIGINT) AS _commit_version FROM changes"
     ),
     "stream_metrics": _on_state(_ALL_METRICS),
     "stream_metrics_recomputed": _on_state(_ALL_METRICS),
+    "stream_distinct_clients": _on_state(_DISTINCT),
+    "stream_distinct_expired": _on_state(
+        "SELECT CAST(event_time AS DATE) AS ref_date, bank_id, count(*) AS total_events, "
+        "count(DISTINCT client_id) AS total_clients FROM state "
+        "WHERE event_time >= TIMESTAMP '2024-01-16 00:00:00' GROUP BY ALL"
+    ),
+    "day_lookup": _on_state(_ALL_METRICS + " WHERE ref_date = DATE '2024-01-16'"),
     "stream_documents": _on_documents(_ALL_DOCUMENTS),
     "state_version": _on_feeds(f"SELECT {_STATE_OUT} FROM before"),
     "state_lookup": _on_documents(_ALL_DOCUMENTS + " WHERE client_id = 'cli-00007'"),

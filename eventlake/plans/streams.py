@@ -5,14 +5,15 @@ They write below the shared folder, drain, stop, and return what was stored.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas as S
 from eventlake.operators import events as V
-from eventlake.operators import upsert as U
 from eventlake.plans import tables as X
 from eventlake.plans.registry import flat, flat_documents, query
 from eventlake.session import new_scratch, pin_utc
@@ -166,7 +167,7 @@ def stream_poison_rows(spark, sf):
 @query
 def stream_change_feed(spark, sf):
     lake = two_feeds(spark, sf, lambda lake: None)
-    return flat(lake.state(spark).changes(after=1)).withColumn(U.COMMIT_VERSION, F.lit(1).cast("long"))
+    return flat(lake.state(spark).changes(after=1))
 
 
 @query
@@ -181,6 +182,43 @@ def stream_metrics_recomputed(spark, sf):
     return lake.metrics(spark).read()
 
 
+#: Groupings whose distinct clients are kept; in none of them are they additive over rows.
+GROUPINGS = (("ref_date",), ("bank_id",), ("ref_date", "bank_id"), ("insurer_id", "status"))
+
+
+@query
+def stream_distinct_clients(spark, sf):
+    """Rows and distinct clients of several groupings, moved by the change feed after each feed."""
+    lake = two_feeds(spark, sf, lambda lake: [J.drain_distinct(spark, lake, by) for by in GROUPINGS])
+    parts = [
+        lake.distinct_clients(spark, by).read().select(
+            F.lit(" ".join(by)).alias("dimensions"),
+            F.concat_ws(" ", *[F.col(c).cast("string") for c in by]).alias("value"),
+            "total_events",
+            "total_clients",
+        )
+        for by in GROUPINGS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stream_distinct_expired(spark, sf):
+    """The same after old state has expired: clients leave their groups, empty groups vanish."""
+    by = ("ref_date", "bank_id")
+    lake = two_feeds(spark, sf, lambda lake: J.drain_distinct(spark, lake, by))
+    J.expire(spark, lake, F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    J.drain_distinct(spark, lake, by)
+    return lake.distinct_clients(spark, by).read()
+
+
+@query
+def day_lookup(spark, sf):
+    """Metrics of one day after recomputing by day: one bucket is read."""
+    lake = two_feeds(spark, sf, lambda lake: J.drain_metrics(spark, lake, recompute=True))
+    return lake.metrics(spark).lookup(ref_date=dt.date(2024, 1, 16))
+
+
 @query
 def stream_documents(spark, sf):
     lake = two_feeds(spark, sf, lambda lake: J.drain_documents(spark, lake))

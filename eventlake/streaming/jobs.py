@@ -27,6 +27,7 @@ from eventlake.operators import serving as R
 from eventlake.operators import upsert as U
 from eventlake.session import pin_utc
 from eventlake.sources import files as CSV
+from eventlake.sources.day_log import DayLog
 from eventlake.sources.document_sink import DocumentClient, remove_documents, write_documents
 from eventlake.sources.versioned import BUCKET, Files, VersionedTable, checkpoint_id
 from eventlake.streaming.batches import WHOLE, drain, isolating
@@ -81,16 +82,38 @@ class Lake:
         )
 
     def metrics(self, spark: SparkSession) -> VersionedTable:
+        """Bucketed by day, so a report of one day reads one bucket and a recomputed day rewrites one."""
         return VersionedTable.create(
-            spark, self._at("gold", "daily_metrics"), S.METRICS, S.METRIC_KEY, S.METRIC_KEY, self.buckets
+            spark, self._at("gold", "daily_metrics"), S.METRICS, S.METRIC_KEY, ["ref_date"], self.buckets
         )
 
+    def days(self, spark: SparkSession) -> DayLog:
+        """What metrics need of the state, laid out by day."""
+        columns = ("client_id", "bank_id", "insurer_id", "consent_type")
+        return DayLog(self.state(spark), self._at("gold", "state_by_day"), columns, "event_time")
+
+    def references(self, spark: SparkSession, dimensions: Sequence[str]) -> VersionedTable:
+        """Number of state rows per group and client; bucketed by client, so a hot group is in all buckets."""
+        schema = T.StructType([*_dimensions(dimensions), S.STATE["client_id"], *S.row(held=S.LONG).fields])
+        path = self._at("gold", "clients_by_" + "_".join(dimensions), "references")
+        return VersionedTable.create(spark, path, schema, [*dimensions, "client_id"], ["client_id"], self.buckets)
+
+    def distinct_clients(self, spark: SparkSession, dimensions: Sequence[str]) -> VersionedTable:
+        schema = T.StructType([*_dimensions(dimensions), S.METRICS["total_events"], S.METRICS["total_clients"]])
+        path = self._at("gold", "clients_by_" + "_".join(dimensions), "counts")
+        return VersionedTable.create(spark, path, schema, dimensions, dimensions, self.buckets)
+
     def documents(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable.create(
             spark, self._at("gold", "documents"), S.DOCUMENTS, S.DOCUMENT_KEY, ["client_id"], self.buckets
         )
 
 
+def _dimensions(names: Sequence[str]) -> list[T.StructField]:
+    """Columns of the metrics or else of the state."""
+    return [S.METRICS[n] if n in S.METRICS.names else S.STATE[n] for n in names]
+
+
 # -- bronze ----------------------------------------------------------------------
 
 
@@ -233,7 +256,8 @@ def drain_metrics(spark: SparkSession, lake: Lake, recompute: bool = False) -> N
     """Bring the daily metrics up to date with the state's change feed.
 
     By default the change rows are summed with their sign, which costs as much as
-    there were changes. ``recompute`` reads the state again for the affected days.
+    there were changes. ``recompute`` counts the affected days again, from the copy of the
+    state that is laid out by day: only the files of those days are read, and only their buckets written.
     """
     pin_utc(spark)
     state, metrics = lake.state(spark), lake.metrics(spark)
@@ -242,13 +266,47 @@ def drain_metrics(spark: SparkSession, lake: Lake, recompute: bool = False) -> N
         if not recompute:
             metrics.merge(M.metric_deltas(changes), stream="state", batch_id=upto, verdicts=M.apply_deltas)
             continue
-        days = M.affected_dates(changes)
-        metrics.merge(
-            M.recompute_affected(state.read(upto), changes),
+        log = lake.days(spark)
+        log.follow(upto)
+        touched = M.affected_dates(changes).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            days = M.measured_days(touched)
+            by_day = metrics.bucket_by == ("ref_date",)  # else a table from before: days are all over its buckets
+            metrics.merge(
+                M.recompute_days(log.read(upto), days),
+                stream="state",
+                batch_id=upto,
+                touched=metrics.buckets_of_keys(touched) if by_day else None,
+                all_buckets=not by_day,
+                verdicts=lambda t, s, by, days=days: M.replace_affected(t, s, days, by),
+            )
+        finally:
+            touched.unpersist()
+
+
+def drain_distinct(spark: SparkSession, lake: Lake, dimensions: Sequence[str]) -> None:
+    """Bring rows and distinct clients per group of any grouping up to date with the state's change feed.
+
+    The references follow the state, the counts follow the references; each commit holds how far its table has come.
+    """
+    pin_utc(spark)
+    dimensions = tuple(dimensions)
+    state = lake.state(spark)
+    references, counts = lake.references(spark, dimensions), lake.distinct_clients(spark, dimensions)
+    keys = (*dimensions, "client_id")
+    for after, upto in state.pending(references, "state"):
+        references.merge(
+            M.reference_deltas(state.changes(after, upto), dimensions),
             stream="state",
             batch_id=upto,
-            all_buckets=True,  # a day's groups are spread over the buckets
-            verdicts=lambda t, s, by, days=days: M.replace_affected(t, s, days, by),
+            verdicts=lambda t, s, by: M.apply_deltas(t, s, by, keys, ("held",)),
+        )
+    for after, upto in references.pending(counts, "references"):
+        counts.merge(
+            M.distinct_deltas(references.changes(after, upto), dimensions),
+            stream="references",
+            batch_id=upto,
+            verdicts=lambda t, s, by: M.apply_deltas(t, s, by, dimensions),
         )
 
 
