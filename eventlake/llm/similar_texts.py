@@ -284,7 +284,9 @@ def _paired(batches: Iterator[pa.RecordBatch], spanning: bool) -> Iterator[pa.Re
 
     def pairs(whole: pa.Table) -> Iterator[pa.RecordBatch]:
         gram, low, high, tile, code, root, size = (whole.column(c).to_numpy() for c in (*keys, "tile", "code", "root", "size"))
-        maps = [np.array(own, np.int64).view(np.uint64) for own in whole.column("parity").to_pylist()]
+        lists = pa.concat_arrays(whole.column("parity").chunks)
+        words_of, where = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        maps = [words_of[i:j] for i, j in zip(where[:-1].tolist(), where[1:].tolist(), strict=True)]
         width = np.array([len(own) for own in maps])
         folds = [_folded(maps, words) for words in _FOLDS]
         _, label = np.unique(root, return_inverse=True)
