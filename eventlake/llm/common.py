@@ -6,6 +6,7 @@ seen as one byte array with row offsets, so that words, hashes and window minima
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -146,6 +147,24 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         start = stop
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system.
+
+    A Python worker lives on from stage to stage, and what its allocators keep counts against the executor all the while.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def giving_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches, for the end of a task: afterwards unused memory is handed back."""
+    try:
+        yield from batches
+    finally:
+        give_back()
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, last row + 1, bytes, offsets from 0)`` per chunk."""
     data, offsets = text_bytes(column)

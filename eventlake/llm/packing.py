@@ -325,6 +325,8 @@ def packed(documents: DataFrame, tokenizer: str) -> DataFrame:
                 found, rest = emit(doc_ids, totals, ids_of, pieces, False)
                 left = [(doc_ids[p.row], ids_of(p).copy(), totals[p.row], p) for p in rest]
                 yield found
+                del found, ids, raw, data, ids_of, pieces
+                C.give_back()
         if left:
             pieces = [Piece(i, held[3].start, held[3].length) for i, held in enumerate(left)]
             held = left

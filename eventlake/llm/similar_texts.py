@@ -116,7 +116,7 @@ def prints(documents: DataFrame) -> DataFrame:
             )
 
     schema = f"doc_id {kind}, text_key bigint, code bigint, size int, simhash bigint, block int, counters binary"
-    return _keyed(documents).mapInArrow(run, schema)
+    return _keyed(documents).mapInArrow(lambda batches: C.giving_back(run(batches)), schema)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,8 @@ def nodes_of(documents: DataFrame, frequency: np.ndarray) -> DataFrame:
                     ["code", "size", "leading", "parity"],
                 )
 
-    rows = documents.select("text").mapInArrow(run, "code bigint, size int, leading array<bigint>, parity array<bigint>")
+    schema = "code bigint, size int, leading array<bigint>, parity array<bigint>"
+    rows = documents.select("text").mapInArrow(lambda batches: C.giving_back(run(batches)), schema)
     return rows.groupBy("code").agg(*[F.first(c).alias(c) for c in ("size", "leading", "parity")])
 
 
@@ -255,7 +256,8 @@ def verified(documents: DataFrame, known: DataFrame, pairs: DataFrame, name: str
     sent = C.by_document(texts, wanted, "inner").select("hub", "tile", "partner", "code", "text")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = sent.repartition(parts, "hub", "tile").sortWithinPartitions("hub", "tile", "partner")
-    return C.stored(dealt.mapInArrow(_compared, "a bigint, b bigint").distinct(), name + "-similar")
+    similar = dealt.mapInArrow(lambda batches: C.giving_back(_compared(batches)), "a bigint, b bigint")
+    return C.stored(similar.distinct(), name + "-similar")
 
 
 #: Words of the parity maps that are compared first, all pairs of a step at once.
@@ -395,6 +397,7 @@ def similar_links(
         group = [F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")]
         dealt = left.select("gram", *group, "tile", "code", "root", "size", "parity")
         grouped = dealt.repartition(parts, "gram", "low", "high").sortWithinPartitions("gram", "low", "high")
-        pairs = grouped.mapInArrow(partial(_paired, spanning=spanning), "a bigint, b bigint").distinct()
+        paired = partial(_paired, spanning=spanning)
+        pairs = grouped.mapInArrow(lambda batches, paired=paired: C.giving_back(paired(batches)), "a bigint, b bigint").distinct()
         links = links.union(verified(documents, known, pairs, name))
     return links
