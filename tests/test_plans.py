@@ -118,3 +118,8 @@ def test_the_log_is_parsed_once(spark, sf, name, monkeypatch):
     monkeypatch.setattr(V, "parse_events", lambda *a, **k: calls.append(1) or parse(*a, **k))
     plan = plan_of(QUERIES[name](spark, sf))
     assert len(calls) == 1 and "from_json" not in plan
+
+
+def test_change_feed_numbers_the_commit_after_the_standing_state(spark, sf):
+    versions = QUERIES["change_feed"](spark, sf).select(U.COMMIT_VERSION).distinct().collect()
+    assert [r[0] for r in versions] == [2]
