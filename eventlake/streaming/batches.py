@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.sources.document_sink import ATTEMPTS, WAIT_BASE, retrying
@@ -18,10 +18,9 @@ PartOfBatch = Callable[[DataFrame, int, str], None]
 
 #: Failing keys of one batch that are set aside before the stream stops instead.
 MOST_POISON = 100
-_MOST_HALVINGS = 48
-#: Name of the part that is the whole batch.
-WHOLE = "0-0"
-_PLACE = "_place_in_batch"
+#: Names of the part that is the whole batch, and of the rows that are told unfit beforehand.
+WHOLE, TOLD = "0-0", "told"
+_PLACE, _FAULT = "_place_in_batch", "_fault_of_row"
 
 
 def drain(rows: DataFrame, batch: Batch, checkpoint: str) -> None:
@@ -64,8 +63,11 @@ def letters_of(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -
 
 
 def _set_aside(rows: DataFrame, error: Exception, folder: str) -> None:
-    kept = rows.withColumn("_error", F.lit(f"{type(error).__name__}: {error}"))
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    _write_letters(rows.withColumn("_error", F.lit(f"{type(error).__name__}: {error}")), folder)
+
+
+def _write_letters(letters: DataFrame, folder: str) -> None:
+    letters.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
 
 def with_dead_letter(batch: Batch, path: str, checkpoint: str) -> Batch:
@@ -83,40 +85,76 @@ def with_dead_letter(batch: Batch, path: str, checkpoint: str) -> Batch:
     return run
 
 
-def isolating(apply: PartOfBatch, path: str, checkpoint: str, keys: Sequence[str], most: int = MOST_POISON) -> Batch:
+def isolating(
+    apply: PartOfBatch, path: str, checkpoint: str, keys: Sequence[str], most: int = MOST_POISON, fault: Column | None = None
+) -> Batch:
     """Set the rows aside that make a batch fail, each with its own error, and apply the rest once.
 
-    A failing batch is halved by a hash of the keys until what fails shares one key; halves that work are applied as they are.
+    ``fault`` is the error text of a row that can be told unfit by itself, else NULL: such rows are set aside in one pass,
+    at any number. A batch that fails for other rows is halved by a hash of the keys until what fails shares one key; halves
+    that work are applied as they are, and where the first half works the other one is known to fail.
     ``apply(rows, batch_id, part)`` must take in a part whole or not at all and skip one that it has; parts are named alike on
-    a replay. With more than ``most`` failing keys the fault is not in the rows: the last error is raised, the stream stops
-    and the batch comes again.
+    a replay. With more than ``most`` failing keys beside those told the fault is not in the rows: the last error is raised,
+    the stream stops and the batch comes again.
     """
 
     def run(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        folder = letters_of(spark, path, checkpoint, batch_id)
-        placed = rows.withColumn(_PLACE, F.xxhash64(*keys)).persist(StorageLevel.MEMORY_AND_DISK)
-        found, open_ = 0, [(0, 0)]
+        folder = letters_of(rows.sparkSession, path, checkpoint, batch_id)
+        told = F.lit(None).cast("string") if fault is None else fault
+        placed = rows.withColumns({_PLACE: F.xxhash64(*keys), _FAULT: told}).persist(StorageLevel.MEMORY_AND_DISK)
+        held, found = [placed], 0
         try:
-            while open_:
-                depth, half = open_.pop()
-                part = placed.filter(F.pmod(F.col(_PLACE), F.lit(1 << depth)) == half)
-                if depth and part.isEmpty():
-                    continue
-                try:
-                    apply(part.drop(_PLACE), batch_id, f"{depth}-{half}")
-                except Exception as error:  # noqa: BLE001 - whatever the rows make fail
-                    places = part.select(_PLACE).distinct().limit(2).count()
-                    if not places:
-                        raise
-                    if places > 1 and depth < _MOST_HALVINGS:
-                        open_ += [(depth + 1, half + (1 << depth)), (depth + 1, half)]
-                        continue
+            unfit = placed.filter(F.col(_FAULT).isNotNull())
+            if fault is not None and not unfit.isEmpty():
+                _write_letters(unfit.withColumnRenamed(_FAULT, "_error").drop(_PLACE), f"{folder}/part={TOLD}")
+            fit = placed.filter(F.col(_FAULT).isNull()).drop(_FAULT)
+
+            def rows_of(depth: int, index: int) -> DataFrame:
+                """The rows whose hash begins with the ``depth`` bits of ``index``."""
+                if not depth:
+                    return fit
+                if len(held) == 1:  # in order, so that a part is read without the others
+                    held.append(fit.sortWithinPartitions(_PLACE).persist(StorageLevel.MEMORY_AND_DISK))
+                least = (index << 64 - depth) - (1 << 63)
+                return held[1].filter(F.col(_PLACE).between(least, least + (1 << 64 - depth) - 1))
+
+            def settle(depth: int, index: int, fails: bool) -> bool:
+                """Apply a part, or what of it can be applied: whether it went through whole."""
+                nonlocal found
+                part, name = rows_of(depth, index), f"{depth}-r{index}" if depth else WHOLE
+                error = None if fails else _error_of(apply, part.drop(_PLACE), batch_id, name)
+                if not fails and error is None:
+                    return True
+                least, greatest = part.agg(F.min(_PLACE), F.max(_PLACE)).first()
+                if least is None:
+                    raise error or RuntimeError(f"no rows in part {name}")
+                if least == greatest:
+                    error = error or _error_of(apply, part.drop(_PLACE), batch_id, name)
+                    if error is None:
+                        return True
                     found += 1
                     if found > most:
-                        raise
-                    _set_aside(part.drop(_PLACE), error, f"{folder}/part={depth}-{half}")
+                        raise error
+                    _set_aside(part.drop(_PLACE), error, f"{folder}/part={name}")
+                    return False
+                # Halves below the bits that all rows of the part share: neither is empty.
+                low, high = least + (1 << 63), greatest + (1 << 63)
+                shared = 64 - (low ^ high).bit_length()
+                first = low >> 63 - shared
+                settle(shared + 1, first + 1, settle(shared + 1, first, False))
+                return False
+
+            settle(0, 0, False)
         finally:
-            placed.unpersist()
+            for kept in held:
+                kept.unpersist()
 
     return run
+
+
+def _error_of(apply: PartOfBatch, part: DataFrame, batch_id: int, name: str) -> Exception | None:
+    try:
+        apply(part, batch_id, name)
+    except Exception as error:  # noqa: BLE001 - whatever the rows make fail
+        return error
+    return None

@@ -97,3 +97,27 @@ def test_poison_events_leave_the_state_whole(spark, sf, tmp_path):
     J.drain_events(spark, clean, X.log_from_events(others), master=master)
     left, right = lake.state(spark).read(), clean.state(spark).read()
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def test_rows_told_unfit_do_not_count_against_the_most(spark, tmp_path):
+    """Any number of rows is set aside by their own fault; one that only applying shows is still found alone."""
+    checkpoint, source, letters = str(tmp_path / "checkpoint"), str(tmp_path / "in"), str(tmp_path / "letters")
+    spark.range(3000).write.parquet(source)
+    told = F.when(F.col("id") % 3 == 0, F.concat(F.lit("third "), F.col("id").cast("string")))
+    parts, done = [], []
+
+    def apply(rows, batch_id, part):
+        parts.append(part)
+        ids = [r.id for r in rows.collect()]
+        if 1000 in ids or 1001 in ids:
+            raise ValueError(f"cannot take {sorted({1000, 1001} & set(ids))}")
+        done.extend(ids)
+
+    rows = spark.readStream.schema("id long").parquet(source)
+    B.drain(rows, B.isolating(apply, letters, checkpoint, ["id"], most=2, fault=told), checkpoint)
+    aside = {r.id: r["_error"] for r in spark.read.parquet(f"{letters}/checkpoint=*/batch_id=*/part=*").collect()}
+    assert sorted(done) == [i for i in range(3000) if i % 3 and i not in (1000, 1001)]
+    assert len(aside) == 1002 and aside[999] == "third 999"
+    assert aside[1000] == "ValueError: cannot take [1000]" and aside[1001] == "ValueError: cannot take [1001]"
+    # no part that is known to fail is applied but a single key: fewer than two calls a level
+    assert len(parts) == len(set(parts)) < 50
