@@ -28,7 +28,9 @@ from eventlake.operators.events import publish_counters, publish_encode
 
 FORMAT = "keyed_log"
 PARTITIONS = 3
-#: What is written; place counts the rows of a log partition within a batch.
+#: Parts that a log partition is written in side by side, so that no task holds the whole of it.
+SLICES = 32
+#: What is written; place counts the rows of a log partition's slice within a batch, in steps of SLICES.
 WRITTEN = S.row(key=T.BinaryType(), value=T.BinaryType(), topic=S.STRING, partition=T.IntegerType(), timestamp=T.TimestampType())
 #: Offsets of a batch start here times its number: they rise, and no batch needs to know the one before.
 BATCH_OFFSETS = 1 << 32
@@ -50,15 +52,18 @@ class _Writer(DataSourceStreamArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, base = _file_system(self.base)
         folder = f"{base}/_staging-{uuid.uuid4().hex}"
-        sink, places = None, {}
+        sink, counts = None, {}
         try:
             for batch in iterator:
                 if not batch.num_rows:
                     continue
                 place = []
-                for number in batch.column("partition").to_pylist():
-                    places[number] = places.get(number, -1) + 1
-                    place.append(places[number])
+                sliced = "slice" in batch.schema.names  # else a partition is one slice
+                slices = batch.column("slice").to_pylist() if sliced else [0] * batch.num_rows
+                for at in zip(batch.column("partition").to_pylist(), slices, strict=True):
+                    counts[at] = counts.get(at, -1) + 1
+                    place.append(counts[at] * SLICES + at[1])
+                batch = batch.drop_columns(["slice"]) if sliced else batch
                 batch = batch.append_column("place", pa.array(place, pa.int64()))
                 if sink is None:
                     fs.create_dir(folder, recursive=True)
@@ -119,7 +124,8 @@ def publish(
 ) -> dict[str, int]:
     """Publish a stream of parsed events, drain and stop: how many were ``published`` and ``rejected``.
 
-    Rows of a key stay in one partition of the log. The counts are taken on the way, not by a second pass.
+    Rows of a key stay in one partition of the log. A partition is dealt out in slices by the whole row, so that a hot key is
+    spread as well; a row's slice is part of its offset. The counts are taken on the way, not by a second pass.
     """
     spark = events.sparkSession
     cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package
@@ -131,9 +137,11 @@ def publish(
         F.lit(topic).alias("topic"),
         F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"),
         F.current_timestamp().alias("timestamp"),
+        # the value too: rows of one key are in all slices
+        F.pmod(F.xxhash64("value", "key"), F.lit(SLICES)).cast("int").alias("slice"),
     )
     query = (
-        encoded.repartition(partitions, "partition")
+        encoded.repartition(partitions * SLICES, "partition", "slice")
         .writeStream.format(FORMAT)
         .option("path", path)
         .option("stream", stream)

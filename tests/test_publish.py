@@ -40,6 +40,16 @@ def test_a_failed_task_leaves_no_half_batch(spark, sf, tmp_path):
     assert log.count() == counts["published"]
 
 
+def test_a_hot_key_is_written_by_many_tasks(spark, sf, tmp_path):
+    hot = X.log_from_events(Q.table_stream(spark, sf, "events").withColumn("user_id", F.lit(7).cast("long")))
+    path = str(tmp_path / "log")
+    counts = LOG.publish(V.parse_events(V.raw_events(hot)), path, str(tmp_path / "checkpoint"), X.FULL_CONTRACT)
+    log = LOG.published_log(spark, path)
+    assert log.select("partition").distinct().count() == 1 and log.select("offset").distinct().count() == counts["published"]
+    per_file = [r["count"] for r in log.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == counts["published"] and max(per_file) < counts["published"] / 4
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     writer = LOG._Writer({"path": str(tmp_path), "stream": "s"})
     again = LOG._Writer({"path": str(tmp_path), "stream": "s"})
