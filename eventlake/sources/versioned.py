@@ -37,6 +37,8 @@ from eventlake.session import sql_conf
 
 # Names of the layout columns; the leading underscore keeps them apart from table columns.
 BUCKET, KIND, VERSION = "_bucket", "_kind", "_version"
+#: By which a merge is dealt out: so many slices of each bucket, told by the same hash.
+SLICE, SLICES = "_bucket_slice", 16
 
 
 class Files:
@@ -210,6 +212,10 @@ class VersionedTable:
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
+    def slice_of(self) -> Column:
+        """A finer bucket; the rows of a slice are all in one bucket."""
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets * SLICES)).cast("int")
+
     def _read(self, paths: Iterable[str], partitions: T.StructType) -> DataFrame:
         paths = list(paths)
         schema = T.StructType(self.schema.fields + partitions.fields)
@@ -305,14 +311,14 @@ class VersionedTable:
             return self._publish(Commit(last.version + 1, last.buckets, applied)) if stream else last
 
         build = verdicts or (lambda t, s, by: U.merge(t, s, self.keys, co_partition=by, **options))
-        columns = [*self.schema.fieldNames(), BUCKET]
-        state = self._state(last, touched).select(*columns).repartition(BUCKET)
-        arriving = source.select(*columns).repartition(BUCKET)
+        columns = [*self.schema.fieldNames(), BUCKET, self.slice_of().alias(SLICE)]
+        state = self._state(last, touched).select(*columns).repartition(SLICE)
+        arriving = source.select(*columns).repartition(SLICE)
         version = last.version + 1
-        # Both sides are shuffled once, by bucket. The join and the write reuse that
-        # layout: each bucket is joined and written by one task, without a second shuffle.
+        # Both sides are shuffled once, by slice. The join and the write reuse that layout without a
+        # second shuffle; a bucket is the work of as many tasks as its size asks for, each with a file of its own.
         with sql_conf(self.spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
-            self._write(build(state, arriving, BUCKET), version)
+            self._write(build(state, arriving, SLICE), version)
         held = {b for b in last.buckets if b not in set(touched)}
         wrote_state = self._written(version, "state")
         buckets = {b: last.buckets[b] for b in held} | {b: version for b in wrote_state}

@@ -29,7 +29,7 @@ from eventlake.session import pin_utc
 from eventlake.sources import files as CSV
 from eventlake.sources.day_log import DayLog
 from eventlake.sources.document_sink import DocumentClient, remove_documents, write_documents
-from eventlake.sources.versioned import BUCKET, Files, VersionedTable, checkpoint_id
+from eventlake.sources.versioned import SLICE, Files, VersionedTable, checkpoint_id
 from eventlake.streaming.batches import WHOLE, drain, isolating
 
 Connect = Callable[[], DocumentClient]
@@ -322,7 +322,7 @@ def drain_documents(spark: SparkSession, lake: Lake) -> None:
         clients = D.affected_clients(state.changes(after, upto)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = state.read(upto, only=state.buckets_of_keys(clients))
-            keyed = clients.withColumn(BUCKET, documents.bucket_of())
+            keyed = clients.withColumn(SLICE, documents.slice_of())
             documents.merge(
                 D.rebuild_documents(rows, clients),
                 stream="state",

@@ -196,3 +196,14 @@ def test_shuffled_batches_of_the_event_log(spark, sf, tmp_path):
         table.merge(batch, guard=U.newer("event_time", "offset"), unique_source=True)
     assert Q.differences(table.read(), X.state(spark, sf)).isEmpty()
     assert table.changes(4).isEmpty()
+
+
+def test_a_bucket_is_merged_by_several_tasks(spark, tmp_path, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    row = S.row(k=S.LONG, v=S.LONG)
+    table = VersionedTable.create(spark, str(tmp_path / "t"), row, ["k"], buckets=1)
+    for turn in (1, 2):
+        table.merge(spark.range(500 * turn).select(F.col("id").alias("k"), F.lit(turn).cast("long").alias("v")))
+    assert len(table.read().inputFiles()) > 1
+    assert {(r.v, r["count"]) for r in table.read().groupBy("v").count().collect()} == {(2, 1000)}
+    assert table.changes(1).groupBy(U.CHANGE_TYPE).count().collect() and table.read().select("k").distinct().count() == 1000
