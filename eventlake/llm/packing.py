@@ -16,15 +16,20 @@ as many pieces as needed, none empty; an empty table gives no rows; extra column
 
 from __future__ import annotations
 
+import os
+import re
 from array import array
 from bisect import bisect_left, bisect_right, insort
+from codecs import charmap_decode
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,79 +42,108 @@ END = 1
 STEP_TOKENS = 64 * TIERS[0]
 TEXT_BYTES = 1 << 20
 #: Words after which the cache starts anew.
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 1_000_000
+#: Parts that go to the model as one line.
+_LINE_PARTS = 100
+#: Chunks after which unused memory is handed back.
+_GIVE_BACK_CHUNKS = 8
 
 
 class WordTokens:
     """Ids of white-space separated words, each encoded once.
 
-    The tokenizer drops white space before it looks at words, so a text's ids are those of its words in a row. It also
-    lower-cases, and a full stop or comma after a letter is a word of its own to it. A word of plain letters goes
-    straight to the tokenizer's model, any other one through the whole tokenizer.
+    The tokenizer drops white space before it looks at words, so a text's ids are those of its words in a row. Words of
+    a chunk are told apart by Arrow, and those not met before are encoded together: words of ASCII and Latin letters need
+    no more than lower case and the tokenizer's rule for parts, and go to its model as lines of parts; any other word
+    goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.by_part = Tokenizer(self.tokenizer.model)
+        self.by_part.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # the model marks the last token of a part
+        self.is_last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.is_last[[at for token, at in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        letters = "".join(c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and len(c.lower()) == 1 and c.lower() < "\u0250")
+        self.odd = re.compile(rf"<\||[^\n!-~{letters}]").search
+        self.parts = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\n0-9{letters}]+").findall
+        # how the model spells bytes
         by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # how the model spells the letters that need no normalisation
-        letters = [c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and c.lower() == c]
-        self.spelling = {ord(c): by_bytes.pre_tokenize_str(c)[0][0] for c in letters}
-        self.plain = frozenset(letters)
+        spelling = {ord(" "): " ", ord("\n"): "\n"}
+        for c in [*map(chr, range(0x21, 0x7F)), *letters]:
+            spelling |= zip(c.encode(), by_bytes.pre_tokenize_str(c)[0][0], strict=True)
+        self.spelling = "".join(spelling.get(b, "\ufffe") for b in range(256))
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {b" ": 0}  # no word: the end mark
-        self.flat, self.starts, self.lengths = array("I", [END]), array("q", [0]), array("q", [1])
-
-    def _ids(self, word: bytes) -> list[int]:
-        text = word.decode()
-        if self.plain.issuperset(text):
-            return [token.id for token in self.model.tokenize(text.translate(self.spelling))]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, word: bytes) -> int:
-        if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122 and b"<|" not in word:
-            ids: list[int] = []
-            for part in (word[:-1], word[-1:]):
-                at = self.number.get(part)
-                at = self._learn(part) if at is None else at
-                ids += self.flat[self.starts[at] : self.starts[at] + self.lengths[at]]
-        else:
-            ids = self._ids(word)
-        at = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-        self.number[word] = at
-        return at
+        self.number: dict[str, int] = {"": 1}
+        # number 0 is the end mark
+        self.flat, self.starts, self.lengths = array("I", [END]), array("q", [0, 1]), array("q", [1, 0])
+
+    def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.starts.frombytes((len(self.flat) + np.cumsum(lengths) - lengths).astype(np.int64).tobytes())
+        self.lengths.frombytes(lengths.astype(np.int64).tobytes())
+        self.flat.frombytes(ids.astype(np.uint32).tobytes())
+
+    def _learn(self, words: list[str]) -> None:
+        odd = [w for w in words if self.odd(w)] if self.odd("\n".join(words)) else []
+        if odd:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+            self._keep(odd, np.array([*chain.from_iterable(found)], np.uint32), np.array([len(ids) for ids in found]))
+        if len(odd) == len(words):
+            return
+        plain = [w for w in words if not self.odd(w)] if odd else words
+        # each word's parts and a line feed
+        parts = self.parts("\n".join([*plain, ""]).lower())
+        lines = [" ".join(parts[at : at + _LINE_PARTS]) for at in range(0, len(parts), _LINE_PARTS)]
+        lines = [line if line.isascii() else charmap_decode(line.encode(), "strict", self.spelling)[0] for line in lines]
+        found = [e.ids for e in self.by_part.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        part_ends = np.flatnonzero(self.is_last[ids]) + 1
+        ends = np.array([at for at, part in enumerate(parts) if part == "\n"])
+        if len(part_ends) != len(parts) - len(plain):
+            raise ValueError("the tokenizer's model does not mark the end of each part")
+        ends = part_ends[ends - np.arange(1, len(plain) + 1)]
+        self._keep(plain, ids, np.diff(ends, prepend=0))
 
     @staticmethod
-    def _words(text: bytes) -> list[bytes]:
-        if b"<|" not in text:
-            return text.lower().split()
+    def _lower(text: str) -> str:
         # what may be a special token keeps its case
-        return [w if b"<|" in w else w.lower() for w in text.split()]
+        return " ".join(w.decode() if b"<|" in w else w.lower().decode() for w in text.encode().split())
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with its end mark, and the number of ids of each."""
         if len(self.number) > _CACHE_WORDS:
             self._forget()
-        words: list[bytes] = []
-        first = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            first[i] = len(words)
-            words += self._words(text)
-            words.append(b" ")
-        find, learn = self.number.get, self._learn
-        number = np.fromiter((learn(w) if (at := find(w)) is None else at for w in words), np.int64, len(words))
-        lengths = np.array(self.lengths, np.int64)[number]
-        starts = np.array(self.starts, np.int64)[number]
+        texts = pc.fill_null(texts, "")
+        lower = pc.ascii_lower(texts)
+        special = pc.match_substring(texts, "<|")
+        if pc.any(special).as_py():
+            lower = pc.replace_with_mask(
+                lower, special, pa.array([self._lower(t) for t in texts.filter(special).to_pylist()], lower.type)
+            )
+        split = pc.ascii_split_whitespace(lower)
+        n_words = pc.list_value_length(split).to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            unmet = [words[i] for i in new]
+            self._learn(unmet)
+            number[new] = [self.number[w] for w in unmet]
+        number = np.insert(number[coded.indices.to_numpy()], np.cumsum(n_words), 0)
+        lengths = np.frombuffer(self.lengths, np.int64)[number]
+        starts = np.frombuffer(self.starts, np.int64)[number]
         before = np.cumsum(lengths) - lengths
-        ids = np.array(self.flat, np.uint32)[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
-        return ids, np.add.reduceat(lengths, first) if len(texts) else np.empty(0, np.int64)
+        ids = np.frombuffer(self.flat, np.uint32)[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
+        return ids, np.add.reduceat(lengths, np.cumsum(n_words + 1) - n_words - 1) if len(texts) else np.empty(0, np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -269,7 +303,7 @@ def packed(documents: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(tokenizer)
         first_id = TaskContext.get().partitionId() << 33
-        sequences = steps = 0
+        sequences = steps = chunks = 0
         left: list[tuple[object, np.ndarray, int, Piece]] = []  # id, ids of the piece, tokens of its document, piece
 
         def emit(doc_ids, totals, ids_of, pieces, final):
@@ -304,9 +338,8 @@ def packed(documents: DataFrame, tokenizer: str) -> DataFrame:
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for start, stop, data, offsets in C.text_chunks(batch.column("text"), TEXT_BYTES):
-                raw = data.tobytes()
-                ids, counts = words.encode([raw[offsets[i] : offsets[i + 1]] for i in range(stop - start)])
+            for start, stop in C.chunks(C.text_bytes(batch.column("text"))[1], TEXT_BYTES):
+                ids, counts = words.encode(batch.column("text").slice(start, stop - start))
                 doc_ids = [*(held[0] for held in left), *batch.column("doc_id").slice(start, stop - start).to_pylist()]
                 totals = [*(held[2] for held in left), *counts.tolist()]
                 # a piece's ids start at base[row] + its start in the document
@@ -325,8 +358,10 @@ def packed(documents: DataFrame, tokenizer: str) -> DataFrame:
                 found, rest = emit(doc_ids, totals, ids_of, pieces, False)
                 left = [(doc_ids[p.row], ids_of(p).copy(), totals[p.row], p) for p in rest]
                 yield found
-                del found, ids, raw, data, ids_of, pieces
-                C.give_back()
+                del found, ids, ids_of, pieces
+                chunks += 1
+                if chunks % _GIVE_BACK_CHUNKS == 0:
+                    C.give_back()
         if left:
             pieces = [Piece(i, held[3].start, held[3].length) for i, held in enumerate(left)]
             held = left
@@ -337,6 +372,7 @@ def packed(documents: DataFrame, tokenizer: str) -> DataFrame:
 
             found, _ = emit([h[0] for h in held], [h[2] for h in held], ids_of_left, pieces, True)
             yield found
+        C.give_back()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(run, _SCHEMA.format(kind=kind))

@@ -8,6 +8,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -305,6 +306,49 @@ def test_packing_round_trip(spark):
     assert first.ids_crc32 == zlib.crc32(np.array([1], "<u4").tobytes())
 
 
+def test_words_of_odd_and_plain_letters_get_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    path = Q.tokenizer_path()
+    tokenizer, words = Tokenizer.from_file(path), packing.WordTokens(path)
+    letters = map(chr, [*range(1, 0x300), 0x3A3, 0x4E2D, 0x1F600])
+    texts = [f"a{c}b1 {c}{c}'s.{c} x{c}!? '{c}ll," for c in letters]
+    texts += [None, "", " ", "\n", "  lead", "trail \t", "A <|EndOfText|>B <|endoftext|>É X", "</w> <w> w>", "''s ' ''t"]
+    for some in (texts[:7], texts, texts[300:]):
+        ids, counts = words.encode(pa.array(["x", *some]).slice(1))
+        want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, packing.END] for t in some]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_a_full_cache_starts_anew_with_the_same_ids(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE_WORDS", 3)
+    words = packing.WordTokens(Q.tokenizer_path())
+    texts = pa.array(["one two, three four", "fiveü one"])
+    first = words.encode(texts)
+    words.encode(pa.array(["six"]))
+    assert len(words.number) == 2
+    assert all((a == b).all() for a, b in zip(first, words.encode(texts), strict=True))
+
+
+def test_new_words_cost_no_calls_of_their_own():
+    words = packing.WordTokens(Q.tokenizer_path())
+    r = random.Random(7)
+    texts = ["".join(r.choice("abcdef ghü.,") for _ in range(400)) for _ in range(100)]
+    n_words, calls = len({w for t in texts for w in t.split()}), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        words.encode(pa.array(texts))
+    finally:
+        sys.setprofile(None)
+    assert n_words > 1000 and calls < n_words / 2
+
+
 @pytest.mark.parametrize("lengths", [[1100] * 50, [2047] * 30, [2040] * 9 + [5000, 1025], [1500, 3, 700] * 40, [1300]])
 def test_only_the_last_window_of_a_task_is_padded(lengths):
     left, windows, total = [], [], 0
