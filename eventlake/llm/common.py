@@ -54,9 +54,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         for path in _open_scratch.pop():
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        # shuffle files go once the driver's JVM finds that no plan refers to them
-        gc.collect()
-        spark._jvm.System.gc()
+        let_shuffles_go(spark)
+
+
+def let_shuffles_go(spark: SparkSession) -> None:
+    """Shuffle files of finished work go now: they stay until the driver's JVM finds that no plan refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def lower_ascii(text: Column) -> Column:

@@ -391,26 +391,41 @@ def _digest(raw: bytes) -> int:
 # ------------------------------------------------------------------ the operator
 
 
-def repeated_spans(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_key, low, high``: runs of bytes [low, high) that lie in repeated strings; runs may overlap."""
-    spark = documents.sparkSession
-    texts = documents.select("doc_id", C.text_key(F.col("text")).alias("text_key"), "text")
+def _repeated_places(documents: DataFrame) -> DataFrame:
+    """``doc_id, text_key, anchor, stretch, first, windows, at, rows``: where anchors that occur twice or more stand."""
     counted = _anchor_hashes(documents).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = C.stored(counted.select("anchor"), "anchors")
     places = _places(documents, _bit_map(repeated)).join(repeated, "anchor", "left_semi")
     # a row that is repeated lists its places as often, which is how often they count
     place = ["doc_id", "text_key", "anchor", "stretch", "first", "windows", "at"]
-    places = C.stored(places.groupBy(*place).agg(F.count("*").alias("rows")), "places")
+    return places.groupBy(*place).agg(F.count("*").alias("rows"))
+
 
+def _different_stretches(places: DataFrame) -> DataFrame:
+    """``anchor, stretch, copies`` and one place of each."""
     one = F.min(F.struct("doc_id", "text_key", "first", "windows", "at")).alias("one")
     different = places.groupBy("anchor", "stretch").agg(F.sum("rows").alias("copies"), one)
-    different = C.stored(different.select("anchor", "stretch", "copies", "one.*"), "stretches")
+    return different.select("anchor", "stretch", "copies", "one.*")
+
+
+def _cut_pieces(documents: DataFrame, different: DataFrame) -> DataFrame:
+    """The bytes of each different stretch; only texts that the bit map of those with one admits are shuffled."""
     crowds = different.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > PART_STRETCHES)
     wanted = different.join(crowds, "anchor", "left").withColumn("crowded", F.col("n").isNotNull())
     fields = ["anchor", "stretch", "first", "windows", "at", "copies", "crowded"]
     wanted = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
-    cut = C.by_document(texts, wanted, "inner").select("text", "wanted")
-    pieces = C.stored(cut.mapInArrow(_cut_out, _PIECES), "pieces")
+    asked = _admitted_texts(documents, different).filter("admitted")
+    return C.by_document(asked, wanted, "inner").select("text", "wanted").mapInArrow(_cut_out, _PIECES)
+
+
+def _admitted_texts(documents: DataFrame, listed: DataFrame) -> DataFrame:
+    """``doc_id, text_key, text, admitted``: all texts; those that are listed are admitted, and few others."""
+    texts = documents.select("doc_id", C.text_key(F.col("text")).alias("text_key"), "text")
+    return texts.withColumn("admitted", C.admission(listed)(C.document_slot()))
+
+
+def _sorted_runs(pieces: DataFrame) -> DataFrame:
+    """``anchor, stretch, low, high``: runs of repeated windows of each stretch, parts sorted in tasks."""
     # pieces of crowded anchors may be equal across stretches; a text that is repeated as a row gives each piece twice
     source = F.struct("anchor", "stretch")
     copies = F.when(F.min(source) != F.max(source), F.lit(2).cast("long")).otherwise(F.max("copies"))
@@ -418,7 +433,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     merged = merged.agg(copies.alias("copies"), F.first("bytes").alias("bytes"))
     whole = pieces.filter("NOT crowded").select("part_key", "piece", "copies", "bytes").union(merged)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = (
         whole.repartition(4 * parts, "part_key")
         .sortWithinPartitions("part_key", "piece")
@@ -426,13 +441,29 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     )
     found = runs.join(pieces.select("anchor", "stretch", "skip", "part_key", "piece"), ["part_key", "piece"])
     low, high = F.col("low") + F.col("skip"), F.col("high") + F.col("skip")
-    found = C.stored(found.select("anchor", "stretch", low.alias("low"), high.alias("high")), "runs")
-    return places.join(found, ["anchor", "stretch"]).select(
-        "doc_id",
-        "text_key",
-        (F.col("first") + F.col("low")).alias("low"),
-        (F.col("first") + F.col("high") + SPAN - 1).alias("high"),
-    )
+    return found.select("anchor", "stretch", low.alias("low"), high.alias("high"))
+
+
+def repeated_spans(documents: DataFrame) -> DataFrame:
+    """``doc_id, text_key, spans``: of each document that has some, runs of bytes [low, high) that lie in repeated strings.
+
+    Runs may overlap. Each step is stored and its shuffle files go before the next one; at the end only the result stays.
+    """
+
+    def step(rows: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        rows = C.stored(rows, name, keep)
+        C.let_shuffles_go(rows.sparkSession)
+        return rows
+
+    with C.scratch(documents.sparkSession):
+        places = step(_repeated_places(documents), "places")
+        different = step(_different_stretches(places), "stretches")
+        pieces = step(_cut_pieces(documents, different), "pieces")
+        found = step(_sorted_runs(pieces), "runs")
+        low, high = F.col("first") + F.col("low"), F.col("first") + F.col("high") + SPAN - 1
+        spans = places.join(found, ["anchor", "stretch"]).groupBy("doc_id", "text_key")
+        spans = spans.agg(F.collect_set(F.struct(low.alias("low"), high.alias("high"))).alias("spans"))
+        return step(spans, "spans", keep=True)
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,10 +495,11 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` per row; ``kept`` are the remaining bytes."""
-    spans = repeated_spans(documents).groupBy("doc_id", "text_key")
-    spans = spans.agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    texts = documents.select("doc_id", C.text_key(F.col("text")).alias("text_key"), "text")
-    both = C.by_document(texts, spans, "left").select(texts["doc_id"], "text", "spans")
+    spans = repeated_spans(documents)
+    texts = _admitted_texts(documents, spans)
+    asked = C.by_document(texts.filter("admitted"), spans, "left").select(texts["doc_id"], "text", "spans")
+    free = texts.filter("NOT admitted").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    both = asked.union(free)
     kind = documents.schema["doc_id"].dataType.simpleString()
     return both.mapInArrow(
         _without, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"

@@ -1,9 +1,12 @@
 """Each operator against a plain version, on texts with the odd cases."""
 
 import collections
+import contextlib
 import hashlib
 import random
+import string
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -30,6 +33,7 @@ from eventlake.llm import (  # noqa: E402
     url_filter,
 )
 from eventlake.llm import queries as Q  # noqa: E402
+from eventlake.session import shared_folder  # noqa: E402
 
 #: Names that operators use inside, as extra columns of the input.
 CLASHING = ["text_key", "row", "code", "rank", "hit", "words", "removed_runs", "n_words", "spans", "prints", "whole_text"]
@@ -576,6 +580,37 @@ def test_rows_repeated_with_their_id_are_texts_of_their_own(spark, monkeypatch):
         assert sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in rows) == [(1, 600, b"")] * 2 + [(2, 0, b"short")]
 
 
+def test_disk_is_given_back_and_texts_without_repeats_stay_where_they_are(spark):
+    r = random.Random(2)
+    noise = lambda n: "".join(r.choices(string.ascii_letters + string.digits, k=n))
+    shared = noise(300)
+    docs = [(i, noise(5000)) for i in range(200)] + [(None, None), (200, shared + noise(50)), (201, noise(70) + shared)]
+    folders = [f.getPath() for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {p for f in folders for p in Path(f).glob("*/shuffle_*.data")}
+
+    def new_bytes():
+        size = 0
+        for path in shuffles() - old:
+            with contextlib.suppress(FileNotFoundError):  # it may go meanwhile
+                size += path.stat().st_size
+        return size
+
+    scratch = Path(shared_folder(spark), "eventlake")
+    kept, old = set(scratch.iterdir()) if scratch.exists() else set(), shuffles()
+    rows = suffix_dedup.deduplicated(documents(spark, docs))
+    assert [p.name.split("-")[0] for p in set(scratch.iterdir()) - kept] == ["spans"]
+    until = time.monotonic() + 20  # files go a moment after the driver has found them unused
+    while new_bytes() > 10_000 and time.monotonic() < until:
+        time.sleep(0.2)
+    assert new_bytes() <= 10_000  # what is left made the bit map of listed texts
+    got = rows.select("doc_id", "n_bytes", "n_removed", "n_spans").collect()
+    assert new_bytes() < 200 * 5000 / 10
+    expected = [(i, 5000, 0, 0) for i in range(200)] + [(None, 0, 0, 0), (200, 350, 300, 1), (201, 370, 300, 1)]
+    assert {tuple(x) for x in got} == set(expected) and len(got) == len(expected)
+
+
 def test_common_prefixes_are_those_of_the_bytes():
     r = np.random.default_rng(3)
     text = r.integers(97, 99, 400).astype(np.uint8)
