@@ -498,9 +498,16 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     spans = repeated_spans(documents)
     texts = _admitted_texts(documents, spans)
     asked = C.by_document(texts.filter("admitted"), spans, "left").select(texts["doc_id"], "text", "spans")
-    free = texts.filter("NOT admitted").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    both = asked.union(free)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(
+    cut = asked.mapInArrow(
         _without, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )
+    whole, nothing = F.coalesce("text", F.lit("")), F.lit(0).cast("bigint")
+    free = texts.filter("NOT admitted").select(
+        "doc_id",
+        F.octet_length(whole).cast("bigint").alias("n_bytes"),
+        nothing.alias("n_removed"),
+        nothing.alias("n_spans"),
+        whole.cast("binary").alias("kept"),
+    )
+    return cut.union(free)
