@@ -141,7 +141,8 @@ def _document_prints(documents: DataFrame, spans: list[int], admitted: np.ndarra
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", C.text_key(F.col("text")).alias("text_key"), "text")
-    return texts.mapInArrow(run, f"doc_id {kind}, text_key bigint, n_words bigint, prints {_PRINTS}")
+    schema = f"doc_id {kind}, text_key bigint, n_words bigint, prints {_PRINTS}"
+    return texts.mapInArrow(lambda batches: C.giving_back(run(batches)), schema)
 
 
 def _common(left: Column, right: Column) -> Column:

@@ -304,4 +304,5 @@ def with_language(documents: DataFrame) -> DataFrame:
 
     # by place, so that no name can clash
     placed = [documents[c].alias(f"c{i}") for i, c in enumerate(columns)]
-    return documents.select(*placed, _has_letter(documents)).mapInArrow(run, documents.schema)
+    rows = documents.select(*placed, _has_letter(documents))
+    return rows.mapInArrow(lambda batches: C.giving_back(run(batches)), documents.schema)

@@ -41,8 +41,8 @@ END = 1
 #: Tokens of a step group, about.
 STEP_TOKENS = 64 * TIERS[0]
 TEXT_BYTES = 1 << 20
-#: Words after which the cache starts anew.
-_CACHE_WORDS = 1_000_000
+#: Words after which the cache keeps half as many at most. What a worker holds counts against its executor in all stages.
+_CACHE_WORDS = 200_000
 #: Parts that go to the model as one line.
 _LINE_PARTS = 100
 #: Chunks after which unused memory is handed back.
@@ -55,7 +55,7 @@ class WordTokens:
     The tokenizer drops white space before it looks at words, so a text's ids are those of its words in a row. Words of
     a chunk are told apart by Arrow, and those not met before are encoded together: words of ASCII and Latin letters need
     no more than lower case and the tokenizer's rule for parts, and go to its model as lines of parts; any other word
-    goes through the whole tokenizer.
+    goes through the whole tokenizer. Most words are met once, so a full cache keeps only words met again.
     """
 
     def __init__(self, path: str):
@@ -78,15 +78,34 @@ class WordTokens:
         for c in [*map(chr, range(0x21, 0x7F)), *letters]:
             spelling |= zip(c.encode(), by_bytes.pre_tokenize_str(c)[0][0], strict=True)
         self.spelling = "".join(spelling.get(b, "\ufffe") for b in range(256))
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.number: dict[str, int] = {"": 1}
         # number 0 is the end mark
         self.flat, self.starts, self.lengths = array("I", [END]), array("q", [0, 1]), array("q", [1, 0])
+        #: chunks in which each word was met again; halved whenever words are forgotten
+        self.met = array("I", [0, 0])
+
+    def _forget(self) -> None:
+        """Words met again stay, half a cache of them at most, those met in the most chunks."""
+        words, flat, starts, lengths, met = (
+            [*self.number],
+            *(np.array(x) for x in (self.flat, self.starts, self.lengths, self.met)),
+        )
+        self._start()
+        again = np.flatnonzero(met[2:]) + 2
+        most = np.argsort(met[again], kind="stable")[max(0, len(again) - _CACHE_WORDS // 2) :]
+        stay = np.sort(again[most])
+        lengths = lengths[stay]
+        at = np.repeat(starts[stay] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        # the empty word is number 1 and stands first
+        self._keep([words[i - 1] for i in stay.tolist()], flat[at], lengths)
+        self.met[2:] = array("I", (met[stay] // 2).tolist())
 
     def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.number.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.met.frombytes(bytes(4 * len(words)))
         self.starts.frombytes((len(self.flat) + np.cumsum(lengths) - lengths).astype(np.int64).tobytes())
         self.lengths.frombytes(lengths.astype(np.int64).tobytes())
         self.flat.frombytes(ids.astype(np.uint32).tobytes())
@@ -133,6 +152,7 @@ class WordTokens:
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         number = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        np.frombuffer(self.met, np.uint32)[number[number >= 0]] += 1
         new = np.flatnonzero(number < 0)
         if len(new):
             unmet = [words[i] for i in new]

@@ -335,6 +335,22 @@ def test_a_full_cache_starts_anew_with_the_same_ids(monkeypatch):
     assert all((a == b).all() for a, b in zip(first, words.encode(texts), strict=True))
 
 
+def test_the_cache_is_bounded_and_keeps_words_met_again():
+    words = packing.WordTokens(Q.tokenizer_path())
+    common = [f"common{i}é" for i in range(500)]
+    for chunk in range(8):
+        texts = [" ".join([*common, *(f"w{chunk}x{i}" for i in range(50_000))]), "common7é w0x3 "]
+        ids, counts = words.encode(pa.array(texts))
+        assert len(words.number) <= 260_000
+        assert len(words.number) == len(words.starts) - 1 == len(words.lengths) - 1 == len(words.met) - 1
+        assert len(words.flat) == words.starts[-1] + words.lengths[-1]
+        # a word's ids do not depend on what is held
+        for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert own.tolist() == [*words.tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+    words._forget()
+    assert set(common) <= words.number.keys() and len(words.number) <= 100_001 and "w7x9" not in words.number
+
+
 def test_new_words_cost_no_calls_of_their_own():
     words = packing.WordTokens(Q.tokenizer_path())
     r = random.Random(7)
